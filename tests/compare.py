@@ -1,0 +1,69 @@
+"""Run a query and its SQL counterpart and compare names, types and values."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    db = duckdb.connect()
+    for name in TABLES:
+        if Path(f"{folder}/{name}.parquet").exists():
+            db.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
+    return db
+
+
+def plain(value):
+    if isinstance(value, dt.datetime):
+        return value.isoformat()
+    if isinstance(value, dt.date):
+        return value.isoformat()
+    if isinstance(value, bool) or value is None:
+        return value
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else value + 0.0
+    return value
+
+
+def ordered(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    picked = [tuple(plain(row[i]) for i in order) for row in rows]
+    return [names[i] for i in order], sorted(picked, key=repr)
+
+
+def type_family(name: str) -> str:
+    name = name.lower()
+    if name in ("varchar", "string"):
+        return "string"
+    if name in ("int", "integer"):
+        return "int"
+    return name
+
+
+def differences(df, db, sql: str) -> list[str]:
+    """What differs between a Spark result and a DuckDB result; empty if nothing does."""
+    relation = db.sql(sql)
+    names, rows = ordered(df.columns, [tuple(row) for row in df.collect()])
+    sql_names, sql_rows = ordered(relation.columns, relation.fetchall())
+    found = []
+    if names != sql_names:
+        return [f"columns {names} != {sql_names}"]
+    spark_types = {f.name: type_family(f.dataType.simpleString()) for f in df.schema}
+    sql_types = {n: type_family(str(t)) for n, t in zip(relation.columns, relation.types)}
+    if spark_types != sql_types:
+        found += [f"type of {n}: {spark_types[n]} != {sql_types[n]}" for n in names if spark_types[n] != sql_types[n]]
+    if len(rows) != len(sql_rows):
+        return [*found, f"rows {len(rows)} != {len(sql_rows)}"]
+    unequal = [(a, b) for a, b in zip(rows, sql_rows) if a != b]
+    if unequal:
+        found.append(f"{len(unequal)} of {len(rows)} rows differ, first {unequal[0]}")
+    return found
