@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.forecasting import FORECAST_COLUMNS, MULTI_STEP
 from shelfwise.operators.features import with_row_numbers
-from shelfwise.schema import SERIES, SERIES_KEYS
+from shelfwise.schema import SERIES_KEYS, series_window
 
 
 def moving_average_fit(dense: DataFrame, window: int = 7, test_fraction: float = 0.2) -> DataFrame:
@@ -34,7 +34,7 @@ def moving_average_forecast(dense: DataFrame, window: int = 7, test_fraction: fl
     rows = with_row_numbers(dense, test_fraction)
     in_tail = (F.col("row_no") <= F.col("n_train")) & (F.col("row_no") > F.col("n_train") - window)
     return (
-        rows.withColumn("predicted", F.avg(F.when(in_tail, F.col("units"))).over(SERIES))
+        rows.withColumn("predicted", F.avg(F.when(in_tail, F.col("units"))).over(series_window()))
         .where(F.col("row_no") > F.col("n_train"))
         .withColumns(
             {

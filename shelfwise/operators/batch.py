@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import iso_year
-from shelfwise.schema import BY_DAY, SERIES, SERIES_KEYS
+from shelfwise.schema import SERIES_KEYS, day_window, series_window
 
 # Stock states, most urgent first.
 CRITICAL, LOW, OK = "CRITICO", "BAJO", "OK"
@@ -78,7 +78,7 @@ def rolling_mean_range(df: DataFrame, days: int = 7, inclusive_days: bool = Fals
     Days, not seconds, so clock changes do not shorten the range.
     """
     back = days - 1 if inclusive_days else days
-    frame = SERIES.orderBy(F.unix_date("sale_date")).rangeBetween(-back, 0)
+    frame = series_window().orderBy(F.unix_date("sale_date")).rangeBetween(-back, 0)
     return df.withColumn(f"rolling_mean_{days}d", F.avg("units").over(frame))
 
 
@@ -90,7 +90,7 @@ def rolling_mean_range_lines(df: DataFrame, days: int = 7, inclusive_days: bool
     back to the lines; adaptive execution splits a hot day of that join.
     """
     back = days - 1 if inclusive_days else days
-    frame = SERIES.orderBy(F.unix_date("sale_date")).rangeBetween(-back, 0)
+    frame = series_window().orderBy(F.unix_date("sale_date")).rangeBetween(-back, 0)
     observed = F.sum("day_count").over(frame)
     daily = (
         df.groupBy(*SERIES_KEYS, "sale_date")
@@ -116,7 +116,7 @@ def stock_alerts(df: DataFrame, alert_ratio: float = 0.3, rows: int = 7) -> Data
     The frame counts rows, not days, leaves out the current row and may be
     partial; a first row has no mean and is OK.
     """
-    previous = BY_DAY.rowsBetween(-rows, -1)
+    previous = day_window().rowsBetween(-rows, -1)
     with_mean = df.withColumn(f"units_mean_prev{rows}", F.avg("units").over(previous))
     state = stock_state(F.col("stock"), F.col(f"units_mean_prev{rows}"), alert_ratio)
     return with_mean.withColumn("state", state)

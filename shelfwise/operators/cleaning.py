@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import non_negative, to_day
-from shelfwise.schema import BY_DAY, ROW_KEYS, SERIES_KEYS
+from shelfwise.schema import ROW_KEYS, SERIES_KEYS, day_window
 
 DEFAULT_CATEGORY = "Otros"
 
@@ -64,7 +64,7 @@ def dense_series(df: DataFrame) -> DataFrame:
     in the one shuffle that later series windows reuse; there is no calendar join
     and no second scan. Expects cleaned rows: a repeated day is an error.
     """
-    next_sale = F.lead("sale_date").over(BY_DAY)
+    next_sale = F.lead("sale_date").over(day_window())
     one_day = F.expr("interval 1 day")
     return (
         df.where(F.col("sale_date").isNotNull())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.schema import SERIES, SERIES_KEYS
+from shelfwise.schema import SERIES_KEYS, series_window
 
 # Actuals at or below the first are left out of MAPE; a model below
 # the second meets the accuracy goal.
@@ -19,7 +19,7 @@ def on_common_dates(forecasts: DataFrame) -> DataFrame:
     """Keep the days of each series that all of its models predicted."""
     by_model = Window.partitionBy(*SERIES_KEYS, "sale_date")
     ranked = forecasts.withColumn("models_on_day", F.count("model").over(by_model))
-    return ranked.withColumn("models", F.max("models_on_day").over(SERIES)).where(
+    return ranked.withColumn("models", F.max("models_on_day").over(series_window())).where(
         F.col("models_on_day") == F.col("models")
     ).drop("models_on_day", "models")
 
@@ -41,11 +41,11 @@ def forecast_errors(forecasts: DataFrame, eps: float = MAPE_EPS) -> DataFrame:
 
 def compare_models(errors: DataFrame) -> DataFrame:
     """Rank the models of each series by rounded MAPE, then name; flag extremes per metric."""
-    by_mape = SERIES.orderBy(F.asc_nulls_last("mape"), "model")
+    by_mape = series_window().orderBy(F.asc_nulls_last("mape"), "model")
     flags = {}
     for metric in METRICS:
-        flags[f"{metric}_is_best"] = F.col(metric) == F.min(metric).over(SERIES)
-        flags[f"{metric}_is_worst"] = F.col(metric) == F.max(metric).over(SERIES)
+        flags[f"{metric}_is_best"] = F.col(metric) == F.min(metric).over(series_window())
+        flags[f"{metric}_is_worst"] = F.col(metric) == F.max(metric).over(series_window())
     return errors.withColumn("rank", F.row_number().over(by_mape)).withColumns(flags)
 
 

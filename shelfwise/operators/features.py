@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import flag, full_window, is_black_friday, train_rows, weekday
-from shelfwise.schema import BY_DAY, SERIES, SERIES_KEYS
+from shelfwise.schema import SERIES_KEYS, day_window, series_window
 
 # Lags and rolling windows in rows; the window whose maximum is kept.
 LAGS = [1, 7, 14, 21, 28]
@@ -111,14 +111,14 @@ def add_calendar_features(df: DataFrame, holidays: DataFrame) -> DataFrame:
 
 def add_lags(df: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
     """Units of earlier rows of the series."""
-    return df.withColumns({f"lag_{k}": F.lag("units", k).over(BY_DAY) for k in lags})
+    return df.withColumns({f"lag_{k}": F.lag("units", k).over(day_window()) for k in lags})
 
 
 def add_rolling(df: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS) -> DataFrame:
     """Mean, sample deviation and maximum of the previous rows, where a window is full."""
     columns = {}
     for size in windows:
-        frame = BY_DAY.rowsBetween(-size, -1)
+        frame = day_window().rowsBetween(-size, -1)
         observed = F.count("units").over(frame)
         columns[f"rolling_mean_{size}"] = full_window(F.avg("units").over(frame), observed, size)
         columns[f"rolling_std_{size}"] = full_window(F.stddev_samp("units").over(frame), observed, size)
@@ -127,31 +127,41 @@ def add_rolling(df: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS) -> Data
     return df.withColumns(columns)
 
 
+def add_history_features(dense: DataFrame) -> DataFrame:
+    """Lags, rolling features and days since the start of each dense series; keeps all rows.
+
+    A ``series_start`` column, where present, is taken as the first day.
+    """
+    rows = add_rolling(add_lags(dense))
+    if "series_start" not in dense.columns:
+        so_far = day_window().rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("series_start", F.min("sale_date").over(so_far))
+    return rows.withColumn("days_since_start", F.datediff("sale_date", "series_start")).drop("series_start")
+
+
+def complete_features(df: DataFrame) -> DataFrame:
+    """Rows with a full history: every feature the frame holds has a value."""
+    return df.dropna(subset=available_features(df))
+
+
 def feature_matrix(
     dense: DataFrame, holidays: DataFrame, from_date: dt.date | None = None
 ) -> DataFrame:
     """All features of every dense series; rows without a full history are dropped.
 
-    With ``from_date`` only that day and later are returned, and only the days
-    their longest window reaches back to are read: a plain filter on the date
-    could not move below the windows.
+    With ``from_date`` only that day and later are returned, and of a stored
+    series only the days are read that the longest window reaches back to: a
+    plain filter on the date could not move below the windows.
     """
-    if from_date is None:
-        start = F.min("sale_date").over(BY_DAY.rowsBetween(Window.unboundedPreceding, 0))
-        rows = dense.withColumn("series_start", start)
-    else:
-        reach = max(LAGS + ROLLING_WINDOWS)
+    rows = dense
+    if from_date is not None:
+        reach = dt.timedelta(days=max(LAGS + ROLLING_WINDOWS))
         starts = dense.groupBy(*SERIES_KEYS).agg(F.min("sale_date").alias("series_start"))
-        rows = dense.where(F.col("sale_date") >= from_date - dt.timedelta(days=reach)).join(
-            starts, SERIES_KEYS
-        )
-    rows = add_rolling(add_lags(rows)).withColumn(
-        "days_since_start", F.datediff("sale_date", "series_start")
-    )
+        rows = dense.where(F.col("sale_date") >= from_date - reach).join(starts, SERIES_KEYS)
+    rows = complete_features(add_history_features(rows))
     if from_date is not None:
         rows = rows.where(F.col("sale_date") >= from_date)
-    complete = rows.dropna(subset=FEATURES[len(CALENDAR_FEATURES) :])
-    return add_calendar_features(complete, holidays).select(*SERIES_KEYS, "sale_date", "units", *FEATURES)
+    return add_calendar_features(rows, holidays).select(*SERIES_KEYS, "sale_date", "units", *FEATURES)
 
 
 def available_features(df: DataFrame) -> list[str]:
@@ -161,10 +171,10 @@ def available_features(df: DataFrame) -> list[str]:
 
 def with_row_numbers(df: DataFrame, test_fraction: float = 0.2) -> DataFrame:
     """Add each row's position in its series and how many rows the series trains on."""
-    total = F.count(F.lit(1)).over(SERIES)
+    total = F.count(F.lit(1)).over(series_window())
     return df.withColumns(
         {
-            "row_no": F.row_number().over(BY_DAY),
+            "row_no": F.row_number().over(day_window()),
             "n_train": train_rows(total, test_fraction),
         }
     )
@@ -184,7 +194,7 @@ def min_max_scaled(split: DataFrame) -> DataFrame:
     """
     in_train = F.when(F.col("part") == "train", F.col("units"))
     with_bounds = split.withColumns(
-        {"scale_min": F.min(in_train).over(SERIES), "scale_max": F.max(in_train).over(SERIES)}
+        {"scale_min": F.min(in_train).over(series_window()), "scale_max": F.max(in_train).over(series_window())}
     )
     return with_bounds.withColumn("scaled", scale(F.col("units"), F.col("scale_min"), F.col("scale_max")))
 
@@ -202,7 +212,7 @@ def lookback_sequences(scaled: DataFrame, lookback: int = 30) -> DataFrame:
 
     Rows with a shorter history are left out.
     """
-    previous = F.collect_list("scaled").over(BY_DAY.rowsBetween(-lookback, -1))
+    previous = F.collect_list("scaled").over(day_window().rowsBetween(-lookback, -1))
     return (
         scaled.withColumn("lookback", previous)
         .where(F.size("lookback") == lookback)
@@ -213,9 +223,9 @@ def lookback_sequences(scaled: DataFrame, lookback: int = 30) -> DataFrame:
 def validation_split(sequences: DataFrame, fraction: float = 0.15) -> DataFrame:
     """Mark the last sequences of each series' training part ``validation``, at least one."""
     train = sequences.where(F.col("part") == "train")
-    total = F.count(F.lit(1)).over(SERIES)
+    total = F.count(F.lit(1)).over(series_window())
     held_out = F.greatest(F.lit(1), F.floor(total * F.lit(fraction)))
-    role = F.when(F.row_number().over(BY_DAY) <= total - held_out, "fit").otherwise("validation")
+    role = F.when(F.row_number().over(day_window()) <= total - held_out, "fit").otherwise("validation")
     return train.withColumn("role", role)
 
 

@@ -76,9 +76,12 @@ def features_of(spark: SparkSession, sf: str) -> DataFrame:
     return features.feature_matrix(dense(spark, sf), holidays(spark))
 
 
+def scaled_series(spark: SparkSession, sf: str) -> DataFrame:
+    return features.min_max_scaled(features.temporal_split(dense(spark, sf)))
+
+
 def sequences(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = features.min_max_scaled(features.temporal_split(dense(spark, sf)))
-    return features.lookback_sequences(scaled, LOOKBACK)
+    return features.lookback_sequences(scaled_series(spark, sf), LOOKBACK)
 
 
 def load_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,8 +232,7 @@ def temporal_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def minmax_scale(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = features.min_max_scaled(features.temporal_split(dense(spark, sf)))
-    return rounded(scaled, "scaled")
+    return rounded(scaled_series(spark, sf), "scaled")
 
 
 def lookback_sequences(spark: SparkSession, sf: str) -> DataFrame:
@@ -354,24 +356,23 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return trees.feature_importance(spark, trees.random_forest(train_rows(rows), **FOREST), top=12)
 
 
-def lookback_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    rows = staged(sequences(spark, sf), "sequences")
-    model = lb.lookback_fit(features.validation_split(rows), LOOKBACK_ITERATIONS)
-    return lb.lookback_forecast(model, rows)
+def lookback_model(scaled: DataFrame) -> lb.LinearRegressionModel:
+    rows = features.validation_split(features.lookback_sequences(scaled, LOOKBACK))
+    return lb.lookback_fit(rows, LOOKBACK_ITERATIONS)
 
 
-def last_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return lb.last_windows(features.min_max_scaled(features.temporal_split(dense(spark, sf))), LOOKBACK)
+def lookback_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    scaled = staged(scaled_series(spark, sf), "scaled")
+    return lb.lookback_forecast(lookback_model(scaled), features.lookback_sequences(scaled, LOOKBACK))
 
 
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    rows = staged(sequences(spark, sf), "sequences")
-    model = lb.lookback_fit(features.validation_split(rows), LOOKBACK_ITERATIONS)
-    return lb.LookbackState(model, last_windows(spark, sf)).forecast(HORIZON)
+    scaled = staged(scaled_series(spark, sf), "scaled")
+    return lb.LookbackState(lookback_model(scaled), lb.last_windows(scaled, LOOKBACK)).forecast(HORIZON)
 
 
 def recursive_forecast_fixed(spark: SparkSession, sf: str) -> DataFrame:
-    ahead = lb.recursive_forecast(last_windows(spark, sf), FIXED_WEIGHTS, 0.0, HORIZON)
+    ahead = lb.recursive_forecast(lb.last_windows(scaled_series(spark, sf), LOOKBACK), FIXED_WEIGHTS, 0.0, HORIZON)
     return rounded(ahead.select(*SERIES_KEYS, "sale_date", "predicted"), "predicted")
 
 

@@ -16,8 +16,10 @@ from shelfwise.forecasting.trees import RANDOM_FOREST, random_forest, save_model
 from shelfwise.operators import evaluation
 from shelfwise.operators.cleaning import dense_series, one_series
 from shelfwise.operators.features import (
+    add_calendar_features,
+    add_history_features,
     available_features,
-    feature_matrix,
+    complete_features,
     lookback_sequences,
     min_max_scaled,
     temporal_split,
@@ -59,40 +61,37 @@ def train_all(
 ) -> Training:
     """Fit the four models on dense series and predict all test days.
 
-    By default every model is tested on the days of the series split.
-    ``own_feature_split`` splits the feature rows by themselves instead, after
-    the rows without a full history are gone, so the forest's test part is
-    shorter. The series and the feature rows are staged, since several fits
-    read each.
+    One chain in one partitioning adds the split, the scaling and the features;
+    its result is staged, since every model reads some columns of it. By default
+    every model is tested on the days of the series split. ``own_feature_split``
+    splits the feature rows by themselves instead, after the rows without a full
+    history are gone, so the forest's test part is shorter.
     """
-    split = staged(temporal_split(dense, test_fraction), "split")
-    series = split.drop("part")
+    scaled = min_max_scaled(temporal_split(dense, test_fraction))
+    rows = staged(add_calendar_features(add_history_features(scaled), holidays), "training-rows")
+    series = rows.select(*ROW_KEYS, "units")
+    scaled = rows.select(*ROW_KEYS, "units", "part", "scale_min", "scale_max", "scaled")
 
-    rows = feature_matrix(series, holidays)
+    complete = complete_features(rows)
     if own_feature_split:
-        rows = temporal_split(rows, test_fraction)
-    else:
-        rows = rows.join(split.select(*ROW_KEYS, "part"), ROW_KEYS)
-    rows = staged(rows, "features")
-    forest = random_forest(
-        rows.where(F.col("part") == "train"), available_features(rows), num_trees, max_depth
-    )
+        complete = staged(temporal_split(complete.drop("part"), test_fraction), "feature-rows")
+    names = available_features(complete)
+    forest = random_forest(complete.where(F.col("part") == "train"), names, num_trees, max_depth)
 
-    scaled = min_max_scaled(split)
-    sequences = staged(lookback_sequences(scaled, lookback), "sequences")
+    sequences = lookback_sequences(scaled, lookback)
     regressor = lookback_fit(validation_split(sequences), max_iter)
 
     forecasts = [
         moving_average_forecast(series, test_fraction=test_fraction),
         holt_winters_forecast(series, grid, test_fraction),
-        tree_forecast(forest, rows.where(F.col("part") == "test"), RANDOM_FOREST),
+        tree_forecast(forest, complete.where(F.col("part") == "test"), RANDOM_FOREST),
         lookback_forecast(regressor, sequences),
     ]
     stacked = forecasts[0]
     for forecast in forecasts[1:]:
         stacked = stacked.unionByName(forecast)
     state = LookbackState(regressor, last_windows(scaled, lookback))
-    return Training(split, stacked, forest, state)
+    return Training(rows.select(*ROW_KEYS, "units", "part"), stacked, forest, state)
 
 
 def run_training(

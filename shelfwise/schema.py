@@ -8,14 +8,22 @@ windows of this package safe at any data size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import types as T
 
 SERIES_KEYS = ["store", "product"]
 ROW_KEYS = ["sale_date", "store", "product"]
 
-SERIES = Window.partitionBy(*SERIES_KEYS)
-BY_DAY = SERIES.orderBy("sale_date")
+
+def series_window() -> WindowSpec:
+    """All rows of a series."""
+    return Window.partitionBy(*SERIES_KEYS)
+
+
+def day_window() -> WindowSpec:
+    """The rows of a series in date order."""
+    return series_window().orderBy("sale_date")
+
 
 FACT_SCHEMA = T.StructType(
     [
