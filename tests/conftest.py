@@ -1,0 +1,65 @@
+import datetime as dt
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+sys.path.insert(0, str(ROOT / "tests"))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[*]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def sales(spark):
+    """Build a daily fact from (store, product, date, units, stock) tuples."""
+
+    def build(rows):
+        return spark.createDataFrame(
+            [(dt.date.fromisoformat(day), store, product, "cat", float(units), int(stock))
+             for store, product, day, units, stock in rows],
+            "sale_date date, store string, product string, category string, units double, stock int",
+        )
+
+    return build
+
+
+@pytest.fixture
+def series(spark):
+    """Build gap-free series from {product: values}, all in store S from the given day."""
+
+    def build(values, first="2022-01-01", store="S"):
+        start = dt.date.fromisoformat(first)
+        rows = [
+            (store, product, start + dt.timedelta(days=i), float(units))
+            for product, units_list in values.items()
+            for i, units in enumerate(units_list)
+        ]
+        return spark.createDataFrame(rows, "store string, product string, sale_date date, units double")
+
+    return build
+
+
+@pytest.fixture
+def holidays(spark):
+    from shelfwise.functions.columns import day_rows
+    from shelfwise.operators.features import HOLIDAYS_2022_2023
+
+    return day_rows(spark, HOLIDAYS_2022_2023, "holiday")
