@@ -19,11 +19,13 @@ def moving_average_fit(dense: DataFrame, window: int = 7, test_fraction: float =
     )
 
 
-def moving_average_predict(fit: DataFrame, horizon: int) -> DataFrame:
+def moving_average_predict(fit: DataFrame, horizon: int, window: int = 7) -> DataFrame:
     """The fitted level for each of the ``horizon`` days after the training part."""
     step = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
     return fit.select(*SERIES_KEYS, "train_end", "level", step.alias("step")).select(
         *SERIES_KEYS,
+        F.lit(f"moving_average_{window}d").alias("model"),
+        F.lit(MULTI_STEP).alias("mode"),
         F.date_add("train_end", F.col("step")).alias("sale_date"),
         F.col("level").alias("predicted"),
     )

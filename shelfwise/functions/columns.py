@@ -17,8 +17,14 @@ def to_day(col: Column, data_type: T.DataType) -> Column:
     return col.cast("date")
 
 
-def non_negative(col: Column) -> Column:
-    """Numeric coercion: text that is no number, NaN and null give 0; clamp at 0."""
+def non_negative(col: Column, data_type: T.DataType) -> Column:
+    """Numeric coercion: text that is no number, NaN and null give 0; clamp at 0.
+
+    Integer columns keep their type, anything else becomes a double.
+    """
+    if isinstance(data_type, T.IntegralType):
+        zero = F.lit(0).cast(data_type)
+        return F.greatest(F.coalesce(col, zero), zero)
     number = F.nanvl(col.try_cast("double"), F.lit(None).cast("double"))
     return F.greatest(F.coalesce(number, F.lit(0.0)), F.lit(0.0))
 

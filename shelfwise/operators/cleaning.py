@@ -32,7 +32,7 @@ def clean_sales(
         .groupBy(*ROW_KEYS)
         .agg(F.min(F.struct(*order)).alias("first_row"))
     )
-    measures = {name: non_negative(F.col(name)) for name in ("units", "stock")}
+    measures = {name: non_negative(F.col(name), df.schema[name].dataType) for name in ("units", "stock")}
     out = first.select(*ROW_KEYS, *[F.col(f"first_row.{name}") for name in rest]).withColumns(measures)
     return out.orderBy("store", "product", "sale_date") if ordered else out
 

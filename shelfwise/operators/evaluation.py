@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.schema import SERIES_KEYS, series_window
+from shelfwise.forecasting import FORECAST_COLUMNS
+from shelfwise.schema import ROW_KEYS, SERIES_KEYS, series_window
 
 # Actuals at or below the first are left out of MAPE; a model below
 # the second meets the accuracy goal.
@@ -15,6 +16,12 @@ MAPE_TARGET = 15.0
 METRICS = ["mape", "mae", "rmse"]
 
 
+def with_actuals(predictions: DataFrame, series: DataFrame) -> DataFrame:
+    """Predictions of known days beside the units of the same series and day."""
+    actuals = series.select(*ROW_KEYS, F.col("units").alias("actual"))
+    return predictions.join(actuals, ROW_KEYS).select(*FORECAST_COLUMNS)
+
+
 def on_common_dates(forecasts: DataFrame) -> DataFrame:
     """Keep the days of each series that all of its models predicted."""
     by_model = Window.partitionBy(*SERIES_KEYS, "sale_date")

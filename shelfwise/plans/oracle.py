@@ -232,18 +232,26 @@ SHOWN_FIT = """select store, product, cast(n_train as int) as n_train, train_end
 
 BOTH = "(select * from ma union all select * from hw_forecast)"
 
-ERRORS = f"""select store, product, model, mode,
+ERRORS = """select store, product, model, mode,
     round(avg(case when abs(actual) > 1e-8 then abs((actual - predicted) / actual) end) * 100, 2) as mape,
     round(avg(abs(actual - predicted)), 2) as mae,
     round(sqrt(avg(pow(actual - predicted, 2))), 2) as rmse, count(*) as days
-    from {BOTH} group by all"""
+    from {forecasts} group by all"""
+
+ALL_ERRORS = ERRORS.format(forecasts=BOTH)
+
+HORIZON_ERRORS = ERRORS.format(
+    forecasts=f"""(select * from {BOTH} join (select store, product, max(sale_date) as train_end
+        from numbered where row_no <= n_train group by all) using (store, product)
+        where sale_date <= train_end + {HORIZON})"""
+)
 
 COMPARED = f"""select *, cast(row_number() over (partition by store, product
         order by mape nulls last, model) as int) as rank, """ + ", ".join(
     f"{m} = min({m}) over (partition by store, product) as {m}_is_best, "
     f"{m} = max({m}) over (partition by store, product) as {m}_is_worst"
     for m in ("mape", "mae", "rmse")
-) + f" from ({ERRORS})"
+) + f" from ({ALL_ERRORS})"
 
 DAILY_STORE = f"""select sale_date, store, sum(units) as units_total,
     count(distinct product) as distinct_products, round(avg(units), 6) as units_mean,
@@ -405,7 +413,8 @@ ORACLE: dict[str, str] = {
     ),
     "ma_forecast": sql("select * replace (round(predicted, 6) as predicted) from ma", "ma"),
     "ma_horizon": sql(
-        f"""select store, product, train_end + step as sale_date, level as predicted from (
+        f"""select store, product, 'moving_average_7d' as model, 'multi_step' as mode,
+        train_end + step as sale_date, level as predicted from (
         select store, product, max(sale_date) as train_end,
             round(avg(units) filter (where row_no > n_train - 7), 6) as level,
             unnest(range(1, {HORIZON} + 1))::int as step
@@ -416,14 +425,15 @@ ORACLE: dict[str, str] = {
     "hw_grid_best": sql(SHOWN_FIT, smooth="sets"),
     "hw_forecast": sql("select * replace (round(predicted, 6) as predicted) from hw_forecast", smooth="sets"),
     "hw_horizon": sql(
-        f"""select store, product, train_end + step as sale_date,
-        round(greatest(level + step * trend + season[(step - 1) % 7 + 1], 0), 6) as predicted
+        f"""select store, product, 'holt_winters' as model, 'multi_step' as mode,
+        train_end + step as sale_date, round(greatest(level + step * trend + season[(step - 1) % 7 + 1], 0), 6) as predicted
         from (select *, unnest(range(1, {HORIZON} + 1))::int as step from hw) join (
             select store, product, max(sale_date) as train_end from numbered
             where row_no <= n_train group by all) using (store, product)""",
         smooth="fixed",
     ),
-    "forecast_errors": sql(ERRORS, "ma", smooth="fixed"),
+    "forecast_errors": sql(ALL_ERRORS, "ma", smooth="fixed"),
+    "horizon_errors": sql(HORIZON_ERRORS, "ma", smooth="fixed"),
     "compare_models": sql(COMPARED, "ma", smooth="fixed"),
     "best_model": sql(
         f"""select store, product, model, mape, coalesce(mape < 15, false) as meets_target
@@ -433,7 +443,7 @@ ORACLE: dict[str, str] = {
     ),
     "run_metrics": sql(
         " union all ".join(
-            f"select store || '_' || product as run_name, model, '{m}' as metric, {m} as value from ({ERRORS})"
+            f"select store || '_' || product as run_name, model, '{m}' as metric, {m} as value from ({ALL_ERRORS})"
             for m in ("mape", "mae", "rmse")
         ),
         "ma",

@@ -276,6 +276,14 @@ def ma_horizon(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ma.moving_average_predict(fit, HORIZON), "predicted")
 
 
+def horizon_errors(spark: SparkSession, sf: str) -> DataFrame:
+    rows = dense(spark, sf)
+    ahead = ma.moving_average_predict(ma.moving_average_fit(rows), HORIZON).unionByName(
+        hw.holt_winters_predict(hw.holt_winters_fit(rows, FIXED_SMOOTHING), HORIZON)
+    )
+    return evaluation.forecast_errors(evaluation.with_actuals(ahead, rows))
+
+
 def shown_fit(fit: DataFrame) -> DataFrame:
     season = {f"season_{i + 1}": F.round(F.get("season", F.lit(i)), 6) for i in range(7)}
     return rounded(fit.withColumns(season).drop("season"), "level", "trend", "aic").withColumn(
@@ -427,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "hw_forecast": hw_forecast,
     "hw_horizon": hw_horizon,
     "forecast_errors": forecast_errors,
+    "horizon_errors": horizon_errors,
     "compare_models": compare_models,
     "best_model": best_model,
     "run_metrics": run_metrics,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +17,16 @@ def run_rows(
     params: Mapping[str, object],
     run_id: str | None = None,
     logged_at: dt.datetime | None = None,
+    own_params: Sequence[str] = (),
 ) -> DataFrame:
-    """Model errors as run records; the run name is store_product."""
-    settings = F.create_map(*[F.lit(str(x)) for pair in params.items() for x in pair])
+    """Model errors as run records; the run name is store_product.
+
+    ``own_params`` names columns of ``errors`` to record as parameters, for what
+    differs between series.
+    """
+    pairs = [(F.lit(name), F.lit(str(value))) for name, value in params.items()]
+    pairs += [(F.lit(name), F.col(name).cast("string")) for name in own_params]
+    settings = F.create_map(*[column for pair in pairs for column in pair])
     return errors.select(
         F.lit(run_id or uuid.uuid4().hex).alias("run_id"),
         F.concat_ws("_", "store", "product").alias("run_name"),
@@ -30,8 +37,14 @@ def run_rows(
     ).unpivot(["run_id", "run_name", "logged_at", "params", "model"], METRICS, "metric", "value")
 
 
-def log_run(errors: DataFrame, params: Mapping[str, object], path: str, run_id: str | None = None) -> str:
+def log_run(
+    errors: DataFrame,
+    params: Mapping[str, object],
+    path: str,
+    run_id: str | None = None,
+    own_params: Sequence[str] = (),
+) -> str:
     """Append a run to the runs table and return its id."""
     run_id = run_id or uuid.uuid4().hex
-    run_rows(errors, params, run_id).write.mode("append").parquet(path)
+    run_rows(errors, params, run_id, own_params=own_params).write.mode("append").parquet(path)
     return run_id

@@ -3,16 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.forecasting.holt_winters import DEFAULT_GRID, holt_winters_forecast
-from shelfwise.forecasting.lookback import LookbackState, last_windows, lookback_fit, lookback_forecast
+from shelfwise.forecasting.lookback import (
+    LookbackState,
+    fit_history,
+    last_windows,
+    lookback_fit,
+    lookback_forecast,
+)
 from shelfwise.forecasting.moving_average import moving_average_forecast
-from shelfwise.forecasting.trees import RANDOM_FOREST, random_forest, save_model, tree_forecast
+from shelfwise.forecasting.trees import (
+    RANDOM_FOREST,
+    feature_importance,
+    random_forest,
+    save_model,
+    tree_forecast,
+)
 from shelfwise.operators import evaluation
 from shelfwise.operators.cleaning import dense_series, one_series
 from shelfwise.operators.features import (
@@ -26,7 +38,7 @@ from shelfwise.operators.features import (
     validation_split,
 )
 from shelfwise.plans.runs import log_run
-from shelfwise.schema import ROW_KEYS
+from shelfwise.schema import ROW_KEYS, SERIES_KEYS
 from shelfwise.sources.files import staged, write_table
 
 
@@ -44,6 +56,13 @@ class Training:
         forecasts = evaluation.on_common_dates(self.forecasts) if common_dates else self.forecasts
         return evaluation.compare_models(evaluation.forecast_errors(forecasts))
 
+    def series_sizes(self) -> DataFrame:
+        """Training and test days of each series."""
+        return self.split.groupBy(*SERIES_KEYS).agg(
+            F.count_if(F.col("part") == "train").alias("train_days"),
+            F.count_if(F.col("part") == "test").alias("test_days"),
+        )
+
     def curves(self) -> DataFrame:
         return evaluation.forecast_curves(self.split, self.forecasts)
 
@@ -103,7 +122,7 @@ def run_training(
     common_dates: bool = True,
     **settings,
 ) -> DataFrame:
-    """Train, score, and write forecasts, comparison, models and run records under ``out``.
+    """Train, score, and write forecasts, comparison, curves, models and run records under ``out``.
 
     With a store and product only that series is trained; it must have rows.
     """
@@ -114,15 +133,19 @@ def run_training(
     training = train_all(dense, holidays, **settings)
 
     spark = cleaned.sparkSession
-    write_table(training.forecasts, f"{out}/forecasts")
-    stored = Training(
-        training.split, spark.read.parquet(f"{out}/forecasts"), training.forest, training.lookback
+    forecasts = spark.read.parquet(write_table(training.forecasts, f"{out}/forecasts"))
+    training = replace(training, forecasts=forecasts)
+    comparison = spark.read.parquet(
+        write_table(training.comparison(common_dates), f"{out}/model_comparison")
     )
-    write_table(stored.comparison(common_dates), f"{out}/model_comparison")
-    write_table(stored.curves(), f"{out}/curves")
+    write_table(evaluation.best_model(comparison), f"{out}/best_model")
+    write_table(training.curves(), f"{out}/curves")
+    write_table(feature_importance(spark, training.forest), f"{out}/feature_importance")
+    write_table(fit_history(spark, training.lookback.model), f"{out}/lookback_history")
     save_model(training.forest, f"{out}/random_forest")
     training.lookback.save(f"{out}/lookback")
 
-    comparison = spark.read.parquet(f"{out}/model_comparison")
-    log_run(comparison, {"common_dates": common_dates, **settings}, f"{out}/runs")
+    params = {"common_dates": common_dates, **settings}
+    recorded = comparison.join(training.series_sizes(), SERIES_KEYS)
+    log_run(recorded, params, f"{out}/runs", own_params=["store", "product", "train_days", "test_days"])
     return comparison

@@ -30,7 +30,7 @@ def plain(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else value + 0.0
+        return "nan" if math.isnan(value) else repr(value)
     return value
 
 

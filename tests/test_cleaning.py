@@ -108,3 +108,9 @@ def test_dense_series_has_every_day_and_keeps_the_total(sales, sold):
         mine = sorted((r.sale_date - first).days for r in out if r.product == p)
         assert mine == list(range(days[0], days[-1] + 1))
         assert sum(r.units for r in out if r.product == p) == sum(u for (q, _), u in sold.items() if q == p)
+
+
+def test_integer_measures_stay_integers(spark, sales):
+    df = sales([("S", "P", "2022-01-01", -5, -1)])
+    out = clean_sales(df)
+    assert dict(out.dtypes)["stock"] == "int" and (out.collect()[0].units, out.collect()[0].stock) == (0.0, 0)

@@ -86,3 +86,11 @@ def test_run_records_accept_no_parameters(spark):
 def test_eps_is_a_parameter(spark, eps, mape):
     df = forecasts(spark, {"m": [(1, 3), (10, 10)]})
     assert ev.forecast_errors(df, eps).collect()[0].mape == mape
+
+
+def test_predictions_join_their_actuals_by_series_and_day(spark, series):
+    from shelfwise.forecasting.moving_average import moving_average_fit, moving_average_predict
+
+    df = series({"P": range(10), "Q": range(5)})
+    out = ev.with_actuals(moving_average_predict(moving_average_fit(df), 30), df).collect()
+    assert {(r["product"], r.actual, r.predicted) for r in out} == {("P", 8.0, 4.0), ("P", 9.0, 4.0), ("Q", 4.0, 1.5)}

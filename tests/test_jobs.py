@@ -5,6 +5,8 @@ import pytest
 from shelfwise.forecasting.trees import load_model
 from shelfwise.operators.cleaning import clean_sales
 from shelfwise.plans.batch import run_batch, stored_row_counts
+from shelfwise.plans.run import main
+from shelfwise.plans.settings import session_settings
 from shelfwise.plans.training import run_training, train_all
 from shelfwise.schema import FEED_COLUMNS, REPORT_COLUMNS
 
@@ -77,7 +79,14 @@ def test_training_job_scores_every_series(spark, cleaned, holidays, tmp_path):
         assert [(m, n) for _, m, n in mine] == sorted((m, n) for _, m, n in mine)
     runs = spark.read.parquet(str(tmp_path / "runs"))
     assert runs.count() == 4 * 4 * 3 and runs.select("run_id").distinct().count() == 1
-    assert runs.collect()[0].params["num_trees"] == "3"
+    params = runs.collect()[0].params
+    assert params["num_trees"] == "3" and (params["train_days"], params["test_days"]) == ("72", "18")
+    assert {(r.params["store"] + "_" + r.params["product"]) for r in runs.collect()} == {
+        r.run_name for r in runs.collect()
+    }
+    assert spark.read.parquet(str(tmp_path / "best_model")).count() == 4
+    assert spark.read.parquet(str(tmp_path / "feature_importance")).count() == 23
+    assert spark.read.parquet(str(tmp_path / "lookback_history")).count() > 1
     curves = spark.read.parquet(str(tmp_path / "curves"))
     assert {r.curve for r in curves.select("curve").distinct().collect()} == models | {"actual"}
     assert load_model(str(tmp_path / "random_forest")).stages[-1].getNumTrees == 3
@@ -114,3 +123,20 @@ def test_short_series_keep_their_simple_forecasts(spark, series, holidays):
     out = train_all(df, holidays, **QUICK).forecasts.collect()
     models = {r.model for r in out if r["product"] == "short"}
     assert {"moving_average_7d", "holt_winters"} <= models and "random_forest" not in models
+
+
+def test_command_line_runs_both_jobs(spark, feed, tmp_path, capsys):
+    main(["batch", "--feed", feed, "--out", str(tmp_path)])
+    assert "critical alerts:" in capsys.readouterr().out
+    options = ["--trees", "2", "--depth", "3", "--lookback", "7"]
+    main(["train", "--sales", str(tmp_path / "clean_sales"), "--out", str(tmp_path), "--store", "A", "--product", "x", *options])
+    assert "series_won" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "model_comparison")).count() == 4
+
+
+def test_settings_follow_the_shuffle_size():
+    small, large = session_settings(10**9, 64), session_settings(100 * 10**12, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "64"
+    assert large["spark.sql.shuffle.partitions"] == "40000"
+    assert int(large["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 100 * 10**12 // 40_000
+    assert large["spark.sql.files.maxPartitionBytes"] == str(1024**3)
