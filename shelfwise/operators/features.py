@@ -115,16 +115,52 @@ def add_lags(df: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
 
 
 def add_rolling(df: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS) -> DataFrame:
-    """Mean, sample deviation and maximum of the previous rows, where a window is full."""
-    columns = {}
-    for size in windows:
-        frame = day_window().rowsBetween(-size, -1)
+    """Mean, sample deviation and maximum of the previous rows, where a window is full.
+
+    Only the smallest window slides over its rows. A larger one is put together
+    from whole earlier windows of the next smaller size and the few rows that
+    remain, so its cost does not grow with its length: the parts' means and
+    squared deviations combine without the cancellation of running totals.
+    """
+    day = day_window()
+    rows, smaller = df, None
+    if ROLLING_MAX_WINDOW in windows:
+        frame = day.rowsBetween(-ROLLING_MAX_WINDOW, -1)
         observed = F.count("units").over(frame)
-        columns[f"rolling_mean_{size}"] = full_window(F.avg("units").over(frame), observed, size)
-        columns[f"rolling_std_{size}"] = full_window(F.stddev_samp("units").over(frame), observed, size)
-        if size == ROLLING_MAX_WINDOW:
-            columns[f"rolling_max_{size}"] = full_window(F.max("units").over(frame), observed, size)
-    return df.withColumns(columns)
+        largest = full_window(F.max("units").over(frame), observed, ROLLING_MAX_WINDOW)
+        rows = df.withColumn(f"rolling_max_{ROLLING_MAX_WINDOW}", largest)
+    for size in sorted(set(windows)):
+        mean, squares = f"rolling_mean_{size}", f"squares_{size}"
+        if smaller is None:
+            frame = day.rowsBetween(-size, -1)
+            observed = F.count("units").over(frame)
+            rows = rows.withColumns(
+                {
+                    mean: full_window(F.avg("units").over(frame), observed, size),
+                    squares: full_window(F.var_pop("units").over(frame) * size, observed, size),
+                }
+            )
+        else:
+            whole, rest = divmod(size, smaller)
+            back = {}
+            for i in range(1, whole):
+                back[f"mean_{i}"] = F.lag(f"rolling_mean_{smaller}", i * smaller).over(day)
+                back[f"squares_{i}"] = F.lag(f"squares_{smaller}", i * smaller).over(day)
+            for i in range(rest):
+                back[f"row_{i}"] = F.lag("units", whole * smaller + 1 + i).over(day)
+            parts = [(smaller, F.col(f"rolling_mean_{smaller}"), F.col(f"squares_{smaller}"))]
+            parts += [(smaller, F.col(f"mean_{i}"), F.col(f"squares_{i}")) for i in range(1, whole)]
+            parts += [(1, F.col(f"row_{i}"), F.lit(0.0)) for i in range(rest)]
+            total = sum((part_mean * n for n, part_mean, _ in parts), F.lit(0.0))
+            spread = sum(
+                (part + (part_mean - F.col(mean)) * (part_mean - F.col(mean)) * n for n, part_mean, part in parts),
+                F.lit(0.0),
+            )
+            rows = rows.withColumns(back).withColumn(mean, total / size).withColumn(squares, spread).drop(*back)
+        degrees = F.nullif(F.lit(size - 1.0), F.lit(0.0))
+        rows = rows.withColumn(f"rolling_std_{size}", F.sqrt(F.col(squares) / degrees))
+        smaller = size
+    return rows.select(*df.columns, *rolling_names(windows))
 
 
 def add_history_features(dense: DataFrame) -> DataFrame:
@@ -132,10 +168,11 @@ def add_history_features(dense: DataFrame) -> DataFrame:
 
     A ``series_start`` column, where present, is taken as the first day.
     """
-    rows = add_rolling(add_lags(dense))
+    rows = dense
     if "series_start" not in dense.columns:
         so_far = day_window().rowsBetween(Window.unboundedPreceding, 0)
-        rows = rows.withColumn("series_start", F.min("sale_date").over(so_far))
+        rows = dense.withColumn("series_start", F.min("sale_date").over(so_far))
+    rows = add_rolling(add_lags(rows))
     return rows.withColumn("days_since_start", F.datediff("sale_date", "series_start")).drop("series_start")
 
 

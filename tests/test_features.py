@@ -58,6 +58,30 @@ def test_history_features_equal_pandas(series):
         np.testing.assert_allclose(got.dropna(), column.dropna(), atol=1e-9, err_msg=name)
 
 
+@pytest.mark.parametrize("windows", [[2], [1, 3], [7, 13, 20], [30, 7, 14, 90], [5, 6, 7]])
+def test_any_windows_equal_pandas(series, windows):
+    data = [x / 7 + 1000 for x in values(120)]
+    out = by_day(ft.add_rolling(series({"P": data}), windows), "*")
+    shifted = pd.Series(data).shift(1)
+    for size in windows:
+        for kind in ("mean", "std"):
+            column = getattr(shifted.rolling(size), kind)()
+            got = pd.Series([r[f"rolling_{kind}_{size}"] for r in out], dtype=float)
+            assert (got.isna() == column.isna()).all(), (kind, size)
+            np.testing.assert_allclose(got.dropna(), column.dropna(), atol=1e-7)
+
+
+def test_a_missing_value_empties_its_windows_as_in_pandas(series):
+    data = values(80)
+    df = series({"P": data}).withColumn("units", F.when(F.dayofyear("sale_date") != 25, F.col("units")))
+    out = by_day(ft.add_rolling(df), "*")
+    shifted = pd.Series([float("nan") if i == 24 else float(x) for i, x in enumerate(data)]).shift(1)
+    for size in ft.ROLLING_WINDOWS:
+        expected = shifted.rolling(size).mean()
+        got = pd.Series([r[f"rolling_mean_{size}"] for r in out], dtype=float)
+        assert (got.isna() == expected.isna()).all()
+
+
 def test_constant_series_has_no_deviation(series):
     out = by_day(ft.add_rolling(series({"P": [5] * 40})), "rolling_std_30", "rolling_mean_7")
     assert out[-1].rolling_std_30 == 0.0 and out[-1].rolling_mean_7 == 5.0
