@@ -36,14 +36,20 @@ def random_forest(
     max_depth: int = 15,
     min_leaf: int = 5,
     seed: int = 42,
+    max_memory_mb: int = 256,
 ) -> PipelineModel:
-    """Random forest over standardised features; every split looks at all features."""
+    """Random forest over standardised features; every split looks at all features.
+
+    ``max_memory_mb`` is what one task may hold of split statistics; more of it
+    means fewer passes over the rows for many deep trees.
+    """
     forest = RandomForestRegressor(
         labelCol="units",
         numTrees=num_trees,
         maxDepth=max_depth,
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="all",
+        maxMemoryInMB=max_memory_mb,
         seed=seed,
     )
     return _fit(train, features, forest)

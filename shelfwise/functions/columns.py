@@ -39,6 +39,16 @@ def iso_year(day: Column) -> Column:
     return F.extract(F.lit("YEAROFWEEK"), day)
 
 
+def padded_code(prefix: str, number: Column, width: int) -> Column:
+    """A code such as ``PROD_007``."""
+    return F.format_string(f"{prefix}_%0{width}d", number)
+
+
+def code_number(code: Column) -> Column:
+    """The number at the end of a code; null where there is none."""
+    return F.regexp_extract(code, r"_(\d+)$", 1).try_cast("long")
+
+
 def flag(condition: Column) -> Column:
     return condition.cast("int")
 

@@ -122,13 +122,16 @@ def stock_alerts(df: DataFrame, alert_ratio: float = 0.3, rows: int = 7) -> Data
     return with_mean.withColumn("state", state)
 
 
-def stock_alerts_report(alerts: DataFrame) -> DataFrame:
-    """Critical and low rows of ``stock_alerts``, latest first."""
-    return (
-        alerts.where(F.col("state").isin(CRITICAL, LOW))
-        .select("sale_date", "store", "product", "stock", "units_mean_prev7", "state")
-        .orderBy(F.desc("sale_date"), "store", "product")
+def stock_alerts_report(alerts: DataFrame, ordered: bool = True) -> DataFrame:
+    """Critical and low rows of ``stock_alerts``, latest first.
+
+    A large report is better written without ``ordered``: a global sort reads its
+    input twice, and readers of the latest rows need a top-k only.
+    """
+    rows = alerts.where(F.col("state").isin(CRITICAL, LOW)).select(
+        "sale_date", "store", "product", "stock", "units_mean_prev7", "state"
     )
+    return rows.orderBy(F.desc("sale_date"), "store", "product") if ordered else rows
 
 
 def latest_alerts(alerts: DataFrame, n: int = 100) -> DataFrame:

@@ -23,12 +23,19 @@ def with_actuals(predictions: DataFrame, series: DataFrame) -> DataFrame:
 
 
 def on_common_dates(forecasts: DataFrame) -> DataFrame:
-    """Keep the days of each series that all of its models predicted."""
-    by_model = Window.partitionBy(*SERIES_KEYS, "sale_date")
-    ranked = forecasts.withColumn("models_on_day", F.count("model").over(by_model))
-    return ranked.withColumn("models", F.max("models_on_day").over(series_window())).where(
-        F.col("models_on_day") == F.col("models")
-    ).drop("models_on_day", "models")
+    """Keep the days of each series that all of its models predicted.
+
+    Whole series are placed together first: that one shuffle serves the counts
+    per day, their maximum per series, and the errors and ranks computed later.
+    """
+    of_day = Window.partitionBy(*SERIES_KEYS, "sale_date")
+    return (
+        forecasts.repartition(*SERIES_KEYS)
+        .withColumn("models_on_day", F.count("model").over(of_day))
+        .withColumn("models", F.max("models_on_day").over(series_window()))
+        .where(F.col("models_on_day") == F.col("models"))
+        .drop("models_on_day", "models")
+    )
 
 
 def forecast_errors(forecasts: DataFrame, eps: float = MAPE_EPS) -> DataFrame:

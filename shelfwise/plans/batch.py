@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import batch
 from shelfwise.operators.cleaning import clean_sales
 from shelfwise.schema import with_report_names
-from shelfwise.sources.files import read_sales_csv, write_table
+from shelfwise.sources.files import FEED_POSITION, read_sales_csv, write_table
 
 
 @dataclass(frozen=True)
@@ -19,9 +19,15 @@ class BatchResult:
     critical_alerts: int
 
 
-def load_feed(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """A raw sales feed: CSV, or a table that already has the fact's column names."""
-    return read_sales_csv(spark, path, raw=True) if fmt == "csv" else spark.read.format(fmt).load(path)
+def cleaned_feed(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """A cleaned feed: CSV, or a table that already has the fact's column names.
+
+    Of several copies of a key in a CSV file the first line stays.
+    """
+    if fmt != "csv":
+        return clean_sales(spark.read.format(fmt).load(path))
+    feed = read_sales_csv(spark, path, raw=True, positions=True)
+    return clean_sales(feed, FEED_POSITION).drop(*FEED_POSITION)
 
 
 def run_batch(
@@ -39,21 +45,24 @@ def run_batch(
     The cleaned table on shared storage takes the place of a cache: it is
     columnar, larger than memory may hold, and stays when an executor is lost.
     The critical count reads the written report, so alerts are computed once.
-    ``report_names`` writes the headers that consumers of the reports expect.
+    Alerts, the one report that grows with the feed, are written by month.
+    ``report_names`` instead writes all reports with the headers and in the order
+    that their consumers expect.
     """
-    cleaned_path = write_table(clean_sales(load_feed(spark, feed, feed_format)), f"{out}/clean_sales", "sale_date")
+    cleaned_path = write_table(cleaned_feed(spark, feed, feed_format), f"{out}/clean_sales", "sale_date")
     cleaned = spark.read.parquet(cleaned_path)
     alerts = batch.stock_alerts(cleaned, alert_ratio)
     reports = {
         "daily_store_aggregates": batch.daily_store_aggregates(cleaned, cleaned=True),
         "weekly_category_stats": batch.weekly_category_stats(cleaned),
         "top_products_by_store": batch.top_products_by_store(cleaned, top_n),
-        "stock_alerts": batch.stock_alerts_report(alerts),
+        "stock_alerts": batch.stock_alerts_report(alerts, ordered=report_names),
     }
     paths = {"clean_sales": cleaned_path}
     for name, report in reports.items():
         named = with_report_names(report, name) if report_names else report
-        paths[name] = write_table(named, f"{out}/{name}", fmt=report_format)
+        month_of = "sale_date" if name == "stock_alerts" and not report_names else None
+        paths[name] = write_table(named, f"{out}/{name}", month_of, report_format)
     stored = spark.read.format(report_format).option("header", True).load(paths["stock_alerts"])
     state = "alerta_stock" if report_names else "state"
     critical = stored.where(F.col(state) == batch.CRITICAL).count()

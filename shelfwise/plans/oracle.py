@@ -307,6 +307,7 @@ ORACLE: dict[str, str] = {
         select count(*) as rows_before, count(distinct (sale_date, store, product)) as rows_after from raw)""",
         "raw",
     ),
+    "product_codes": "select printf('PROD_%03d', p_partkey) as product, p_partkey as number from part",
     "category_lookup": sql(
         f"""select sale_date, store, product, units, coalesce(p_type, 'Otros') as category
         from lines left join (select * from part where p_size >= {LISTED_FROM_SIZE}) on product = p_partkey""",

@@ -18,6 +18,7 @@ from shelfwise.forecasting import holt_winters as hw
 from shelfwise.forecasting import lookback as lb
 from shelfwise.forecasting import moving_average as ma
 from shelfwise.forecasting import trees
+from shelfwise.functions.columns import code_number, padded_code
 from shelfwise.operators import batch, cleaning, evaluation, features, overview
 from shelfwise.plans.runs import run_rows
 from shelfwise.plans.training import Training, train_all
@@ -32,6 +33,7 @@ HOLIDAY_YEARS = (1990, 2010)
 ORIGIN = dt.date(1995, 1, 1)
 FEATURES_FROM = dt.date(2000, 1, 1)
 FIXED_SMOOTHING = [(0.1, 0.01, 0.1)]
+# The category table leaves out the smallest parts, so some lines find no category.
 LISTED_FROM_SIZE = 10
 HORIZON = 14
 LOOKBACK = 30
@@ -100,6 +102,13 @@ def duplicate_count(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.duplicate_count(star.raw_feed(spark, sf))
 
 
+def product_codes(spark: SparkSession, sf: str) -> DataFrame:
+    code = padded_code("PROD", F.col("p_partkey"), 3)
+    return star.table(spark, sf, "part").select(
+        code.alias("product"), code_number(code).alias("number")
+    )
+
+
 def category_lookup(spark: SparkSession, sf: str) -> DataFrame:
     listed = star.table(spark, sf, "part").where(F.col("p_size") >= LISTED_FROM_SIZE)
     names = listed.select(F.col("p_partkey").alias("product"), F.col("p_type").alias("category"))
@@ -374,6 +383,10 @@ def lookback_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return lb.lookback_forecast(lookback_model(scaled), features.lookback_sequences(scaled, LOOKBACK))
 
 
+def lookback_history(spark: SparkSession, sf: str) -> DataFrame:
+    return lb.fit_history(spark, lookback_model(staged(scaled_series(spark, sf), "scaled")))
+
+
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
     scaled = staged(scaled_series(spark, sf), "scaled")
     return lb.LookbackState(lookback_model(scaled), lb.last_windows(scaled, LOOKBACK)).forecast(HORIZON)
@@ -396,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "load_sales": load_sales,
     "clean_sales": clean_sales,
     "duplicate_count": duplicate_count,
+    "product_codes": product_codes,
     "category_lookup": category_lookup,
     "dense_series": dense,
     "series_one": series_one,
@@ -444,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "gbt_forecast": gbt_forecast,
     "feature_importance": feature_importance,
     "lookback_forecast": lookback_forecast,
+    "lookback_history": lookback_history,
     "recursive_forecast": recursive_forecast,
     "recursive_forecast_fixed": recursive_forecast_fixed,
     "compare_all_models": compare_all_models,

@@ -14,13 +14,21 @@ from shelfwise.functions.columns import to_day
 from shelfwise.schema import FACT_SCHEMA, FEED_COLUMNS
 
 
-def read_sales_csv(spark: SparkSession, path: str, raw: bool = False) -> DataFrame:
+# Where a row stands in its feed file: the split's offset and the order within the split.
+FEED_POSITION = ["feed_block", "feed_row"]
+
+
+def read_sales_csv(
+    spark: SparkSession, path: str, raw: bool = False, positions: bool = False
+) -> DataFrame:
     """The sales feed under the fact's column names.
 
     Headers are checked against the declared schema, so swapped columns fail
     instead of loading into the wrong place. With ``raw`` the two measures stay
     text for ``clean_sales`` to coerce; otherwise text that is no number is null.
-    A missing path raises Spark's own ``PATH_NOT_FOUND``.
+    ``positions`` adds ``FEED_POSITION``, by which the first of several copies in
+    a file can be told whatever order Spark reads the splits in. A missing path
+    raises Spark's own ``PATH_NOT_FOUND``.
     """
     as_text = {"sale_date", "units", "stock"} if raw else {"sale_date"}
     declared = T.StructType(
@@ -36,6 +44,12 @@ def read_sales_csv(spark: SparkSession, path: str, raw: bool = False) -> DataFra
         .csv(path)
         .withColumnsRenamed(FEED_COLUMNS)
     )
+    if positions:
+        rows = rows.select(
+            "*",
+            F.col("_metadata.file_block_start").alias("feed_block"),
+            F.monotonically_increasing_id().alias("feed_row"),
+        )
     return rows.withColumn("sale_date", to_day(F.col("sale_date"), T.StringType()))
 
 

@@ -110,6 +110,15 @@ def test_dense_series_has_every_day_and_keeps_the_total(sales, sold):
         assert sum(r.units for r in out if r.product == p) == sum(u for (q, _), u in sold.items() if q == p)
 
 
+def test_codes_are_padded_and_parsed(spark):
+    from shelfwise.functions.columns import code_number, padded_code
+
+    df = spark.range(7, 9).withColumn("code", padded_code("PROD", F.col("id"), 3))
+    df = df.withColumn("number", code_number(F.col("code")))
+    assert [(r.code, r.number) for r in df.orderBy("id").collect()] == [("PROD_007", 7), ("PROD_008", 8)]
+    assert spark.range(1).select(code_number(F.lit("none")).alias("n")).collect()[0].n is None
+
+
 def test_integer_measures_stay_integers(spark, sales):
     df = sales([("S", "P", "2022-01-01", -5, -1)])
     out = clean_sales(df)

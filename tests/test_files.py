@@ -38,6 +38,19 @@ def test_raw_feed_keeps_text_for_cleaning(spark, tmp_path):
     assert [(r.units, r.stock) for r in out] == [(0.0, 2.5), (0.0, 0.0), (0.0, 7.0)]
 
 
+def test_the_first_line_of_a_key_wins_across_splits(spark, tmp_path):
+    lines = [line(f"2022-01-{1 + i % 28:02d}", str(5000 - i), "1") for i in range(4000)]
+    path = feed(tmp_path, lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8KB")
+    try:
+        raw = files.read_sales_csv(spark, path, raw=True, positions=True)
+        assert raw.rdd.getNumPartitions() > 4
+        kept = clean_sales(raw, files.FEED_POSITION).orderBy("sale_date").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.units for r in kept] == [5000.0 - i for i in range(28)]
+
+
 def test_swapped_headers_fail_instead_of_loading_wrongly(spark, tmp_path):
     swapped = HEADER.replace("tienda,producto", "producto,tienda")
     with pytest.raises(Exception, match="header|FAILED_READ_FILE"):

@@ -27,7 +27,7 @@ def feed(tmp_path_factory):
     lines = [",".join(FEED_COLUMNS)]
     for day, store, product, category, units, stock in rows:
         lines.append(f"{day},{store},{product},{category},{units},{stock},0,{day.weekday()},{day.month},1,1")
-    lines.append(lines[1].replace(",12.0,", ",999.0,"))  # a copy of the first key
+    lines.append(lines[1].replace(",12.0,", ",1.0,"))  # a later, smaller copy of the first key
     path.write_text("\n".join(lines) + "\n", encoding="utf-8")
     return str(path)
 
@@ -42,6 +42,8 @@ def test_batch_job_writes_all_reports(spark, feed, tmp_path):
     assert alerts.where("state = 'CRITICO'").count() == result.critical_alerts > 0
     days = spark.read.parquet(result.paths["clean_sales"])
     assert days.where("sale_month = '2022-02'").count() == 28 * 4
+    first = days.where("sale_date = '2022-01-01' and store = 'A' and product = 'x'").collect()
+    assert [r.units for r in first] == [24.0]
 
 
 def test_batch_job_can_write_csv_with_the_expected_headers(spark, feed, tmp_path):

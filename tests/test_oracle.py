@@ -11,8 +11,8 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the generated tables")
 
 FITTED = {
-    "rf_forecast", "gbt_forecast", "feature_importance", "lookback_forecast", "recursive_forecast",
-    "compare_all_models",
+    "rf_forecast", "gbt_forecast", "feature_importance", "lookback_forecast", "lookback_history",
+    "recursive_forecast", "compare_all_models",
 }
 
 

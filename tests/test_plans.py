@@ -12,7 +12,7 @@ from shelfwise.forecasting.holt_winters import holt_winters_forecast
 from shelfwise.forecasting.moving_average import moving_average_forecast
 from shelfwise.operators import batch, cleaning, overview
 from shelfwise.operators import features as ft
-from shelfwise.plans.batch import load_feed
+from shelfwise.plans.batch import cleaned_feed
 
 
 def plan(df):
@@ -123,4 +123,4 @@ def test_nothing_forces_a_broadcast(stored, holidays, spark):
 
 def test_feed_reader_is_lazy(spark, tmp_path):
     (tmp_path / "feed").mkdir()
-    assert load_feed(spark, str(tmp_path / "feed")).columns[0] == "sale_date"
+    assert cleaned_feed(spark, str(tmp_path / "feed")).columns[0] == "sale_date"
