@@ -373,22 +373,26 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return trees.feature_importance(spark, trees.random_forest(train_rows(rows), **FOREST), top=12)
 
 
+def staged_series(spark: SparkSession, sf: str) -> DataFrame:
+    return staged(scaled_series(spark, sf), "scaled", SERIES_KEYS, ["sale_date"])
+
+
 def lookback_model(scaled: DataFrame) -> lb.LinearRegressionModel:
     rows = features.validation_split(features.lookback_sequences(scaled, LOOKBACK))
     return lb.lookback_fit(rows, LOOKBACK_ITERATIONS)
 
 
 def lookback_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = staged(scaled_series(spark, sf), "scaled")
+    scaled = staged_series(spark, sf)
     return lb.lookback_forecast(lookback_model(scaled), features.lookback_sequences(scaled, LOOKBACK))
 
 
 def lookback_history(spark: SparkSession, sf: str) -> DataFrame:
-    return lb.fit_history(spark, lookback_model(staged(scaled_series(spark, sf), "scaled")))
+    return lb.fit_history(spark, lookback_model(staged_series(spark, sf)))
 
 
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = staged(scaled_series(spark, sf), "scaled")
+    scaled = staged_series(spark, sf)
     return lb.LookbackState(lookback_model(scaled), lb.last_windows(scaled, LOOKBACK)).forecast(HORIZON)
 
 

@@ -20,6 +20,7 @@ from shelfwise.operators.features import HOLIDAYS_2022_2023
 from shelfwise.plans.batch import run_batch, stored_row_counts
 from shelfwise.plans.settings import session_settings
 from shelfwise.plans.training import run_training
+from shelfwise.sources.files import forget_staged
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -77,6 +78,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     comparison.groupBy("model").agg(
         F.count_if(F.col("rank") == 1).alias("series_won"), F.avg("mape").alias("mean_mape")
     ).orderBy(F.desc("series_won")).show(truncate=False)
+    forget_staged(spark)
 
 
 if __name__ == "__main__":

@@ -80,14 +80,15 @@ def train_all(
 ) -> Training:
     """Fit the four models on dense series and predict all test days.
 
-    One chain in one partitioning adds the split, the scaling and the features;
-    its result is staged, since every model reads some columns of it. By default
-    every model is tested on the days of the series split. ``own_feature_split``
+    One chain in one partitioning adds the split, the scaling and the features.
+    Its result is staged by series, since every model reads some columns of it
+    and all but the forest need whole series again, then without a shuffle. By
+    default every model is tested on the days of the series split. ``own_feature_split``
     splits the feature rows by themselves instead, after the rows without a full
     history are gone, so the forest's test part is shorter.
     """
     scaled = min_max_scaled(temporal_split(dense, test_fraction))
-    rows = staged(add_calendar_features(add_history_features(scaled), holidays), "training-rows")
+    rows = staged(add_calendar_features(add_history_features(scaled), holidays), "training-rows", SERIES_KEYS, ["sale_date"])
     series = rows.select(*ROW_KEYS, "units")
     scaled = rows.select(*ROW_KEYS, "units", "part", "scale_min", "scale_max", "scaled")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from shelfwise.functions.columns import to_day
 from shelfwise.schema import FACT_SCHEMA, FEED_COLUMNS
 
 
+# The most buckets Spark accepts by default.
+MAX_BUCKETS = 100_000
+
 # Where a row stands in its feed file: the split's offset and the order within the split.
 FEED_POSITION = ["feed_block", "feed_row"]
 
@@ -113,13 +117,31 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def _stage_prefix(spark: SparkSession) -> str:
+    return "shelfwise_stage_" + spark.sparkContext.applicationId.replace("-", "_").lower()
+
+
+def staged(df: DataFrame, name: str, by: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    For a table that several jobs read (an iterative fit, four reports): it is
-    computed once, in columnar form, and a lost executor cannot lose it.
+    For a table that several jobs read (an iterative fit, several models): it is
+    computed once, in columnar form, and a lost executor cannot lose it. With
+    ``by`` it is bucketed by those columns as a shuffle on them would place its
+    rows, so later windows and aggregates per ``by`` read it without a shuffle.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not by:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    entry = f"{_stage_prefix(spark)}_{uuid.uuid4().hex}"
+    writer = df.write.format("parquet").option("path", path)
+    writer.bucketBy(buckets, *by).sortBy(*by, *order).saveAsTable(entry)
+    return spark.table(entry)
+
+
+def forget_staged(spark: SparkSession) -> None:
+    """Drop this application's bucketed stages from the catalog; their files stay."""
+    for entry in spark.catalog.listTables(pattern=f"{_stage_prefix(spark)}*"):
+        spark.sql(f"drop table if exists {entry.name}")

@@ -12,6 +12,7 @@ from shelfwise.forecasting.holt_winters import holt_winters_forecast
 from shelfwise.forecasting.moving_average import moving_average_forecast
 from shelfwise.operators import batch, cleaning, overview
 from shelfwise.operators import features as ft
+from shelfwise.sources.files import forget_staged, staged
 from shelfwise.plans.batch import cleaned_feed
 
 
@@ -54,6 +55,21 @@ def test_forecasts_reuse_the_series_shuffle(stored):
     assert shuffles(holt_winters_forecast(dense, [(0.1, 0.01, 0.1)])) == ["hashpartitioning"]
 
 
+def test_series_staged_by_key_need_no_further_shuffle(spark, stored):
+    scaled = ft.min_max_scaled(ft.temporal_split(cleaning.dense_series(stored)))
+    rows = staged(scaled, "series", ["store", "product"], ["sale_date"])
+    assert sorted(rows.columns) == sorted(scaled.columns) and rows.count() == scaled.count()
+    series = rows.select("store", "product", "sale_date", "units")
+    for df in (
+        moving_average_forecast(series),
+        holt_winters_forecast(series),
+        ft.validation_split(ft.lookback_sequences(rows, 10)),
+    ):
+        assert shuffles(df) == []
+    forget_staged(spark)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("shelfwise_stage")]
+
+
 def test_duplicates_are_reduced_before_the_shuffle(stored):
     text = plan(cleaning.clean_sales(stored))
     assert text.index("Exchange hashpartitioning") < text.index("partial_min")
