@@ -63,6 +63,14 @@ def full_window(value: Column, observed: Column, size: int) -> Column:
     return F.when(observed == size, value)
 
 
+def rows_since(df: DataFrame, day: dt.date) -> DataFrame:
+    """Rows of a day and later; of a table written by month, only those months are read."""
+    rows = df.where(F.col("sale_date") >= day)
+    if "sale_month" in df.columns:
+        rows = rows.where(F.col("sale_month") >= day.strftime("%Y-%m"))
+    return rows
+
+
 def train_rows(total: Column, test_fraction: float) -> Column:
     """Rows in the training part of ``total`` rows, in double arithmetic."""
     return F.floor(total * F.lit(1 - test_fraction))

@@ -13,7 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import flag, full_window, is_black_friday, train_rows, weekday
+from shelfwise.functions.columns import (
+    flag,
+    full_window,
+    is_black_friday,
+    rows_since,
+    train_rows,
+    weekday,
+)
 from shelfwise.schema import SERIES_KEYS, day_window, series_window
 
 # Lags and rolling windows in rows; the window whose maximum is kept.
@@ -194,7 +201,7 @@ def feature_matrix(
     if from_date is not None:
         reach = dt.timedelta(days=max(LAGS + ROLLING_WINDOWS))
         starts = dense.groupBy(*SERIES_KEYS).agg(F.min("sale_date").alias("series_start"))
-        rows = dense.where(F.col("sale_date") >= from_date - reach).join(starts, SERIES_KEYS)
+        rows = rows_since(dense, from_date - reach).join(starts, SERIES_KEYS)
     rows = complete_features(add_history_features(rows))
     if from_date is not None:
         rows = rows.where(F.col("sale_date") >= from_date)

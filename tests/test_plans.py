@@ -12,7 +12,7 @@ from shelfwise.forecasting.holt_winters import holt_winters_forecast
 from shelfwise.forecasting.moving_average import moving_average_forecast
 from shelfwise.operators import batch, cleaning, overview
 from shelfwise.operators import features as ft
-from shelfwise.sources.files import forget_staged, staged
+from shelfwise.sources.files import forget_staged, staged, write_table
 from shelfwise.plans.batch import cleaned_feed
 
 
@@ -33,7 +33,7 @@ def stored(spark, tmp_path_factory):
     start = dt.date(2022, 1, 1)
     rows = [
         (start + dt.timedelta(days=i), s, p, "c", float(i % 9), i % 11, 0)
-        for s in "AB" for p in "xyz" for i in range(60)
+        for s in "AB" for p in "xyz" for i in range(90)
     ]
     path = str(tmp_path_factory.mktemp("fact") / "sales")
     spark.createDataFrame(
@@ -117,6 +117,15 @@ def test_features_from_a_date_push_the_reach_to_the_scan(stored, holidays):
     assert "GreaterThanOrEqual(sale_date,2022-01-16)" in text
 
 
+def test_features_from_a_date_read_only_their_months(spark, stored, holidays, tmp_path):
+    path = write_table(cleaning.dense_series(stored), str(tmp_path / "dense"), month_of="sale_date")
+    dense = spark.read.parquet(path)
+    rows = ft.feature_matrix(dense, holidays, dt.date(2022, 3, 5))
+    assert "(sale_month" in plan(rows) and ">= 2022-02)" in plan(rows)
+    whole = ft.feature_matrix(dense, holidays).where("sale_date >= '2022-03-05'")
+    assert sorted(rows.collect()) == sorted(whole.collect()) and rows.count() > 0
+
+
 def test_no_operator_runs_python_but_the_grid_search(stored, holidays):
     dense = cleaning.dense_series(stored)
     outputs = [
