@@ -457,5 +457,18 @@ ORACLE: dict[str, str] = {
         "ma",
         smooth="fixed",
     ),
+    "forecast_coverage": sql(
+        """select store, product, model, 'one_step' as mode, count(*) as days, count(*) as usable_days,
+        min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
+        from (
+            select store, product, sale_date, units, unnest(['random_forest', 'gradient_boosting']) as model
+            from (select *, row_number() over (partition by store, product order by sale_date) as row_no,
+                    floor(count(*) over (partition by store, product) * (1 - 0.2::double)) as n_train
+                  from featured) where row_no > n_train
+            union all select store, product, sale_date, units, 'lookback' from sequences where part = 'test'
+        ) group by store, product, model""",
+        "featured",
+        "sequences",
+    ),
     "recursive_forecast_fixed": sql("", "scaled").rstrip() + f", {AHEAD} {RECURSIVE}",
 }

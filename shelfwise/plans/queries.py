@@ -346,7 +346,7 @@ def forecast_curves(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_features(spark: SparkSession, sf: str) -> DataFrame:
-    return staged(features.temporal_split(features_of(spark, sf)), "features")
+    return staged(features.temporal_split(features_of(spark, sf)), "features", SERIES_KEYS, ["sale_date"])
 
 
 def train_rows(rows: DataFrame) -> DataFrame:
@@ -373,6 +373,32 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return trees.feature_importance(spark, trees.random_forest(train_rows(rows), **FOREST), top=12)
 
 
+def coverage(forecasts: DataFrame) -> DataFrame:
+    """What of a fitted model's forecast does not depend on the fit: its days and actuals."""
+    usable = F.col("predicted").isNotNull() & ~F.isnan("predicted") & (F.col("predicted") >= 0)
+    return forecasts.groupBy(*SERIES_KEYS, "model", "mode").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.count_if(usable).alias("usable_days"),
+        F.min("sale_date").alias("first_day"),
+        F.max("sale_date").alias("last_day"),
+        F.sum("actual").alias("actual_units"),
+    )
+
+
+def forecast_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Days and actuals of the fitted models' forecasts; the fits themselves are kept small."""
+    rows, scaled = split_features(spark, sf), staged_series(spark, sf)
+    forest = trees.random_forest(train_rows(rows), num_trees=3, max_depth=4)
+    boosted = trees.gradient_boosting(train_rows(rows), stages=2, max_depth=3)
+    sequences_of = features.lookback_sequences(scaled, LOOKBACK)
+    regressor = lb.lookback_fit(features.validation_split(sequences_of), max_iter=3)
+    return coverage(
+        trees.tree_forecast(forest, test_rows(rows))
+        .unionByName(trees.tree_forecast(boosted, test_rows(rows), trees.GRADIENT_BOOSTING))
+        .unionByName(lb.lookback_forecast(regressor, sequences_of))
+    )
+
+
 def staged_series(spark: SparkSession, sf: str) -> DataFrame:
     return staged(scaled_series(spark, sf), "scaled", SERIES_KEYS, ["sale_date"])
 
@@ -465,5 +491,6 @@ QUERIES: dict[str, Query] = {
     "lookback_history": lookback_history,
     "recursive_forecast": recursive_forecast,
     "recursive_forecast_fixed": recursive_forecast_fixed,
+    "forecast_coverage": forecast_coverage,
     "compare_all_models": compare_all_models,
 }

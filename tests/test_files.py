@@ -90,3 +90,35 @@ def test_staged_table_keeps_schema_and_rows(spark, sales):
     assert stored.schema == df.schema
     assert stored.orderBy("product").collect() == df.orderBy("product").collect()
     assert files.shared_dir(spark) in stored.inputFiles()[0]
+
+
+class FakeSession:
+    """A session on the given master that names no shared folder."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, path):
+        self.folder = path
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        files.shared_dir(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert files.shared_dir(local) == files.shared_dir(local) == local.folder
+
+
+def test_the_session_names_the_shared_folder():
+    named = FakeSession("yarn")
+    named.get = lambda key, default: "/shared/folder/" if key == "spark.checkpoint.dir" else default
+    assert files.shared_dir(named) == "/shared/folder" and named.folder is None
