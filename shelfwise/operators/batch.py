@@ -128,8 +128,9 @@ def stock_alerts_report(alerts: DataFrame, ordered: bool = True) -> DataFrame:
     A large report is better written without ``ordered``: a global sort reads its
     input twice, and readers of the latest rows need a top-k only.
     """
+    means = [name for name in alerts.columns if name.startswith("units_mean_prev")]
     rows = alerts.where(F.col("state").isin(CRITICAL, LOW)).select(
-        "sale_date", "store", "product", "stock", "units_mean_prev7", "state"
+        "sale_date", "store", "product", "stock", *means, "state"
     )
     return rows.orderBy(F.desc("sale_date"), "store", "product") if ordered else rows
 

@@ -27,7 +27,10 @@ def store_kpis(df: DataFrame) -> DataFrame:
 
 
 def daily_total_moving_average(df: DataFrame, rows: int = 7) -> DataFrame:
-    """Daily units per store with a moving average that needs ``rows`` full days of sales."""
+    """Daily units per store with a moving average that needs ``rows`` full days of sales.
+
+    The window follows the daily sums, so a store holds one row per day in it.
+    """
     frame = Window.partitionBy("store").orderBy("sale_date").rowsBetween(1 - rows, 0)
     mean = full_window(F.avg("units").over(frame), F.count("units").over(frame), rows)
     return (

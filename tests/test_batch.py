@@ -103,6 +103,12 @@ def test_alert_report_and_counts(sales):
     assert [tuple(r) for r in batch.latest_alerts(alerts, 2).collect()] == [tuple(r) for r in report[:2]]
 
 
+def test_alert_rows_are_a_parameter(sales):
+    df = sales([("S", "P", d, i, 0) for i, d in enumerate(days(6))])
+    report = batch.stock_alerts_report(batch.stock_alerts(df, rows=2)).collect()
+    assert [r.units_mean_prev2 for r in report][:2] == [3.5, 2.5]
+
+
 def test_alert_ratio_is_a_parameter(sales):
     df = sales([("S", "P", d, 10, 4) for d in days(3)])
     states = [r.state for r in batch.stock_alerts(df, alert_ratio=0.5).orderBy("sale_date").collect()]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import batch, cleaning, overview
-from shelfwise.sources import star
+from shelfwise.sources import files, star
 
 ROWS = 120_000
 
@@ -122,3 +122,10 @@ def test_a_store_with_most_products_still_ranks_all_of_them(spark):
     )
     hot = batch.top_products_by_store(df).where("store = 'hot'").collect()
     assert [r["product"] for r in hot] == [i for i in range(ROWS - 1, 0, -1) if i % 3 == 0][:5]
+
+
+def test_a_hot_month_is_written_by_several_tasks(tight, hot_lines, tmp_path):
+    path = tmp_path / "out"
+    files.write_table(hot_lines.withColumn("id", F.xxhash64("seq")), str(path), month_of="sale_date")
+    assert len(list((path / "sale_month=2022-01").glob("*.parquet"))) > 1
+    assert tight.read.parquet(str(path)).count() == ROWS
