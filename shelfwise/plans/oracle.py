@@ -84,6 +84,11 @@ LAG_SQL = ", ".join(f"lag(units, {k}) over ({SERIES}) as lag_{k}" for k in LAGS)
 (ALPHA, BETA, GAMMA), = FIXED_SMOOTHING
 GRID = ", ".join(f"({a}, {b}, {g})" for a in ALPHAS for b in BETAS for g in GAMMAS)
 
+ALERTS = f"""select *, case when stock < mean * 0.3 then 'CRITICO' when stock < mean then 'BAJO'
+        else 'OK' end as state, round(mean, 6) as units_mean_prev7
+    from (select *, avg(units) over ({SERIES} rows between 7 preceding and 1 preceding) as mean
+          from {{rows}})"""
+
 # Named subqueries and what each one needs, in an order that satisfies the needs.
 PARTS = {
     "lines": (
@@ -144,12 +149,11 @@ PARTS = {
             {LAG_SQL}, {rolling_sql()} from dense)
         where lag_{max(LAGS)} is not null and rolling_std_{max(ROLLING_WINDOWS)} is not null""",
     ),
-    "alerts": (
-        ["daily"],
-        f"""select *, case when stock < mean * 0.3 then 'CRITICO' when stock < mean then 'BAJO'
-            else 'OK' end as state, round(mean, 6) as units_mean_prev7
-        from (select *, avg(units) over ({SERIES} rows between 7 preceding and 1 preceding) as mean
-              from daily)""",
+    "alerts": (["daily"], ALERTS.format(rows="daily")),
+    "part_daily": (
+        ["lines"],
+        """select sale_date, store, product, category, sum(units) as units,
+        cast(sum(stock) as bigint) as stock from lines group by all""",
     ),
     "report": (
         ["alerts"],
@@ -339,6 +343,9 @@ ORACLE: dict[str, str] = {
         "lines",
     ),
     "stock_alerts": sql("select * exclude (mean) from alerts", "alerts"),
+    "stock_alerts_parts": sql(
+        f"select * exclude (mean) from ({ALERTS.format(rows='part_daily')})", "part_daily"
+    ),
     "stock_alerts_report": sql("select * from report", "report"),
     "latest_alerts": sql(
         "select * from report order by sale_date desc, store, product limit 100", "report"

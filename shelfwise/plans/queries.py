@@ -160,6 +160,10 @@ def stock_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(alerts(spark, sf), "units_mean_prev7")
 
 
+def stock_alerts_parts(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(batch.stock_alerts(star.part_daily(spark, sf)), "units_mean_prev7")
+
+
 def stock_alerts_report(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(batch.stock_alerts_report(alerts(spark, sf)), "units_mean_prev7")
 
@@ -451,6 +455,7 @@ QUERIES: dict[str, Query] = {
     "rolling_mean_range": rolling_mean_range,
     "rolling_mean_range_lines": rolling_mean_range_lines,
     "stock_alerts": stock_alerts,
+    "stock_alerts_parts": stock_alerts_parts,
     "stock_alerts_report": stock_alerts_report,
     "latest_alerts": latest_alerts,
     "alert_counts": alert_counts,

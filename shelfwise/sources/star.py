@@ -64,6 +64,15 @@ def sales_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def part_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per day, store and part: many short series instead of few long ones."""
+    return (
+        sales_lines(spark, folder)
+        .groupBy("sale_date", "store", "product", "category")
+        .agg(F.sum("units").alias("units"), F.sum("stock").alias("stock"))
+    )
+
+
 def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as an uncleaned feed: text measures, repeated keys, returns below zero.
 
