@@ -8,7 +8,7 @@ feature of a day looks at that day's own units or at a later day.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,49 +121,58 @@ def add_lags(df: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
     return df.withColumns({f"lag_{k}": F.lag("units", k).over(day_window()) for k in lags})
 
 
+def _earlier_parts(size: int, smaller: int) -> tuple[dict[str, Column], list[tuple[int, Column, Column]]]:
+    """The parts of a window: whole windows of the next smaller size, then single rows.
+
+    Returns the lagged columns to add and, per part, its rows, mean and squared
+    deviations.
+    """
+    whole, rest = divmod(size, smaller)
+    mean, squares, day = f"rolling_mean_{smaller}", f"squares_{smaller}", day_window()
+    lagged = {}
+    parts = [(smaller, F.col(mean), F.col(squares))]
+    for i in range(1, whole):
+        lagged[f"mean_{i}"] = F.lag(mean, i * smaller).over(day)
+        lagged[f"squares_{i}"] = F.lag(squares, i * smaller).over(day)
+        parts.append((smaller, F.col(f"mean_{i}"), F.col(f"squares_{i}")))
+    for i in range(rest):
+        lagged[f"row_{i}"] = F.lag("units", whole * smaller + 1 + i).over(day)
+        parts.append((1, F.col(f"row_{i}"), F.lit(0.0)))
+    return lagged, parts
+
+
+def _previous(function: Callable[[str], Column], size: int) -> Column:
+    """``function`` of the units of the previous ``size`` rows, where there are as many."""
+    frame = day_window().rowsBetween(-size, -1)
+    return full_window(function("units").over(frame), F.count("units").over(frame), size)
+
+
 def add_rolling(df: DataFrame, windows: Sequence[int] = ROLLING_WINDOWS) -> DataFrame:
     """Mean, sample deviation and maximum of the previous rows, where a window is full.
 
     Only the smallest window slides over its rows. A larger one is put together
     from whole earlier windows of the next smaller size and the few rows that
-    remain, so its cost does not grow with its length: the parts' means and
-    squared deviations combine without the cancellation of running totals.
+    remain, so its cost hardly grows with its length. Means and squared
+    deviations of the parts combine without the cancellation of running totals.
     """
-    day = day_window()
     rows, smaller = df, None
     if ROLLING_MAX_WINDOW in windows:
-        frame = day.rowsBetween(-ROLLING_MAX_WINDOW, -1)
-        observed = F.count("units").over(frame)
-        largest = full_window(F.max("units").over(frame), observed, ROLLING_MAX_WINDOW)
-        rows = df.withColumn(f"rolling_max_{ROLLING_MAX_WINDOW}", largest)
+        rows = df.withColumn(f"rolling_max_{ROLLING_MAX_WINDOW}", _previous(F.max, ROLLING_MAX_WINDOW))
     for size in sorted(set(windows)):
         mean, squares = f"rolling_mean_{size}", f"squares_{size}"
         if smaller is None:
-            frame = day.rowsBetween(-size, -1)
-            observed = F.count("units").over(frame)
             rows = rows.withColumns(
-                {
-                    mean: full_window(F.avg("units").over(frame), observed, size),
-                    squares: full_window(F.var_pop("units").over(frame) * size, observed, size),
-                }
+                {mean: _previous(F.avg, size), squares: _previous(F.var_pop, size) * size}
             )
         else:
-            whole, rest = divmod(size, smaller)
-            back = {}
-            for i in range(1, whole):
-                back[f"mean_{i}"] = F.lag(f"rolling_mean_{smaller}", i * smaller).over(day)
-                back[f"squares_{i}"] = F.lag(f"squares_{smaller}", i * smaller).over(day)
-            for i in range(rest):
-                back[f"row_{i}"] = F.lag("units", whole * smaller + 1 + i).over(day)
-            parts = [(smaller, F.col(f"rolling_mean_{smaller}"), F.col(f"squares_{smaller}"))]
-            parts += [(smaller, F.col(f"mean_{i}"), F.col(f"squares_{i}")) for i in range(1, whole)]
-            parts += [(1, F.col(f"row_{i}"), F.lit(0.0)) for i in range(rest)]
+            lagged, parts = _earlier_parts(size, smaller)
             total = sum((part_mean * n for n, part_mean, _ in parts), F.lit(0.0))
             spread = sum(
-                (part + (part_mean - F.col(mean)) * (part_mean - F.col(mean)) * n for n, part_mean, part in parts),
+                (inside + F.pow(part_mean - F.col(mean), F.lit(2)) * n for n, part_mean, inside in parts),
                 F.lit(0.0),
             )
-            rows = rows.withColumns(back).withColumn(mean, total / size).withColumn(squares, spread).drop(*back)
+            rows = rows.withColumns(lagged).withColumn(mean, total / size)
+            rows = rows.withColumn(squares, spread).drop(*lagged)
         degrees = F.nullif(F.lit(size - 1.0), F.lit(0.0))
         rows = rows.withColumn(f"rolling_std_{size}", F.sqrt(F.col(squares) / degrees))
         smaller = size
