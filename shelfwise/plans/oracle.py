@@ -479,3 +479,22 @@ ORACLE: dict[str, str] = {
     ),
     "recursive_forecast_fixed": sql("", "scaled").rstrip() + f", {AHEAD} {RECURSIVE}",
 }
+
+# The queries whose results hold no date, and the names that date columns have elsewhere.
+UNDATED = {
+    "duplicate_count", "product_codes", "weekly_category_stats", "weekly_category_stats_iso",
+    "top_products_by_store", "alert_counts", "output_row_counts", "store_kpis", "category_sales",
+    "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
+    "compare_models", "best_model", "run_metrics",
+}
+DATES = ("sale_date", "first_day", "last_day", "train_end")
+
+
+def sql_with_text_dates(name: str) -> str:
+    """The SQL of a query with its dates as ISO text."""
+    if name in UNDATED:
+        return ORACLE[name]
+    return (
+        f"select columns(lambda c: c not in {DATES}), "
+        f"cast(columns(lambda c: c in {DATES}) as varchar) from ({ORACLE[name]})"
+    )

@@ -6,6 +6,7 @@ import pytest
 from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from shelfwise.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the generated tables")
@@ -26,6 +27,11 @@ def test_only_fitted_models_have_no_sql():
     assert set(oracle_sql()) <= set(queries())
 
 
+def test_dates_leave_as_text_and_stay_dates_inside(spark):
+    assert dict(queries()["dense_series"](spark, FOLDER).dtypes)["sale_date"] == "string"
+    assert dict(QUERIES["dense_series"](spark, FOLDER).dtypes)["sale_date"] == "date"
+
+
 def test_flagship_query_has_rows(spark):
     assert entry(spark).count() > 0
 
