@@ -155,3 +155,16 @@ def test_profile_and_distinct_values(sales):
 def test_top_n_is_a_parameter(sales, top_n):
     rows = [(s, p, "2022-01-01", ord(p), 1) for s in "ST" for p in "abcdef"]
     assert batch.top_products_by_store(sales(rows), top_n).count() == 2 * top_n
+
+
+def test_reports_accept_uncleaned_rows(spark, holidays):
+    df = spark.createDataFrame(
+        [("S", "P", "c", 4.0, 2), ("S", "P", "c", 4.0, 2), ("S", "Q", "c", None, None), ("S", None, None, 1.0, 1)],
+        "store string, product string, category string, units double, stock int",
+    ).withColumn("sale_date", F.lit("2022-01-06").cast("date"))
+    row = batch.daily_store_aggregates(with_holiday_flag(df, holidays)).collect()[0]
+    assert (row.units_total, row.distinct_products, row.units_mean, row.stock_total) == (9.0, 2, 3.0, 5)
+    weeks = {r.category: (r.units_week, r.row_count) for r in batch.weekly_category_stats(df).collect()}
+    assert weeks == {"c": (8.0, 3), None: (1.0, 1)}
+    top = [(r["product"], r.total_units) for r in batch.top_products_by_store(df).collect()]
+    assert top == [("P", 8.0), (None, 1.0), ("Q", None)]

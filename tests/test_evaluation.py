@@ -94,3 +94,8 @@ def test_predictions_join_their_actuals_by_series_and_day(spark, series):
     df = series({"P": range(10), "Q": range(5)})
     out = ev.with_actuals(moving_average_predict(moving_average_fit(df), 30), df).collect()
     assert {(r["product"], r.actual, r.predicted) for r in out} == {("P", 8.0, 4.0), ("P", 9.0, 4.0), ("Q", 4.0, 1.5)}
+
+
+def test_exact_ties_round_half_up(spark):
+    row = ev.forecast_errors(forecasts(spark, {"m": [(1, 1.125)]})).collect()[0]
+    assert (row.mae, row.rmse, row.mape) == (0.13, 0.13, 12.5)

@@ -160,3 +160,17 @@ def test_lookback_model_learns_a_season_and_round_trips(spark, series, tmp_path)
     for row in ahead:
         if row["product"] == "a" and row.sale_date == dt.date(2022, 5, 1):
             assert row.predicted == pytest.approx(first["a", row.sale_date])
+
+
+def test_a_whole_series_can_be_fitted_to_look_past_its_end(series):
+    data = seasonal(50)
+    df = series({"a": data})
+    last = dt.date(2022, 1, 1) + dt.timedelta(days=49)
+    averages = ma.moving_average_predict(ma.moving_average_fit(df, test_fraction=0.0), 3)
+    assert [r.predicted for r in averages.collect()] == [pytest.approx(sum(data[-7:]) / 7)] * 3
+    for grid in ([(0.1, 0.01, 0.1)], hw.DEFAULT_GRID):
+        fit = hw.holt_winters_fit(df, grid, test_fraction=0.0)
+        ahead = hw.holt_winters_predict(fit, 3).orderBy("sale_date").collect()
+        assert fit.collect()[0].n_train == 50
+        assert [r.sale_date for r in ahead] == [last + dt.timedelta(days=i) for i in (1, 2, 3)]
+    assert hw.holt_winters_forecast(df, test_fraction=0.0).count() == 0
