@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.substring_dedup import remove_repeated_windows
 
@@ -36,3 +37,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = remove_repeated_windows(table(spark, folder, "documents"), cut_text=False)
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
