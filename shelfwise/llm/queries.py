@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.substring_dedup import remove_repeated_windows
+from shelfwise.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,3 +43,8 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
