@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.substring_dedup import remove_repeated_windows
@@ -48,3 +49,8 @@ def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
