@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm import packing
 from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
+from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.substring_dedup import remove_repeated_windows
 from shelfwise.llm.toxicity import toxicity_scores
@@ -54,3 +57,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.TOKENIZER))
