@@ -12,6 +12,7 @@ from shelfwise.llm import packing
 from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.packing import pack_documents
+from shelfwise.llm.quality_crf import quality_scores
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.substring_dedup import remove_repeated_windows
 from shelfwise.llm.toxicity import toxicity_scores
@@ -62,3 +63,8 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.TOKENIZER))
+
+
+@query
+def op2_quality_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
