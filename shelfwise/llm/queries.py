@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.llm import packing
 from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
+from shelfwise.llm.license_scan import scan_licenses
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.quality_crf import quality_scores
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.substring_dedup import remove_repeated_windows
+from shelfwise.llm.topk_search import top_inner_products
 from shelfwise.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +70,85 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_quality_crf(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return top_inner_products(rows, rows.where("vec_id % 50 = 0"))
+
+
+ORACLE["op5_topk_search"] = """
+with v as (
+  select vec_id, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as q
+  from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), pairs as (
+  select a.vec_id as query_id, b.vec_id,
+    cast(list_sum([p[1] * p[2] for p in list_zip(a.q, b.q)]) as bigint) as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+), ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from pairs
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+ORACLE["op7_license_scan"] = r"""
+with templates(template, label, base, w) as (
+  select template, label, base, string_split(phrase, ' ') from (values
+    (0, 'cc-by', true, 'cc by'),
+    (1, 'gpl', true, 'general public license'),
+    (2, 'reserved', true, 'all rights reserved'),
+    (3, 'mit', false, 'released under the mit license'),
+    (4, 'mit', false, 'permission is hereby granted free of charge to any person obtaining a copy of this software'),
+    (5, 'apache-2.0', false, 'licensed under the apache license version 2 0'),
+    (6, 'bsd', false, 'redistribution and use in source and binary forms with or without modification are permitted'),
+    (7, 'gpl-3.0', false, 'this work is licensed under the gnu general public license version 3'),
+    (8, 'lgpl', false, 'licensed under the gnu lesser general public license'),
+    (9, 'mpl-2.0', false, 'subject to the terms of the mozilla public license v 2 0'),
+    (10, 'cc-by-nc-4.0', false, 'licensed under cc by nc 4 0'),
+    (11, 'cc-by-sa-4.0', false, 'licensed under cc by sa 4 0'),
+    (12, 'cc-by-4.0', false, 'this work is licensed under a creative commons attribution 4 0 international license')
+  ) as t(template, label, base, phrase)
+), template_pairs as (
+  select template, label, base, len(w) - 1 as n_pairs, i as step, w[i + 1] as a, w[i + 2] as b
+  from templates, unnest(range(len(w) - 1)) as u(i)
+), docs as (
+  select row_number() over () as uid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), hits as (
+  select uid, template, label, base, n_pairs, step, i as place, i - step as diagonal
+  from docs, unnest(range(len(w) - 1)) as u(i), template_pairs
+  where w[i + 1] = a and w[i + 2] = b
+), marked as (
+  select *, place - lag(place) over along > 4 or abs(diagonal - lag(diagonal) over along) > 2 as apart
+  from hits window along as (partition by uid, template order by place, step)
+), spans as (
+  select *, case when base then diagonal else
+    sum(case when coalesce(apart, true) then 1 else 0 end) over (partition by uid, template order by place, step rows unbounded preceding) end as span
+  from marked
+), judged as (
+  select uid, template, label, base, span, min(diagonal) as first, count(distinct step) / cast(n_pairs as double) as cover
+  from spans group by uid, template, label, base, n_pairs, span
+), kept as (
+  select * from judged where case when base then cover = 1 else cover >= 0.8 end
+), labelled as (
+  select uid, count(*) filter (base) as n_base, cast(min(first) filter (base) as bigint) as first_word,
+    cast(max(first) filter (base) as bigint) as last_word,
+    string_agg(distinct label, ',' order by label) filter (base) as base_labels,
+    string_agg(distinct label, ',' order by label) as labels, max(cover) as score
+  from kept group by uid
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from docs left join labelled using (uid)
+"""
