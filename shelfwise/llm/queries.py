@@ -8,14 +8,16 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import packing
+from shelfwise.llm import packing, token_codec
 from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.license_scan import scan_licenses
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.quality_crf import quality_scores
 from shelfwise.llm.shipping import ship
+from shelfwise.llm.staging import new_path
 from shelfwise.llm.substring_dedup import remove_repeated_windows
+from shelfwise.llm.token_codec import coded_documents
 from shelfwise.llm.topk_search import top_inner_products
 from shelfwise.llm.toxicity import toxicity_scores
 
@@ -152,3 +154,9 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base,
   coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
 from docs left join labelled using (uid)
 """
+
+
+@query
+def op8_token_codec(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "token-ids")
+    return coded_documents(table(spark, folder, "documents"), path, public_tokenizers.path(token_codec.TOKENIZER))
