@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import packing, token_codec
+from shelfwise.llm import packing, token_codec, token_counts
 from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.license_scan import scan_licenses
@@ -18,6 +18,7 @@ from shelfwise.llm.shipping import ship
 from shelfwise.llm.staging import new_path
 from shelfwise.llm.substring_dedup import remove_repeated_windows
 from shelfwise.llm.token_codec import coded_documents
+from shelfwise.llm.token_counts import cleaned_token_counts
 from shelfwise.llm.topk_search import top_inner_products
 from shelfwise.llm.toxicity import toxicity_scores
 
@@ -160,3 +161,8 @@ from docs left join labelled using (uid)
 def op8_token_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     return coded_documents(table(spark, folder, "documents"), path, public_tokenizers.path(token_codec.TOKENIZER))
+
+
+@query
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return cleaned_token_counts(table(spark, folder, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
