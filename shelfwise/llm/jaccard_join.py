@@ -12,14 +12,17 @@ see at most one difference; there, two of the three cells agree. A signature is
 hash of the contents of two cells of a part: every 2-subset of each part's cells
 is enumerated, for the set's own band and the next. Similar sets share one.
 
-``slack`` extra parts guarantee that more than ``slack`` parts agree. A set may
-then leave out its lightest signatures (those of at most ``light`` elements) as
-long as at most ``slack`` of its parts have such a one: of two similar sets, the
-part that remains agrees for both. That drops empty and one-shingle signatures,
-which a shared passage would otherwise make common.
-
-Only signatures that a count-min sketch takes for repeated are shuffled. Sets that
-are equal are one class first, so copies cost nothing. Within a signature, members
+Some extra parts guarantee that more than ``slack`` parts agree. A set may then
+leave out its lightest signatures (those of at most ``light`` elements) as long as
+at most ``slack`` of its parts have such a one: of two similar sets, the part that
+remains agrees for both. That drops empty and one-shingle signatures, which a shared
+passage would otherwise make common. What a set's own size allows to differ gives it
+a slack of its own.
+
+A set that links with another has at least ``percent`` of its shingles in common with
+it. Only documents in which a sketch takes that share for repeated get signatures; the
+sketch never misses a repeated shingle. Sets that are equal are one class first, so
+copies cost nothing. Within a signature, members
 are compared with a hub, linked groups are merged, and what remains is every pair
 that shares a signature and lies in different groups: these are all verified, so
 no link between components is lost and no group of copies expands into pairs.
@@ -42,12 +45,12 @@ from shelfwise.llm import words
 from shelfwise.llm.columns import batch_of, character_total, ids_and_texts
 from shelfwise.llm.links import components
 from shelfwise.llm.sketch import repeated
-from shelfwise.llm.staging import staged
+from shelfwise.llm.staging import discard, staged
 
 WIDTH = 5
 PERCENT = 80
-#: Bytes of text for one signature, roughly.
-BYTES_A_SIGNATURE = 8
+#: Bytes of text for one shingle, roughly.
+BYTES_A_SHINGLE = 6
 CELLS = 3
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
@@ -67,12 +70,17 @@ class Bands:
     def of(self, size: int) -> int:
         return bisect_left(self.last, size)
 
-    def parts(self, band: int) -> tuple[int, int, int]:
-        """How many elements may differ, first-level parts, and spare parts among them."""
-        differ = 2 * self.last[band] * (100 - self.percent) // (100 + self.percent)
-        least = differ // 2 + 1
-        slack = 0 if differ < 4 else 2 + least // 6
-        return differ, least + slack, slack
+    def differ(self, both: int) -> int:
+        """In how many elements similar sets may differ that have ``both`` elements together."""
+        return both * (100 - self.percent) // (100 + self.percent)
+
+    def parts(self, band: int, size: int) -> tuple[int, int]:
+        """First-level parts of a band, and how many a set of this size may leave out."""
+        most = self.differ(2 * self.last[band])
+        least = most // 2 + 1
+        n_parts = least if most < 4 else least + 2 + least // 6
+        own = self.differ(size + min(self.last[band], size * 100 // self.percent))
+        return n_parts, n_parts - own // 2 - 1
 
 
 def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
@@ -85,9 +93,9 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
     found = []
     own = bands.of(len(elements))
     for band in (own, own + 1):
-        differ, n_parts, slack = bands.parts(band)
-        if not differ:
+        if not bands.differ(2 * bands.last[band]):
             continue
+        n_parts, slack = bands.parts(band, len(elements))
         cell = (((high * np.uint64(n_parts)) >> np.uint64(32)) * np.uint64(CELLS) + cell_in_part).astype(np.int64)
         sums = np.zeros(n_parts * CELLS, np.uint64)
         np.add.at(sums, cell, values)
@@ -121,51 +129,51 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
 
 
-def _signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Size, two hashes of the set, and the signatures that may be repeated, of each row."""
-    bands = Bands(percent)
+def _measured(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Size and two hashes of each row's set; the set itself where enough of it may be repeated."""
     texts = docs.select("text")
 
-    def all_signatures(batch):
+    def shingles(batch):
         for piece in words.pieces(batch.column(0), lower=True):
-            yield np.concatenate([np.empty(0, np.uint64), *(signatures(own, bands) for _, own in shingle_sets(piece, width))])
+            yield np.concatenate([np.empty(0, np.uint64), *(own for _, own in shingle_sets(piece, width))])
 
-    maybe = repeated(texts, all_signatures, character_total(texts) // BYTES_A_SIGNATURE)
+    maybe = repeated(texts, shingles, character_total(texts) // BYTES_A_SHINGLE, depth=1)
 
     def rows(batches):
         for batch in batches:
             for piece in words.pieces(batch.column(1), lower=True):
-                sizes, one, two, signed = [], [], [], []
+                sizes, one, two, kept = [], [], [], []
                 for _, own in shingle_sets(piece, width):
-                    made = signatures(own, bands)
                     sizes.append(len(own))
                     one.append(int(words.mixed(own ^ KEY).sum(dtype=np.uint64)))
                     two.append(int(words.mixed(own ^ PLACE).sum(dtype=np.uint64)))
-                    signed.append(made[maybe(made)])
+                    possible = 100 * int(maybe(own).sum()) >= percent * len(own)
+                    kept.append(own if possible else own[:0])
                 yield batch_of(
                     doc_id=batch.column(0).slice(piece.rows.start, len(piece.rows)),
                     n_shingles=pa.array(sizes, pa.int64()),
                     one=pa.array(np.array(one, np.uint64).view(np.int64)),
                     two=pa.array(np.array(two, np.uint64).view(np.int64)),
-                    signatures=_lists(signed),
+                    elements=_lists(kept),
                 )
 
-    return docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, signatures array<long>")
+    return docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, elements array<long>")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """The shingle sets of these nodes."""
+def _entries(sets: DataFrame, percent: int) -> DataFrame:
+    """(signature, node) of sets (node, elements)."""
+    bands = Bands(percent)
 
     def rows(batches):
         for batch in batches:
-            for piece in words.pieces(batch.column(1), lower=True):
-                yield batch_of(
-                    node=batch.column(0).slice(piece.rows.start, len(piece.rows)),
-                    elements=_lists([own for _, own in shingle_sets(piece, width)]),
-                )
+            lists = batch.column(1)
+            flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            for k in range(0, batch.num_rows, 200):
+                made = [signatures(flat[a:b], bands) for a, b in zip(ends[k : k + 200], ends[k + 1 : k + 201], strict=False)]
+                nodes = batch.column(0).slice(k, len(made)).to_numpy().repeat([len(m) for m in made])
+                yield batch_of(signature=pa.array(np.concatenate(made).view(np.int64)), node=pa.array(nodes))
 
-    wanted = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.select("doc_id", "text").mapInArrow(rows, "node long, elements array<long>")
+    return sets.mapInArrow(rows, "signature long, node long")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -214,21 +222,22 @@ def jaccard_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: its set's size, and the smallest id that links reach."""
     pairs = ids_and_texts(docs, id_column, text_column)
-    signed = staged(_signed(pairs, width, percent), "signed")
+    measured = staged(_measured(pairs, width, percent), "measured")
 
-    filled = signed.where("doc_id is not null and n_shingles > 0")
+    filled = measured.where("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "one", "two"]
     classes = filled.groupBy(*same).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     copied = staged(classes.where("copies > 1").select(*same, "node"), "copied")
-
     later = filled.select("doc_id", *same).join(copied, same).where("doc_id > node").select("doc_id", *same, "node")
     later = staged(later, "later")
-    first = filled.join(later.drop("node").distinct(), ["doc_id", *same], "left_anti")
-    entries = staged(first.select(F.explode("signatures").alias("signature"), F.col("doc_id").alias("node")), "entries")
+
+    candidates = filled.where("size(elements) > 0").join(later.drop("node").distinct(), ["doc_id", *same], "left_anti")
+    sets = staged(candidates.select(F.col("doc_id").alias("node"), "elements"), "sets")
+    entries = staged(_entries(sets, percent), "entries")
     counts = entries.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     several = staged(counts.where("low <> high").select("signature"), "several")
     members = staged(entries.join(several, "signature"), "members")
-    sets = staged(_sets(pairs, members.select("node").distinct(), width), "sets")
+    discard(entries, several, copied)
 
     links = staged(_linked(_hub_pairs(members, "min(node)"), sets, percent), "links")
     rest = _open(_grouped(members, components(links)), "members")
@@ -238,5 +247,5 @@ def jaccard_components(
     # An id of several rows with different texts is one vertex.
     links = links.unionAll(later.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     labels = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
-    result = signed.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
+    result = measured.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
     return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -1,19 +1,17 @@
 """Count-min sketches of 64-bit hashes, for "how often: once, or more?".
 
-A counter saturates at two, so each of the ``DEPTH`` rows of a sketch is a pair of
-bitmaps. Partitions fill sketches of their own; those are merged segment by
+A counter saturates at two, so each row of a sketch is a pair of bitmaps. Partitions fill sketches of their own; those are merged segment by
 segment on the executors. An estimate is never below the true count, so what
 occurs twice is always reported as repeated, however full the sketch is.
 
 Its size follows the input up to ``MAX_BITS``, which bounds what is broadcast
-(DEPTH * 2**MAX_BITS / 8 bytes). Beyond that the sketch only lets more through;
+(depth * 2**MAX_BITS / 8 bytes). Beyond that the sketch only lets more through;
 the exact grouping that follows does not depend on it.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -23,14 +21,15 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEPTH = 2
+from shelfwise.llm.columns import batch_of
+
 MIN_BITS, MAX_BITS = 16, 28
 SEGMENT_BITS = 22
 
 
 def bits_for(items: int) -> int:
-    """Cells, as a power of two, for about four to eight cells an item."""
-    return min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(items, 1) * 4))))
+    """Cells, as a power of two, for about two to four cells an item."""
+    return min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(items, 1) * 2))))
 
 
 def cells(hashes: np.ndarray, depth: int, bits: int) -> np.ndarray:
@@ -42,37 +41,33 @@ def cells(hashes: np.ndarray, depth: int, bits: int) -> np.ndarray:
 class Sketch:
     """Two bitmaps a row: cells met, and cells met again."""
 
-    def __init__(self, bits: int):
-        self.bits = bits
-        self.once = np.zeros((DEPTH, 1 << (bits - 3)), np.uint8)
+    def __init__(self, bits: int, depth: int):
+        self.bits, self.depth = bits, depth
+        self.once = np.zeros((depth, 1 << (bits - 3)), np.uint8)
         self.twice = np.zeros_like(self.once)
 
     def add(self, hashes: np.ndarray) -> None:
         if not len(hashes):
             return
-        for depth in range(DEPTH):
+        for depth in range(self.depth):
             found = np.sort(cells(hashes, depth, self.bits))
             again = found[1:][found[1:] == found[:-1]]
-            self._set(self.twice[depth], again)
+            if len(again):
+                at, bits = _bytes_of(again)
+                self.twice[depth][at] |= bits
             at, bits = _bytes_of(found)
             self.twice[depth][at] |= self.once[depth][at] & bits
             self.once[depth][at] |= bits
 
-    @staticmethod
-    def _set(row: np.ndarray, sorted_cells: np.ndarray) -> None:
-        if len(sorted_cells):
-            at, bits = _bytes_of(sorted_cells)
-            row[at] |= bits
-
-    def segments(self) -> Iterator[tuple[int, bytes]]:
-        """The non-empty segments, compressed."""
+    def segments(self) -> Iterator[tuple[int, bytes, bytes]]:
+        """The non-empty segments."""
         width = 1 << (min(SEGMENT_BITS, self.bits) - 3)
         per_row = self.once.shape[1] // width
-        for depth in range(DEPTH):
+        for depth in range(self.depth):
             for k in range(per_row):
                 part = slice(k * width, (k + 1) * width)
                 if self.once[depth, part].any():
-                    yield depth * per_row + k, zlib.compress(self.once[depth, part].tobytes() + self.twice[depth, part].tobytes(), 1)
+                    yield depth * per_row + k, packed(self.once[depth, part]), packed(self.twice[depth, part])
 
 
 def _bytes_of(sorted_cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,19 +78,37 @@ def _bytes_of(sorted_cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[new], np.bitwise_or.reduceat(bits, new)
 
 
-def _merged(rows: pd.DataFrame) -> pd.DataFrame:
-    once = twice = None
-    for payload in rows["payload"]:
-        both = np.frombuffer(zlib.decompress(payload), np.uint8)
-        a, b = both[: len(both) // 2], both[len(both) // 2 :]
-        once, twice = (a, b) if once is None else (once | a, twice | b | (once & a))
-    payload = zlib.compress(once.tobytes() + twice.tobytes(), 1)
-    return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "payload": [payload]})
+def packed(bitmap: np.ndarray) -> bytes:
+    """A bitmap, or the gaps between its bits if that is shorter.
+
+    A gap is a byte; 255 stands for 255 cells without a bit.
+    """
+    at = np.flatnonzero(np.unpackbits(bitmap, bitorder="little"))
+    gaps = np.diff(at, prepend=0)
+    far = gaps // 255
+    if len(at) + int(far.sum()) >= len(bitmap):
+        return b"B" + bitmap.tobytes()
+    out = np.full(len(at) + int(far.sum()), 255, np.uint8)
+    out[np.cumsum(far + 1) - 1] = gaps % 255
+    return b"G" + out.tobytes()
+
 
+def unpacked(payload: bytes, size: int) -> np.ndarray:
+    """The bitmap, of ``size`` bytes, that was packed."""
+    body = np.frombuffer(payload, np.uint8, offset=1)
+    if payload[:1] == b"B":
+        return body
+    bits = np.zeros(size * 8, np.uint8)
+    bits[np.cumsum(body, dtype=np.int64)[body != 255]] = 1
+    return np.packbits(bits, bitorder="little")
 
-def _only_twice(rows: pd.DataFrame) -> pd.DataFrame:
-    both = zlib.decompress(_merged(rows)["payload"].iloc[0])
-    return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "payload": [zlib.compress(both[len(both) // 2 :], 1)]})
+
+def _merged(rows: pd.DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    once = twice = np.zeros(size, np.uint8)
+    for a, b in zip(rows["once"], rows["twice"], strict=True):
+        more = unpacked(a, size)
+        once, twice = once | more, twice | unpacked(b, size) | (once & more)
+    return once, twice
 
 
 class Repeated:
@@ -113,26 +126,34 @@ class Repeated:
         return result
 
 
-def repeated(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], items: int) -> Repeated:
+def repeated(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], items: int, depth: int = 2) -> Repeated:
     """Sketch the hashes of all rows of ``docs``; ``items``: about how many there are."""
     spark, bits = docs.sparkSession, bits_for(items)
+    size = 1 << (min(SEGMENT_BITS, bits) - 3)
 
     def fill(batches):
-        sketch = Sketch(bits)
+        sketch = Sketch(bits, depth)
         for batch in batches:
             for hashes in hashes_of(batch):
                 sketch.add(hashes)
         task = TaskContext.get().partitionId()
-        for segment, payload in sketch.segments():
-            yield pa.RecordBatch.from_pydict({"segment": [segment], "task": [task], "payload": [payload]}, pa.schema([("segment", pa.int32()), ("task", pa.int32()), ("payload", pa.binary())]))
+        for segment, once, twice in sketch.segments():
+            yield batch_of(segment=pa.array([segment], pa.int32()), task=pa.array([task], pa.int32()), once=pa.array([once], pa.binary()), twice=pa.array([twice], pa.binary()))
+
+    def some(rows: pd.DataFrame) -> pd.DataFrame:
+        once, twice = _merged(rows, size)
+        return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "once": [packed(once)], "twice": [packed(twice)]})
+
+    def last(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "twice": [packed(_merged(rows, size)[1])]})
 
-    parts = docs.mapInArrow(fill, "segment int, task int, payload binary")
+    parts = docs.mapInArrow(fill, "segment int, task int, once binary, twice binary")
     # Groups of about the square root of the number of tasks, merged twice.
     salts = max(1, math.isqrt(docs.rdd.getNumPartitions()))
-    first = parts.groupBy("segment", (F.col("task") % salts).alias("salt")).applyInPandas(lambda rows: _merged(rows), "segment int, payload binary")
-    merged = first.groupBy("segment").applyInPandas(lambda rows: _only_twice(rows), "segment int, payload binary")
-    twice = np.zeros((DEPTH, 1 << (bits - 3)), np.uint8)
-    flat, width = twice.reshape(-1), 1 << (min(SEGMENT_BITS, bits) - 3)
+    first = parts.groupBy("segment", (F.col("task") % salts).alias("salt")).applyInPandas(some, "segment int, once binary, twice binary")
+    merged = first.groupBy("segment").applyInPandas(last, "segment int, twice binary")
+    twice = np.zeros((depth, 1 << (bits - 3)), np.uint8)
+    flat = twice.reshape(-1)
     for row in merged.collect():  # a sketch is bounded by MAX_BITS
-        flat[row.segment * width : (row.segment + 1) * width] = np.frombuffer(zlib.decompress(row.payload), np.uint8)
+        flat[row.segment * size : (row.segment + 1) * size] = unpacked(row.twice, size)
     return Repeated(spark.sparkContext.broadcast(twice), bits)

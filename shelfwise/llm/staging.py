@@ -35,12 +35,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    result = df.sparkSession.read.schema(df.schema).parquet(path)
+    result.staged_at = path
+    return result
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.staged_at)
+        _OWN[df.sparkSession.sparkContext.applicationId].remove(df.staged_at)
 
 
 def forget(spark: SparkSession) -> None:
     """Delete every staged table of this application; results that read them must be written first."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in _OWN.pop(spark.sparkContext.applicationId, []):
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
+        _delete(spark, path)

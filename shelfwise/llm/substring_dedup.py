@@ -157,7 +157,7 @@ def remove_repeated_windows(
         for piece in words.pieces(batch.column(0)):
             yield Windows(piece, width).marked_places()
 
-    maybe = repeated(texts, marks, character_total(texts) // BYTES_A_MARK)
+    maybe = repeated(texts, marks, 2 * character_total(texts) // BYTES_A_MARK)
     owned = _owned(pairs, maybe, width)
     kept = without(docs, ADDED)
     own_name, key = "owned of this document", "id of this document"
