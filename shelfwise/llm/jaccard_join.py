@@ -22,7 +22,9 @@ a slack of its own.
 A set that links with another has at least ``percent`` of its shingles in common with
 it. Only documents in which a sketch takes that share for repeated get signatures; the
 sketch never misses a repeated shingle. Sets that are equal are one class first, so
-copies cost nothing. Within a signature, members
+copies cost nothing. Of signatures with the same members one is kept. Pairs are held
+against each other by outlines first, a byte for a few elements: outlines that differ
+in more cells than similar sets do in elements rule a pair out. Within a signature, members
 are compared with a hub, linked groups are merged, and what remains is every pair
 that shares a signature and lies in different groups: these are all verified, so
 no link between components is lost and no group of copies expands into pairs.
@@ -45,13 +47,14 @@ from shelfwise.llm import words
 from shelfwise.llm.columns import batch_of, character_total, ids_and_texts
 from shelfwise.llm.links import components
 from shelfwise.llm.sketch import repeated
-from shelfwise.llm.staging import discard, staged
+from shelfwise.llm.staging import discard, staged, staged_alone
 
 WIDTH = 5
 PERCENT = 80
 #: Bytes of text for one shingle, roughly.
 BYTES_A_SHINGLE = 6
 CELLS = 3
+HUB_ROUNDS = 3
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
 
@@ -185,6 +188,59 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.withColumn("shared", shared).where(F.col("shared") * 100 >= either * percent).select("a", "b")
 
 
+def _different_groups(entries: DataFrame) -> DataFrame:
+    """Signatures of more than one node, one of each set of members."""
+    who = [F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many")]
+    who += [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark_{k}") for k in (1, 2)]
+    groups = entries.groupBy("signature").agg(*who).where("low <> high")
+    return groups.groupBy("low", "high", "many", "mark_1", "mark_2").agg(F.min("signature").alias("signature")).select("signature")
+
+
+def _outlines(sets: DataFrame) -> DataFrame:
+    """(node, size, outline) of sets: a byte for each of a power of two of cells, the sum of its elements' hashes."""
+
+    def rows(batches):
+        for batch in batches:
+            flat, ends = batch.column(1).values.to_numpy().view(np.uint64), batch.column(1).offsets.to_numpy()
+            made = []
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                cells = 1 << max(4, int(b - a).bit_length() - 1)
+                place = (flat[a:b] & np.uint64(cells - 1)).astype(np.int64)
+                sums = np.bincount(place, (words.mixed(flat[a:b] ^ VALUE) & np.uint64(255)).astype(float), cells)
+                made.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
+            yield batch_of(node=batch.column(0), size=pa.array(np.diff(ends), pa.int64()), outline=pa.array(made, pa.binary()))
+
+    return sets.mapInArrow(rows, "node long, size long, outline binary")
+
+
+def _differing_cells(one: bytes, other: bytes) -> int:
+    """Cells that differ, after the larger outline is folded to the size of the smaller."""
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    a = a.reshape(-1, len(b)).sum(axis=0, dtype=np.uint8)
+    return int(np.count_nonzero(a != b))
+
+
+def _plausible(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose outlines differ in no more cells than similar sets differ in elements."""
+    for end in ("b", "a"):
+        named = outlines.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("outline").alias(f"outline_{end}"))
+        pairs = pairs.join(named, end)
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    bands = Bands(percent)
+
+    def rows(batches):
+        for batch in batches:
+            both = batch.column("both").to_numpy().tolist()
+            outlines = zip(batch.column("outline_a").to_pylist(), batch.column("outline_b").to_pylist(), strict=True)
+            keep = [_differing_cells(x, y) <= bands.differ(n) for (x, y), n in zip(outlines, both, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = pairs.where(small * 100 >= large * percent).select("a", "b", (small + large).alias("both"), "outline_a", "outline_b")
+    return near.mapInArrow(rows, "a long, b long")
+
+
 def _grouped(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (signature, node) with the component of each."""
     known = members.drop("component").join(labels, "node", "left")
@@ -234,18 +290,34 @@ def jaccard_components(
     candidates = filled.where("size(elements) > 0").join(later.drop("node").distinct(), ["doc_id", *same], "left_anti")
     sets = staged(candidates.select(F.col("doc_id").alias("node"), "elements"), "sets")
     entries = staged(_entries(sets, percent), "entries")
-    counts = entries.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    several = staged(counts.where("low <> high").select("signature"), "several")
+    several = staged(_different_groups(entries), "several")
     members = staged(entries.join(several, "signature"), "members")
     discard(entries, several, copied)
 
-    links = staged(_linked(_hub_pairs(members, "min(node)"), sets, percent), "links")
-    rest = _open(_grouped(members, components(links)), "members")
-    links = staged(links.unionAll(_linked(_hub_pairs(rest, "max(node)"), sets, percent)), "links")
-    rest = _open(_grouped(rest, components(links)), "members")
-    links = links.unionAll(_linked(_across(rest), sets, percent))
+    outlines = staged(_outlines(sets.join(members.select("node").distinct(), "node", "left_semi")), "outlines")
+    links, rest = None, members
+    for turn in range(HUB_ROUNDS):
+        hub = "min(node)" if not turn else f"min_by(node, xxhash64(node, {turn}))"
+        found = _linked(_plausible(_hub_pairs(rest, hub), outlines, percent), sets, percent)
+        links = staged(found if links is None else links.unionAll(found), "links")
+        rest = _open(_grouped(rest, components(links)), "members")
+    links = links.unionAll(_linked(_plausible(_across(rest), outlines, percent), sets, percent))
     # An id of several rows with different texts is one vertex.
     links = links.unionAll(later.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     labels = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     result = measured.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
     return result.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def without_similar(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id.
+
+    Rows of one id stay or go together; rows without an id stay.
+    """
+
+    def others() -> DataFrame:
+        found = jaccard_components(docs, width, percent)
+        return found.where("component_id <> doc_id").select("doc_id").distinct()
+
+    gone = staged_alone(others, docs.sparkSession, "similar")
+    return docs.join(gone, "doc_id", "left_anti")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,17 @@ def discard(*tables: DataFrame) -> None:
         _OWN[df.sparkSession.sparkContext.applicationId].remove(df.staged_at)
 
 
+def staged_alone(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """Stage what ``make`` returns and delete the tables that it staged on its way."""
+    own = _OWN.setdefault(spark.sparkContext.applicationId, [])
+    before = set(own)
+    result = staged(make(), name)
+    for path in [p for p in own if p not in before and p != result.staged_at]:
+        _delete(spark, path)
+        own.remove(path)
+    return result
+
+
 def forget(spark: SparkSession) -> None:
     """Delete every staged table of this application; results that read them must be written first."""
     for path in _OWN.pop(spark.sparkContext.applicationId, []):
