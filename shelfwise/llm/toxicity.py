@@ -41,7 +41,7 @@ from shelfwise.llm.columns import ids_and_texts, without
 from shelfwise.llm.sampling import held_out, labelled_sample
 from shelfwise.llm.staging import staged
 
-SPAN, DECAY, POWER = 6, 0.8, 2
+SPAN, DECAY, POWER = 6, 0.9, 2
 PART = 24
 RUNS = range(5, 9)
 LANDMARKS = 96
