@@ -20,14 +20,18 @@ passage would otherwise make common. What a set's own size allows to differ give
 a slack of its own.
 
 A set that links with another has at least ``percent`` of its shingles in common with
-it. Only documents in which a sketch takes that share for repeated get signatures; the
-sketch never misses a repeated shingle. Sets that are equal are one class first, so
-copies cost nothing. Of signatures with the same members one is kept. Pairs are held
-against each other by outlines first, a byte for a few elements: outlines that differ
-in more cells than similar sets do in elements rule a pair out. Within a signature, members
-are compared with a hub, linked groups are merged, and what remains is every pair
-that shares a signature and lies in different groups: these are all verified, so
-no link between components is lost and no group of copies expands into pairs.
+it. Only sets in which a count-min sketch takes that share for repeated get signatures;
+a sketch never misses a repeated shingle. Sets that are equal are one class first, so
+copies cost nothing. How many shingles of a set other classes repeat, by a second
+sketch, bounds the size of a partner: a copy with many changes of its own has none.
+
+Within a signature, members are compared with a hub (the member with the fewest
+shingles of its own, then others), and linked groups are merged. What remains is every
+pair that shares a signature, lies in different groups and has sizes that allow a link:
+all these are verified, so no link between components is lost. Of signatures with the
+same members one is kept. Pairs are held against each other by outlines first, a byte
+for a few elements: outlines that differ in more cells than similar sets do in elements
+rule a pair out.
 
 Cases: null and empty texts have an empty set and link with nothing; rows of one
 id are one vertex; rows without an id have no component; other columns are not
@@ -55,6 +59,7 @@ PERCENT = 80
 BYTES_A_SHINGLE = 6
 CELLS = 3
 HUB_ROUNDS = 3
+WEIGHINGS = 2
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
 
@@ -163,20 +168,56 @@ def _measured(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, elements array<long>")
 
 
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All elements of a column of lists, and where each list ends."""
+    return lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+
+
+def _weighed(sets: DataFrame, percent: int, elements: int) -> DataFrame:
+    """Sets (node, elements) that may have a partner, with their size, ``most`` and ``odd``.
+
+    ``odd`` elements occur in no other set; so ``most`` is the largest size of a partner.
+    """
+
+    def hashes(batch):
+        flat, ends = _flat(batch.column(0))
+        yield flat[ends[0] : ends[-1]]
+
+    maybe = repeated(sets.select("elements"), hashes, elements)
+
+    def rows(batches):
+        for batch in batches:
+            flat, ends = _flat(batch.column(1))
+            size = np.diff(ends).astype(np.int64)
+            shared = np.diff(np.concatenate(([0], np.cumsum(maybe(flat[ends[0] : ends[-1]]))))[ends - ends[0]])
+            most = shared * (100 + percent) // percent - size
+            keep = pa.array(most * 100 >= size * percent)
+            columns = {"node": batch.column(0), "elements": batch.column(1)}
+            columns |= {"size": pa.array(size, pa.int32()), "most": pa.array(most, pa.int32()), "odd": pa.array(size - shared, pa.int32())}
+            yield pa.RecordBatch.from_pydict(columns).filter(keep)
+
+    return sets.select("node", "elements").mapInArrow(rows, "node long, elements array<long>, size int, most int, odd int")
+
+
 def _entries(sets: DataFrame, percent: int) -> DataFrame:
-    """(signature, node) of sets (node, elements)."""
-    bands = Bands(percent)
+    """(signature, node, size, most, odd) of weighed sets."""
+    bands, carried = Bands(percent), ["node", "size", "most", "odd"]
 
     def rows(batches):
         for batch in batches:
-            lists = batch.column(1)
-            flat, ends = lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy()
+            flat, ends = _flat(batch.column("elements"))
             for k in range(0, batch.num_rows, 200):
                 made = [signatures(flat[a:b], bands) for a, b in zip(ends[k : k + 200], ends[k + 1 : k + 201], strict=False)]
-                nodes = batch.column(0).slice(k, len(made)).to_numpy().repeat([len(m) for m in made])
-                yield batch_of(signature=pa.array(np.concatenate(made).view(np.int64)), node=pa.array(nodes))
+                times = [len(m) for m in made]
+                same = {c: pa.array(batch.column(c).slice(k, len(made)).to_numpy().repeat(times)) for c in carried}
+                yield batch_of(signature=pa.array(np.concatenate(made).view(np.int64)), **same)
+
+    return sets.mapInArrow(rows, "signature long, node long, size int, most int, odd int")
+
 
-    return sets.mapInArrow(rows, "signature long, node long")
+def _may_link(one: str, other: str):
+    """Whether two members' sizes allow a link; ``most`` covers the ratio of sizes."""
+    return F.expr(f"{one}.size <= {other}.most and {other}.size <= {one}.most")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -189,11 +230,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _different_groups(entries: DataFrame) -> DataFrame:
-    """Signatures of more than one node, one of each set of members."""
-    who = [F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many")]
+    """Signatures of more than one node, one of each set of members, and the size of the smallest."""
+    who = [F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many"), F.min("size").alias("least")]
     who += [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark_{k}") for k in (1, 2)]
     groups = entries.groupBy("signature").agg(*who).where("low <> high")
-    return groups.groupBy("low", "high", "many", "mark_1", "mark_2").agg(F.min("signature").alias("signature")).select("signature")
+    one = groups.groupBy("low", "high", "many", "mark_1", "mark_2").agg(F.min_by("least", "signature").alias("least"), F.min("signature").alias("signature"))
+    return one.select("signature", "least")
 
 
 def _outlines(sets: DataFrame) -> DataFrame:
@@ -201,7 +243,7 @@ def _outlines(sets: DataFrame) -> DataFrame:
 
     def rows(batches):
         for batch in batches:
-            flat, ends = batch.column(1).values.to_numpy().view(np.uint64), batch.column(1).offsets.to_numpy()
+            flat, ends = _flat(batch.column(1))
             made = []
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 cells = 1 << max(4, int(b - a).bit_length() - 1)
@@ -210,7 +252,7 @@ def _outlines(sets: DataFrame) -> DataFrame:
                 made.append((sums.astype(np.int64) & 255).astype(np.uint8).tobytes())
             yield batch_of(node=batch.column(0), size=pa.array(np.diff(ends), pa.int64()), outline=pa.array(made, pa.binary()))
 
-    return sets.mapInArrow(rows, "node long, size long, outline binary")
+    return sets.select("node", "elements").mapInArrow(rows, "node long, size long, outline binary")
 
 
 def _differing_cells(one: bytes, other: bytes) -> int:
@@ -241,36 +283,46 @@ def _plausible(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame
     return near.mapInArrow(rows, "a long, b long")
 
 
+MEMBER = "struct(node, size, most) as member"
+
+
 def _grouped(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (signature, node) with the component of each."""
+    """Members with the component of each."""
     known = members.drop("component").join(labels, "node", "left")
     return known.withColumn("component", F.coalesce("component", "node"))
 
 
-def _open(members: DataFrame, name: str) -> DataFrame:
-    """Members of the signatures whose members lie in several components."""
-    spans = members.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = staged(spans.where("low <> high").select("signature"), f"{name}-open")
-    return staged(members.join(several, "signature"), name)
+def _open(members: DataFrame) -> DataFrame:
+    """Members of the signatures whose members lie in several components, if their sizes allow a link."""
+    spans = members.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("least"))
+    several = staged(spans.where("low <> high").select("signature", "least"), "open")
+    return staged(members.join(several, "signature").where("most >= least").drop("least"), "members")
+
+
+def _pair(one: str, other: str) -> list:
+    return [F.least(f"{one}.node", f"{other}.node").alias("a"), F.greatest(f"{one}.node", f"{other}.node").alias("b")]
 
 
-def _hub_pairs(members: DataFrame, hub: str) -> DataFrame:
-    """For each node, the hub it shares most signatures with; ``hub`` is an aggregate over a signature."""
-    hubs = staged(members.groupBy("signature").agg(F.expr(hub).alias("hub")), "hubs")
-    shared = members.join(hubs, "signature").where("node <> hub").groupBy("node", "hub").count()
+def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """For each node, the hub it shares most signatures with; the hubs differ from turn to turn."""
+    order = F.xxhash64("node", F.lit(turn)) if turn else F.struct("odd", "node")
+    hubs = members.selectExpr("signature", "node", "odd", MEMBER).groupBy("signature").agg(F.min_by("member", order).alias("hub"))
+    both = members.selectExpr("signature", MEMBER).join(staged(hubs, "hubs"), "signature")
+    both = both.where((F.col("member.node") != F.col("hub.node")) & _may_link("member", "hub"))
+    shared = both.select(F.col("member.node").alias("node"), "hub").groupBy("node", "hub").count()
     best = shared.groupBy("node").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
-    return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    return best.select(F.struct("node").alias("member"), "hub").select(*_pair("member", "hub")).distinct()
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """All pairs of members of one signature that lie in different components."""
+    """All pairs of members of one signature that lie in different components and may link."""
     groups = staged(members.select("signature", "component").distinct(), "groups")
     low = groups.withColumnRenamed("component", "low")
     both = low.join(groups.withColumnRenamed("component", "high"), "signature").where("low < high")
-    one = members.select("signature", F.col("component").alias("low"), F.col("node").alias("x"))
-    other = members.select("signature", F.col("component").alias("high"), F.col("node").alias("y"))
-    pairs = both.join(one, ["signature", "low"]).join(other, ["signature", "high"])
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    one = members.selectExpr("signature", "component as low", MEMBER).withColumnRenamed("member", "x")
+    other = members.selectExpr("signature", "component as high", MEMBER).withColumnRenamed("member", "y")
+    pairs = both.join(one, ["signature", "low"]).join(other, ["signature", "high"]).where(_may_link("x", "y"))
+    return pairs.select(*_pair("x", "y")).distinct()
 
 
 def jaccard_components(
@@ -288,19 +340,23 @@ def jaccard_components(
     later = staged(later, "later")
 
     candidates = filled.where("size(elements) > 0").join(later.drop("node").distinct(), ["doc_id", *same], "left_anti")
-    sets = staged(candidates.select(F.col("doc_id").alias("node"), "elements"), "sets")
+    sets = candidates.select(F.col("doc_id").alias("node"), "elements")
+    for _ in range(WEIGHINGS):
+        sets = staged(sets, "sets")
+        total = sets.agg(F.sum(F.size("elements"))).first()[0] or 0
+        sets = _weighed(sets, percent, 4 * total)
+    sets = staged(sets, "sets")
     entries = staged(_entries(sets, percent), "entries")
     several = staged(_different_groups(entries), "several")
-    members = staged(entries.join(several, "signature"), "members")
+    members = staged(entries.join(several, "signature").where("most >= least").drop("least"), "members")
     discard(entries, several, copied)
 
     outlines = staged(_outlines(sets.join(members.select("node").distinct(), "node", "left_semi")), "outlines")
     links, rest = None, members
     for turn in range(HUB_ROUNDS):
-        hub = "min(node)" if not turn else f"min_by(node, xxhash64(node, {turn}))"
-        found = _linked(_plausible(_hub_pairs(rest, hub), outlines, percent), sets, percent)
+        found = _linked(_plausible(_hub_pairs(rest, turn), outlines, percent), sets, percent)
         links = staged(found if links is None else links.unionAll(found), "links")
-        rest = _open(_grouped(rest, components(links)), "members")
+        rest = _open(_grouped(rest, components(links)))
     links = links.unionAll(_linked(_plausible(_across(rest), outlines, percent), sets, percent))
     # An id of several rows with different texts is one vertex.
     links = links.unionAll(later.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
