@@ -29,12 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.token_ids import ID, encoder
+from shelfwise.llm.token_ids import ID, ByteLevelParts, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 POOL = 2048
-TEXTS_AT_ONCE = 64
 
 
 @dataclass(frozen=True)
@@ -168,15 +167,12 @@ def pack_documents(
     rows = docs.select(F.col(id_column).cast("long"), F.coalesce(F.col(text_column).cast("string"), F.lit("")), loss_from)
 
     def sequences(batches):
-        encode, packer = encoder(tokenizer_path, "byte_level"), Packer(limits)
+        encode, packer = encoder(tokenizer_path, ByteLevelParts), Packer(limits)
         end = np.array([end_id], ID).tobytes()
         for batch in batches:
-            docs, texts, loss = (batch.column(k) for k in range(3))
-            for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = slice(k, min(k + TEXTS_AT_ONCE, batch.num_rows))
-                made = encode(texts[part].to_pylist())
-                for doc, ids, first in zip(docs[part].to_pylist(), made, loss[part].to_pylist(), strict=True):
-                    yield from packer.add(Span(doc, ids + end, 0, len(ids) // ID.itemsize + 1, max(0, first)))
+            docs, loss = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for row, ids in encode.documents(batch.column(1)):
+                yield from packer.add(Span(docs[row], ids.tobytes() + end, 0, len(ids) + 1, max(0, loss[row])))
         yield from packer.finish()
 
     def pieces(batches):

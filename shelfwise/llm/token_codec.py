@@ -33,13 +33,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.columns import batch_of, ids_and_texts
-from shelfwise.llm.token_ids import ID, encoder
+from shelfwise.llm.token_ids import ID, WordParts, encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 BLOCK = 4096
 SEGMENT = 2048 * BLOCK
-TEXTS_AT_ONCE = 256
 MAGIC = b"TIDS1"
 HEADER = struct.Struct("<5sIII")  # magic, ids, ids in a block, blocks
 BITS1, BITS2 = 10, 12
@@ -273,27 +272,27 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
     """Write the ids of all documents, in order of their ids, to ``path``."""
 
     def segments(batches) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer_path, "word"), np.array([end_id], ID).tobytes()
+        encode, end = encoder(tokenizer_path, WordParts), np.array([end_id], ID)
         part, number = TaskContext.get().partitionId(), 0
         ids, made, total = [], [], 0
 
         def closed() -> pa.RecordBatch:
-            payload = to_payload(np.frombuffer(b"".join(made), ID))
+            payload = to_payload(np.concatenate(made))
             return batch_of(
                 part=pa.array([part], pa.int32()),
                 segment=pa.array([number], pa.int32()),
                 n_ids=pa.array([total], pa.int64()),
                 doc_ids=pa.array([ids], pa.list_(pa.int64())),
-                lengths=pa.array([[len(b) // ID.itemsize for b in made]], pa.list_(pa.int64())),
+                lengths=pa.array([[len(own) for own in made]], pa.list_(pa.int64())),
                 payload=pa.array([payload], pa.binary()),
             )
 
         for batch in batches:
-            for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                piece = batch.slice(k, TEXTS_AT_ONCE)
-                ids.extend(piece.column(0).to_pylist())
-                made.extend(b + end for b in encode(piece.column(1).fill_null("").to_pylist()))
-                total = sum(map(len, made)) // ID.itemsize
+            known = batch.column(0).to_pylist()
+            for row, own in encode.documents(batch.column(1)):
+                ids.append(known[row])
+                made.append(np.concatenate((own, end)))
+                total += len(own) + 1
                 if total >= SEGMENT:
                     yield closed()
                     ids, made, total, number = [], [], 0, number + 1

@@ -25,13 +25,15 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm import words
 from shelfwise.llm.columns import batch_of, ids_and_texts
 from shelfwise.llm.staging import staged
-from shelfwise.llm.token_ids import ID, byte_level_parts, encoder
+from shelfwise.llm.token_ids import PIECE_BYTES, ByteLevelParts, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
 LEAF_PARTS = 16
@@ -110,9 +112,19 @@ class SegmentTree:
         self.encoded_leaves += last - first + 1
 
 
+def leaf_starts(piece: words.Piece) -> tuple[np.ndarray, np.ndarray]:
+    """The parts that begin a leaf, and for each text the first of its leaves."""
+    within = np.arange(len(piece.starts)) - np.repeat(piece.first[:-1], np.diff(piece.first))
+    begins = np.flatnonzero(within % LEAF_PARTS == 0)
+    return begins, np.searchsorted(begins, piece.first)
+
+
 def leaves_of(text: str) -> list[str]:
-    parts = byte_level_parts(text)
-    return ["".join(parts[k : k + LEAF_PARTS]) for k in range(0, len(parts), LEAF_PARTS)]
+    """The leaves of one text."""
+    piece = next(words.pieces(pa.array([text], pa.string()), kind=ByteLevelParts))
+    at = np.append(piece.starts[leaf_starts(piece)[0]], len(piece.data)).tolist()
+    raw = piece.data.tobytes()
+    return [raw[a:b].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -124,17 +136,21 @@ def token_trees(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id",
     """doc_id, digest, and the characters and tokens of each leaf, of each different row."""
 
     def trees(batches):
-        encode = encoder(tokenizer_path, "byte_level")
+        encode = encoder(tokenizer_path, ByteLevelParts)
         for batch in batches:
-            for k in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                piece = batch.slice(k, TEXTS_AT_ONCE)
-                leaves = [leaves_of(t) for t in piece.column(2).to_pylist()]
-                ids = iter(encode([leaf for own in leaves for leaf in own]))
+            for piece in words.pieces(batch.column(2), limit=PIECE_BYTES, kind=ByteLevelParts):
+                _, size = encode.piece_ids(piece)
+                begins, first = leaf_starts(piece)
+                letters = np.concatenate(([0], np.cumsum((piece.data & 0xC0) != 0x80)))  # not within a character
+                ends = np.append(piece.starts[begins], len(piece.data))
+                tokens = np.add.reduceat(size, begins) if len(begins) else size
+                offsets = pa.array(first, pa.int32())
+                rows = slice(piece.rows.start, piece.rows.stop)
                 yield batch_of(
-                    doc_id=piece.column(0),
-                    digest=piece.column(1),
-                    leaf_chars=pa.array([[len(leaf) for leaf in own] for own in leaves], pa.list_(pa.int32())),
-                    leaf_tokens=pa.array([[len(next(ids)) // ID.itemsize for _ in own] for own in leaves], pa.list_(pa.int32())),
+                    doc_id=batch.column(0)[rows],
+                    digest=batch.column(1)[rows],
+                    leaf_chars=pa.ListArray.from_arrays(offsets, pa.array(np.diff(letters[ends]), pa.int32())),
+                    leaf_tokens=pa.ListArray.from_arrays(offsets, pa.array(tokens, pa.int32())),
                 )
 
     rows = _keyed(ids_and_texts(docs, id_column, text_column))
@@ -187,11 +203,7 @@ def counts_after_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, toke
     rows = rows.select("doc_id", needed.alias("text"), "leaf_chars", "leaf_tokens", "edits")
 
     def counted(batches):
-        encode = encoder(tokenizer_path, "byte_level")
-
-        def count(text: str) -> int:
-            return len(encode([text])[0]) // ID.itemsize
-
+        count = encoder(tokenizer_path, ByteLevelParts).count
         for batch in batches:
             out = []
             for row in range(batch.num_rows):

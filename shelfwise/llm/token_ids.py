@@ -1,69 +1,155 @@
-"""Token ids of whole texts by public tokenizers, one piece of text at a time.
+"""Token ids of whole texts by public tokenizers, each part of a text encoded once.
 
 Both tokenizers cut a text into pre-tokens before they merge, so a text may be cut
-wherever a pre-token surely ends and the parts encoded on their own. Parts repeat,
-and a worker keeps the ids of those it has met (``CACHED_PARTS`` at most; then it
-starts anew).
+wherever a pre-token surely begins and the parts encoded on their own. Parts repeat:
+numpy finds the different ones of a piece of text, by a 64-bit hash, the tokenizer
+encodes those that a worker has not met, and the ids of all are put together from
+what it keeps (``KEPT_PARTS`` at most; then it starts anew). Plain parts, a Latin word
+with signs after it, are one or two pre-tokens: those go to the tokenizer's model as
+they are; all others through the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+
+from shelfwise.llm import words
 
-CACHED_PARTS = 300_000
 ID = np.dtype("<u4")
+KEPT_PARTS = 1_500_000
+PIECE_BYTES = 1 << 22
+
+#: A word of Latin letters, which are their own normal form, and signs; no apostrophe, digit or white space.
+PLAIN = re.compile("( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\\[-`{-~]*)")
+
+#: A space begins a part before these bytes: no white space, and no first byte of a wide white space.
+BEGINS = np.ones(256, bool)
+BEGINS[:0x21] = False
+BEGINS[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it shows, else the next from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
-_SPACE_BEFORE_SPACE = re.compile(r" (?:\s|\Z)|\A\s")
-_BEFORE_WORD = re.compile(r"(?= \S)")
 
+BYTE_LETTERS = _byte_letters()
 
-def byte_level_parts(text: str) -> list[str]:
-    """Parts of a text for byte-level BPE: each space before a non-space begins one.
+
+class ByteLevelParts(words.Piece):
+    """Parts for byte-level BPE: a space before a non-space begins one.
 
     A pre-token holds at most one space, at its start, unless it is white space
     only; and such a run leaves its last space to the word that follows.
     """
-    if _SPACE_BEFORE_SPACE.search(text):
-        return [part for part in _BEFORE_WORD.split(text) if part]
-    first, *rest = text.split(" ")
-    return [first, *[" " + part for part in rest]] if first else []
 
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        begins = np.zeros(len(data) + 1, bool)
+        begins[: max(len(data) - 1, 0)] = (data[:-1] == 0x20) & BEGINS[data[1:]]
+        begins[offsets - 1] = False  # a text's last byte precedes nothing
+        begins[offsets] = True
+        self.starts = np.flatnonzero(begins[:-1])
+        self.ends = np.append(self.starts[1:], len(data))
+
+    @staticmethod
+    def normal(word: str) -> str:
+        return word
+
+
+class WordParts(words.Piece):
+    """Parts for a tokenizer that drops white space: what ASCII white space separates."""
 
-def word_parts(text: str) -> list[bytes]:
-    """Parts of a text for a tokenizer that drops white space: what ASCII white space separates."""
-    return text.encode().split()
+    @staticmethod
+    def normal(word: str) -> str:
+        return word.lower()
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes."""
+    """The ids of texts, piece by piece."""
 
-    def __init__(self, path: str, parts):
+    def __init__(self, path: str, kind: type[words.Piece]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts = parts
-        self.known: dict = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.parts(text) for text in texts]
-        if len(self.known) > CACHED_PARTS:
-            self.known.clear()
-        new = list(set().union(*cut) - self.known.keys())
+        self.kind = kind
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.ids, self.n_ids = np.empty(1 << 16, ID), 0
+        self.begin, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+
+    def _encoded(self, part: bytes) -> list[int]:
+        text = part.decode()
+        plain = PLAIN.fullmatch(text)
+        if not plain:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        word, signs = plain.groups()
+        model = self.tokenizer.model.tokenize
+        letters = self.kind.normal(word).encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = [token.id for token in model(letters)]
+        return ids + [token.id for token in model(signs)] if signs else ids
+
+    def _learn(self, keys: list[int], parts: list[bytes]) -> None:
+        made = [self._encoded(part) for part in parts]
+        sizes = np.array([len(m) for m in made], np.int64)
+        first, total = len(self.known), self.n_ids + int(sizes.sum())
+        if total > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * total)
+        if first + len(keys) > len(self.begin):
+            self.begin, self.size = (np.resize(a, 2 * (first + len(keys))) for a in (self.begin, self.size))
+        self.ids[self.n_ids : total] = np.concatenate(made)
+        self.begin[first : first + len(keys)] = self.n_ids + np.cumsum(sizes) - sizes
+        self.size[first : first + len(keys)] = sizes
+        self.known.update(zip(keys, range(first, first + len(keys)), strict=True))
+        self.n_ids = total
+
+    def piece_ids(self, piece: words.Piece) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a piece, and how many each part has."""
+        if not len(piece.starts):
+            return np.empty(0, ID), np.empty(0, np.int64)
+        if len(self.known) > KEPT_PARTS:
+            self._forget()
+        code, keys = pd.factorize(piece.hashes())
+        keys = keys.tolist()
+        new = [k for k, key in enumerate(keys) if key not in self.known]
         if new:
-            plain = [p.decode() for p in new] if isinstance(new[0], bytes) else new
-            made = self.tokenizer.encode_batch(plain, add_special_tokens=False)
-            self.known.update((p, np.array(e.ids, ID).tobytes()) for p, e in zip(new, made, strict=True))
-        known = self.known.__getitem__
-        return [b"".join(map(known, parts)) for parts in cut]
+            place = np.empty(len(keys), np.int64)
+            place[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+            raw = piece.data.tobytes()
+            at = place[new]
+            texts = [raw[a:b] for a, b in zip(piece.starts[at].tolist(), piece.ends[at].tolist(), strict=True)]
+            self._learn([keys[k] for k in new], texts)
+        slot = np.array([self.known[key] for key in keys])[code]
+        size = self.size[slot]
+        before = np.cumsum(size) - size
+        return self.ids[np.repeat(self.begin[slot] - before, size) + np.arange(int(size.sum()))], size
+
+    def documents(self, text: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        """(row, ids) of each text."""
+        for piece in words.pieces(text, limit=PIECE_BYTES, kind=self.kind):
+            ids, size = self.piece_ids(piece)
+            ends = np.concatenate(([0], np.cumsum(size)))[piece.first].tolist()
+            for k, row in enumerate(piece.rows):
+                yield row, ids[ends[k] : ends[k + 1]]
+
+    def count(self, text: str) -> int:
+        """How many ids a text has."""
+        return sum(len(ids) for _, ids in self.documents(pa.array([text], pa.string())))
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, kind: str) -> Encoder:
-    """A worker's encoder; ``kind`` is byte_level or word."""
-    return Encoder(path, byte_level_parts if kind == "byte_level" else word_parts)
+def encoder(path: str, kind: type[words.Piece]) -> Encoder:
+    """A worker's encoder."""
+    return Encoder(path, kind)

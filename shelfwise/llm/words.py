@@ -60,6 +60,10 @@ class Piece:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, rows: range, lower: bool):
         self.rows, self.offsets = rows, offsets
         self.data = LOWER[data] if lower else data
+        self._cut(data, offsets)
+        self.first = np.searchsorted(self.starts, offsets)
+
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> None:
         inside = ~SPACES[data]
         before = np.zeros(len(data) + 1, bool)
         before[1:] = inside
@@ -69,7 +73,6 @@ class Piece:
         after[offsets] = False  # its last byte precedes nothing
         self.starts = np.flatnonzero(inside & ~before[:-1])
         self.ends = np.flatnonzero(inside & ~after[1:]) + 1
-        self.first = np.searchsorted(self.starts, offsets)
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
@@ -79,7 +82,7 @@ class Piece:
         return mixed((sums[self.ends] - sums[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(np.uint64))
 
 
-def pieces(text: pa.Array, lower: bool = False, limit: int = PIECE_BYTES) -> Iterator[Piece]:
+def pieces(text: pa.Array, lower: bool = False, limit: int = PIECE_BYTES, kind: type[Piece] = Piece) -> Iterator[Piece]:
     """The documents of a text column, in pieces; null texts are empty."""
     if text.null_count:
         text = text.fill_null("")
@@ -91,7 +94,7 @@ def pieces(text: pa.Array, lower: bool = False, limit: int = PIECE_BYTES) -> Ite
     while row < len(text):
         last = max(row + 1, int(np.searchsorted(ends, ends[row] + limit, "right")) - 1)
         part = ends[row : last + 1]
-        yield Piece(data[part[0] : part[-1]], part - part[0], range(row, last), lower)
+        yield kind(data[part[0] : part[-1]], part - part[0], range(row, last), lower)
         row = last
 
 
