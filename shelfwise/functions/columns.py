@@ -11,9 +11,12 @@ from pyspark.sql import types as T
 
 
 def to_day(col: Column, data_type: T.DataType) -> Column:
-    """A date from text, timestamp or date; text that is no date gives null."""
+    """A date from text, timestamp or date; text that is no date gives null.
+
+    Text may leave out leading zeros and may go on with a time of day.
+    """
     if isinstance(data_type, T.StringType):
-        return F.try_to_date(col, "yyyy-MM-dd")
+        return F.when(F.trim(col).rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:.*)?$"), F.trim(col).try_cast("date"))
     return col.cast("date")
 
 

@@ -10,15 +10,28 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import non_negative, to_day
 from shelfwise.schema import ROW_KEYS, SERIES_KEYS, day_window
 
+# Fixed value: the category of products that have none.
 DEFAULT_CATEGORY = "Otros"
 
 
+# The text of a date that cannot be read, in a row's key.
+UNREAD = "unread_date"
+
+
+def with_readable_dates(df: DataFrame) -> DataFrame:
+    """``df`` with dates for ``sale_date``, and with the text of those that cannot be read."""
+    day = to_day(F.col("sale_date"), df.schema["sale_date"].dataType)
+    unread = F.when(day.isNull(), F.col("sale_date").cast("string"))
+    return df.withColumns({"sale_date": day, UNREAD: unread})
+
+
 def clean_sales(
     df: DataFrame, first_by: Sequence[str] | None = None, ordered: bool = False
 ) -> DataFrame:
     """One row per sale date, store and product with numeric, non-negative measures.
 
-    Of several copies of a key the first one by ``first_by`` stays; the other
+    A date that cannot be read is part of its row's key as it stands: such rows
+    stay, without a date, and only true copies of them go. Of several copies of a key the first one by ``first_by`` stays; the other
     columns break ties, so the choice never depends on the physical row order.
     Copies are reduced by an aggregate, not a window: every map task sends at
     most one row per key, however many copies one key has. ``ordered`` adds the
@@ -27,19 +40,15 @@ def clean_sales(
     rest = [name for name in df.columns if name not in ROW_KEYS]
     order = list(first_by or [])
     order += [name for name in rest if name not in order]
-    first = (
-        df.withColumn("sale_date", to_day(F.col("sale_date"), df.schema["sale_date"].dataType))
-        .groupBy(*ROW_KEYS)
-        .agg(F.min(F.struct(*order)).alias("first_row"))
-    )
+    first = with_readable_dates(df).groupBy(*ROW_KEYS, UNREAD).agg(F.min(F.struct(*order)).alias("first_row"))
     measures = {name: non_negative(F.col(name), df.schema[name].dataType) for name in ("units", "stock")}
     out = first.select(*ROW_KEYS, *[F.col(f"first_row.{name}") for name in rest]).withColumns(measures)
     return out.orderBy("store", "product", "sale_date") if ordered else out
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows before cleaning, rows after, and the difference."""
-    per_key = df.groupBy(*ROW_KEYS).agg(F.count(F.lit(1)).alias("copies"))
+    """Rows before ``clean_sales``, rows after, and the difference."""
+    per_key = with_readable_dates(df).groupBy(*ROW_KEYS, UNREAD).agg(F.count(F.lit(1)).alias("copies"))
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_before"),
         F.count(F.lit(1)).alias("rows_after"),

@@ -7,28 +7,20 @@ and Holt-Winters is a recursive query.
 
 from __future__ import annotations
 
-from shelfwise.forecasting.holt_winters import ALPHAS, BETAS, GAMMAS
-from shelfwise.operators.features import (
-    BLACK_FRIDAY_FACTOR,
-    HOLIDAY_FACTOR,
-    LAGS,
-    MONTH_FACTORS,
-    ROLLING_MAX_WINDOW,
-    ROLLING_WINDOWS,
-    WEEKDAY_FACTORS,
-    YEARLY_GROWTH,
-)
-from shelfwise.plans.queries import (
-    FEATURES_FROM,
-    FIXED_SMOOTHING,
-    HORIZON,
-    LISTED_FROM_SIZE,
-    LOOKBACK,
-    ONE_PRODUCT,
-    ONE_STORE,
-    ORIGIN,
-)
-from shelfwise.sources.star import YEARLY_HOLIDAYS
+import datetime as dt
+
+# Written out here, not taken from the code that they check.
+LAGS = [1, 7, 14, 21, 28]
+ROLLING_WINDOWS, ROLLING_MAX_WINDOW = [7, 14, 30], 7
+WEEKDAY_FACTORS = [0.85, 0.88, 0.92, 0.95, 1.20, 1.35, 0.85]
+MONTH_FACTORS = [0.90, 0.85, 0.95, 0.98, 1.00, 1.05, 1.10, 0.80, 1.00, 1.05, 1.20, 1.40]
+HOLIDAY_FACTOR, BLACK_FRIDAY_FACTOR, YEARLY_GROWTH = 0.30, 2.5, 0.02
+YEARLY_HOLIDAYS = [(1, 1), (1, 6), (5, 1), (8, 15), (10, 12), (11, 1), (12, 6), (12, 8), (12, 25)]
+ALPHAS, BETAS, GAMMAS = [0.05, 0.1, 0.2, 0.4], [0.0, 0.01, 0.05], [0.02, 0.1, 0.3]
+FIXED_SMOOTHING = [(0.1, 0.01, 0.1)]
+HORIZON, LOOKBACK = 14, 30
+ONE_STORE, ONE_PRODUCT = "ASIA", "PROMO"
+ORIGIN, FEATURES_FROM = dt.date(1995, 1, 1), dt.date(2000, 1, 1)
 
 SERIES = "partition by store, product order by sale_date"
 
@@ -103,8 +95,9 @@ PARTS = {
     ),
     "raw": (
         [],
-        f"""select cast(l_shipdate as date) as sale_date, r_name as store, p_type as product,
-        p_type as category,
+        f"""select case when l_linenumber < 6 then cast(l_shipdate as date) end as sale_date,
+        case when l_linenumber = 6 then strftime(l_shipdate, '%d.%m.%Y') when l_linenumber = 7 then 'soon' end as unread,
+        r_name as store, p_type as product, p_type as category,
         case when l_returnflag = 'R' then '-' || cast(l_quantity as int)
              when l_discount = 0 then 'n/a' else cast(cast(l_quantity as int) as varchar) end as units,
         case when l_tax = 0 then '' else cast(p_size as varchar) end as stock,
@@ -302,19 +295,19 @@ ORACLE: dict[str, str] = {
         """select sale_date, store, product, category,
         greatest(coalesce(try_cast(units as double), 0), 0) as units,
         greatest(coalesce(try_cast(stock as double), 0), 0) as stock
-        from (select *, row_number() over (partition by sale_date, store, product order by l_orderkey,
+        from (select *, row_number() over (partition by sale_date, unread, store, product order by l_orderkey,
             l_linenumber, l_partkey, l_suppkey, category, units, stock) as copy from raw) where copy = 1""",
         "raw",
     ),
     "duplicate_count": sql(
         """select rows_before, rows_after, rows_before - rows_after as duplicates from (
-        select count(*) as rows_before, count(distinct (sale_date, store, product)) as rows_after from raw)""",
+        select count(*) as rows_before, count(distinct (sale_date, unread, store, product)) as rows_after from raw)""",
         "raw",
     ),
     "product_codes": "select printf('PROD_%03d', p_partkey) as product, p_partkey as number from part",
     "category_lookup": sql(
         f"""select sale_date, store, product, units, coalesce(p_type, 'Otros') as category
-        from lines left join (select * from part where p_size >= {LISTED_FROM_SIZE}) on product = p_partkey""",
+        from lines left join part on product = p_partkey""",
         "lines",
     ),
     "dense_series": sql("select store, product, sale_date, units from dense", "dense"),
@@ -440,14 +433,14 @@ ORACLE: dict[str, str] = {
             where row_no <= n_train group by all) using (store, product)""",
         smooth="fixed",
     ),
-    "forecast_errors": sql(ALL_ERRORS, "ma", smooth="fixed"),
-    "horizon_errors": sql(HORIZON_ERRORS, "ma", smooth="fixed"),
-    "compare_models": sql(COMPARED, "ma", smooth="fixed"),
+    "forecast_errors": sql(ALL_ERRORS, "ma", smooth="sets"),
+    "horizon_errors": sql(HORIZON_ERRORS, "ma", smooth="sets"),
+    "compare_models": sql(COMPARED, "ma", smooth="sets"),
     "best_model": sql(
         f"""select store, product, model, mape, coalesce(mape < 15, false) as meets_target
         from ({COMPARED}) where rank = 1""",
         "ma",
-        smooth="fixed",
+        smooth="sets",
     ),
     "run_metrics": sql(
         " union all ".join(
@@ -455,14 +448,14 @@ ORACLE: dict[str, str] = {
             for m in ("mape", "mae", "rmse")
         ),
         "ma",
-        smooth="fixed",
+        smooth="sets",
     ),
     "forecast_curves": sql(
         f"""select store, product, sale_date, part, 'actual' as curve, units as value from split
         union all select store, product, sale_date, 'test', model, round(predicted, 6) from {BOTH}""",
         "split",
         "ma",
-        smooth="fixed",
+        smooth="sets",
     ),
     "forecast_coverage": sql(
         """select store, product, model, 'one_step' as mode, count(*) as days, count(*) as usable_days,

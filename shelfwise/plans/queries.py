@@ -33,16 +33,10 @@ HOLIDAY_YEARS = (1990, 2010)
 ORIGIN = dt.date(1995, 1, 1)
 FEATURES_FROM = dt.date(2000, 1, 1)
 FIXED_SMOOTHING = [(0.1, 0.01, 0.1)]
-# The category table leaves out the smallest parts, so some lines find no category.
-LISTED_FROM_SIZE = 10
 HORIZON = 14
 LOOKBACK = 30
 # Weights for the recursive forecast with given weights: linear, newest largest.
 FIXED_WEIGHTS = [i / 465 for i in range(1, LOOKBACK + 1)]
-# Smaller than the library's defaults, so that a round of all queries stays short.
-FOREST = {"num_trees": 20, "max_depth": 8}
-BOOSTING = {"stages": 10}
-LOOKBACK_ITERATIONS = 20
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -110,8 +104,7 @@ def product_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def category_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    listed = star.table(spark, sf, "part").where(F.col("p_size") >= LISTED_FROM_SIZE)
-    names = listed.select(F.col("p_partkey").alias("product"), F.col("p_type").alias("category"))
+    names = star.table(spark, sf, "part").select(F.col("p_partkey").alias("product"), F.col("p_type").alias("category"))
     lines = star.sales_lines(spark, sf).select(*ROW_KEYS, "units")
     return cleaning.with_category(lines, names)
 
@@ -292,7 +285,7 @@ def ma_horizon(spark: SparkSession, sf: str) -> DataFrame:
 def horizon_errors(spark: SparkSession, sf: str) -> DataFrame:
     rows = dense(spark, sf)
     ahead = ma.moving_average_predict(ma.moving_average_fit(rows), HORIZON).unionByName(
-        hw.holt_winters_predict(hw.holt_winters_fit(rows, FIXED_SMOOTHING), HORIZON)
+        hw.holt_winters_predict(hw.holt_winters_fit(rows), HORIZON)
     )
     return evaluation.forecast_errors(evaluation.with_actuals(ahead, rows))
 
@@ -323,8 +316,7 @@ def hw_horizon(spark: SparkSession, sf: str) -> DataFrame:
 
 def statistical_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     rows = dense(spark, sf)
-    smoothed = hw.holt_winters_forecast(rows, FIXED_SMOOTHING)
-    return ma.moving_average_forecast(rows).unionByName(smoothed)
+    return ma.moving_average_forecast(rows).unionByName(hw.holt_winters_forecast(rows))
 
 
 def forecast_errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,8 +341,38 @@ def forecast_curves(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.forecast_curves(split, statistical_forecasts(spark, sf)), "value")
 
 
+# Tables and models that several queries share, by application, folder and name.
+_SHARED: dict[tuple[str, str, str], object] = {}
+
+
+def shared(spark: SparkSession, sf: str, name: str, make: Callable[[], object]):
+    """What ``make`` gives, worked out once for an application and a folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _SHARED:
+        _SHARED[key] = make()
+    return _SHARED[key]
+
+
 def split_features(spark: SparkSession, sf: str) -> DataFrame:
-    return staged(features.temporal_split(features_of(spark, sf)), "features", SERIES_KEYS, ["sale_date"])
+    def stage() -> DataFrame:
+        return staged(features.temporal_split(features_of(spark, sf)), "features", SERIES_KEYS, ["sale_date"])
+
+    return shared(spark, sf, "features", stage)
+
+
+def forest_of(spark: SparkSession, sf: str):
+    return shared(spark, sf, "forest", lambda: trees.random_forest(train_rows(split_features(spark, sf))))
+
+
+def boosting_of(spark: SparkSession, sf: str):
+    return shared(spark, sf, "boosting", lambda: trees.gradient_boosting(train_rows(split_features(spark, sf))))
+
+
+def regressor_of(spark: SparkSession, sf: str) -> lb.LinearRegressionModel:
+    def fit() -> lb.LinearRegressionModel:
+        return lb.lookback_fit(features.validation_split(features.lookback_sequences(staged_series(spark, sf), LOOKBACK)))
+
+    return shared(spark, sf, "regressor", fit)
 
 
 def train_rows(rows: DataFrame) -> DataFrame:
@@ -362,19 +384,15 @@ def test_rows(rows: DataFrame) -> DataFrame:
 
 
 def rf_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    rows = split_features(spark, sf)
-    return trees.tree_forecast(trees.random_forest(train_rows(rows), **FOREST), test_rows(rows))
+    return trees.tree_forecast(forest_of(spark, sf), test_rows(split_features(spark, sf)))
 
 
 def gbt_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    rows = split_features(spark, sf)
-    model = trees.gradient_boosting(train_rows(rows), **BOOSTING)
-    return trees.tree_forecast(model, test_rows(rows), trees.GRADIENT_BOOSTING)
+    return trees.tree_forecast(boosting_of(spark, sf), test_rows(split_features(spark, sf)), trees.GRADIENT_BOOSTING)
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    rows = split_features(spark, sf)
-    return trees.feature_importance(spark, trees.random_forest(train_rows(rows), **FOREST), top=12)
+    return trees.feature_importance(spark, forest_of(spark, sf), top=12)
 
 
 def coverage(forecasts: DataFrame) -> DataFrame:
@@ -390,40 +408,30 @@ def coverage(forecasts: DataFrame) -> DataFrame:
 
 
 def forecast_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    """Days and actuals of the fitted models' forecasts; the fits themselves are kept small."""
-    rows, scaled = split_features(spark, sf), staged_series(spark, sf)
-    forest = trees.random_forest(train_rows(rows), num_trees=3, max_depth=4)
-    boosted = trees.gradient_boosting(train_rows(rows), stages=2, max_depth=3)
-    sequences_of = features.lookback_sequences(scaled, LOOKBACK)
-    regressor = lb.lookback_fit(features.validation_split(sequences_of), max_iter=3)
+    """Days and actuals of the fitted models' forecasts."""
     return coverage(
-        trees.tree_forecast(forest, test_rows(rows))
-        .unionByName(trees.tree_forecast(boosted, test_rows(rows), trees.GRADIENT_BOOSTING))
-        .unionByName(lb.lookback_forecast(regressor, sequences_of))
+        rf_forecast(spark, sf).unionByName(gbt_forecast(spark, sf)).unionByName(lookback_forecast(spark, sf))
     )
 
 
 def staged_series(spark: SparkSession, sf: str) -> DataFrame:
-    return staged(scaled_series(spark, sf), "scaled", SERIES_KEYS, ["sale_date"])
-
+    def stage() -> DataFrame:
+        return staged(scaled_series(spark, sf), "scaled", SERIES_KEYS, ["sale_date"])
 
-def lookback_model(scaled: DataFrame) -> lb.LinearRegressionModel:
-    rows = features.validation_split(features.lookback_sequences(scaled, LOOKBACK))
-    return lb.lookback_fit(rows, LOOKBACK_ITERATIONS)
+    return shared(spark, sf, "scaled", stage)
 
 
 def lookback_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = staged_series(spark, sf)
-    return lb.lookback_forecast(lookback_model(scaled), features.lookback_sequences(scaled, LOOKBACK))
+    return lb.lookback_forecast(regressor_of(spark, sf), features.lookback_sequences(staged_series(spark, sf), LOOKBACK))
 
 
 def lookback_history(spark: SparkSession, sf: str) -> DataFrame:
-    return lb.fit_history(spark, lookback_model(staged_series(spark, sf)))
+    return lb.fit_history(spark, regressor_of(spark, sf))
 
 
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    scaled = staged_series(spark, sf)
-    return lb.LookbackState(lookback_model(scaled), lb.last_windows(scaled, LOOKBACK)).forecast(HORIZON)
+    windows = lb.last_windows(staged_series(spark, sf), LOOKBACK)
+    return lb.LookbackState(regressor_of(spark, sf), windows).forecast(HORIZON)
 
 
 def recursive_forecast_fixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -432,7 +440,7 @@ def recursive_forecast_fixed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def all_models(spark: SparkSession, sf: str) -> Training:
-    return train_all(dense(spark, sf), holidays(spark), max_iter=LOOKBACK_ITERATIONS, **FOREST)
+    return train_all(dense(spark, sf), holidays(spark))
 
 
 def compare_all_models(spark: SparkSession, sf: str) -> DataFrame:

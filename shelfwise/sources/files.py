@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -18,8 +17,8 @@ from shelfwise.schema import FACT_SCHEMA, FEED_COLUMNS
 # The most buckets Spark accepts by default.
 MAX_BUCKETS = 100_000
 
-# Where a row stands in its feed file: the split's offset and the order within the split.
-FEED_POSITION = ["feed_block", "feed_row"]
+# Where a row stands in the feed: its file, the split's offset and the order within the split.
+FEED_POSITION = ["feed_file", "feed_block", "feed_row"]
 
 
 def read_sales_csv(
@@ -28,10 +27,10 @@ def read_sales_csv(
     """The sales feed under the fact's column names.
 
     Headers are checked against the declared schema, so swapped columns fail
-    instead of loading into the wrong place. With ``raw`` the two measures stay
-    text for ``clean_sales`` to coerce; otherwise text that is no number is null.
-    ``positions`` adds ``FEED_POSITION``, by which the first of several copies in
-    a file can be told whatever order Spark reads the splits in. A missing path
+    instead of loading into the wrong place. With ``raw`` the date and the two
+    measures stay text for ``clean_sales`` to coerce; otherwise text that is no date
+    or number is null. ``positions`` adds ``FEED_POSITION``, by which the first of
+    several copies can be told whatever order Spark reads files and splits in. A missing path
     raises Spark's own ``PATH_NOT_FOUND``.
     """
     as_text = {"sale_date", "units", "stock"} if raw else {"sale_date"}
@@ -51,10 +50,11 @@ def read_sales_csv(
     if positions:
         rows = rows.select(
             "*",
+            F.col("_metadata.file_path").alias("feed_file"),
             F.col("_metadata.file_block_start").alias("feed_block"),
             F.monotonically_increasing_id().alias("feed_row"),
         )
-    return rows.withColumn("sale_date", to_day(F.col("sale_date"), T.StringType()))
+    return rows if raw else rows.withColumn("sale_date", to_day(F.col("sale_date"), T.StringType()))
 
 
 def write_sales_csv(df: DataFrame, path: str) -> str:
@@ -100,21 +100,21 @@ def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
-
-    Only a local session may fall back to a folder of its own machine.
-    """
+    """A folder every executor can reach: the checkpoint folder, else the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     already_set = spark.sparkContext.getCheckpointDir()
     if already_set:
         return already_set.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return warehouse.rstrip("/")
+
+
+# The folders each application has staged tables in.
+_STAGED: dict[str, list[str]] = {}
 
 
 def _stage_prefix(spark: SparkSession) -> str:
@@ -131,17 +131,23 @@ def staged(df: DataFrame, name: str, by: Sequence[str] = (), order: Sequence[str
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     if not by:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     entry = f"{_stage_prefix(spark)}_{uuid.uuid4().hex}"
-    writer = df.write.format("parquet").option("path", path)
+    placed = df.repartition(buckets, *by)  # a task writes whole buckets: no more files than buckets
+    writer = placed.write.format("parquet").option("path", path)
     writer.bucketBy(buckets, *by).sortBy(*by, *order).saveAsTable(entry)
     return spark.table(entry)
 
 
 def forget_staged(spark: SparkSession) -> None:
-    """Drop this application's bucketed stages from the catalog; their files stay."""
+    """Drop this application's stages: their entries in the catalog and their files."""
     for entry in spark.catalog.listTables(pattern=f"{_stage_prefix(spark)}*"):
         spark.sql(f"drop table if exists {entry.name}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)

@@ -76,6 +76,8 @@ def part_daily(spark: SparkSession, folder: str) -> DataFrame:
 def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as an uncleaned feed: text measures, repeated keys, returns below zero.
 
+    Some dates carry a time of day and some cannot be read.
+
     The product is the part type, so a day of one store holds many copies of a key.
     """
     return (
@@ -83,7 +85,11 @@ def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
         .join(supplier_stores(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            F.date_format("l_shipdate", "yyyy-MM-dd").alias("sale_date"),
+            F.when(F.col("l_linenumber") == 5, F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+            .when(F.col("l_linenumber") == 6, F.date_format("l_shipdate", "dd.MM.yyyy"))
+            .when(F.col("l_linenumber") == 7, F.lit("soon"))
+            .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+            .alias("sale_date"),
             "store",
             F.col("p_type").alias("product"),
             F.col("p_type").alias("category"),

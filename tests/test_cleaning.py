@@ -44,6 +44,16 @@ def test_bad_dates_become_null_and_stay_out_of_series(spark):
     assert [r.units for r in dense_series(cleaned).collect()] == [2.0]
 
 
+def test_no_row_is_lost_to_its_date(spark):
+    days = ["2022-01-01 00:00:00", "2022-01-02T10:30:00", "2022-1-3", "2022-01-04", "04.01.2022", "05.01.2022", "05.01.2022", None]
+    df = raw(spark, [(day, "S", "P", str(i), "1", i) for i, day in enumerate(days)])
+    cleaned = clean_sales(df, ["seq"])
+    assert sorted(str(r.sale_date) for r in cleaned.collect()) == [f"2022-01-0{d}" for d in (1, 2, 3, 4)] + ["None"] * 3
+    assert sorted(r.units for r in cleaned.where("sale_date is null").collect()) == [4.0, 5.0, 7.0]
+    counts = duplicate_count(df).collect()[0]
+    assert (counts.rows_before, counts.rows_after, counts.duplicates) == (8, cleaned.count(), 1)
+
+
 def test_ordered_output_is_sorted_by_series_and_date(spark):
     rows = [
         (f"2022-01-{d:02d}", s, p, "1", "1", 0) for d in (3, 1, 2) for s in "BA" for p in ("y", "x")

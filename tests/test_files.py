@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -51,6 +53,30 @@ def test_the_first_line_of_a_key_wins_across_splits(spark, tmp_path):
     assert [r.units for r in kept] == [5000.0 - i for i in range(28)]
 
 
+@pytest.mark.parametrize(("short", "long"), [("a", "b"), ("b", "a")])
+@pytest.mark.parametrize("split", ["2KB", "1MB"])
+def test_the_first_file_by_name_wins_whatever_its_size(spark, tmp_path, short, long, split):
+    for name, units, more in ((short, "1", 0), (long, "2", 2000)):
+        lines = [line("2022-01-01", units, "1")] + [line(f"2021-01-{1 + i % 28:02d}", "5", "1") for i in range(more)]
+        (tmp_path / f"{name}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        raw = files.read_sales_csv(spark, str(tmp_path), raw=True, positions=True)
+        kept = clean_sales(raw, files.FEED_POSITION).where("sale_date = '2022-01-01'").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.units for r in kept] == [1.0 if short == "a" else 2.0]
+
+
+def test_staged_tables_go_and_have_a_file_a_bucket_at_most(spark):
+    rows = spark.range(4000).selectExpr("cast(id % 50 as string) as store", "cast(id % 3 as string) as product", "id")
+    table = files.staged(rows.repartition(16, "id"), "bucketed", ["store", "product"])
+    stored = table.inputFiles()
+    assert table.count() == 4000 and len(stored) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files.forget_staged(spark)
+    assert not any(Path(f.removeprefix("file:").replace("///", "/")).exists() for f in stored)
+
+
 def test_swapped_headers_fail_instead_of_loading_wrongly(spark, tmp_path):
     swapped = HEADER.replace("tienda,producto", "producto,tienda")
     with pytest.raises(Exception, match="header|FAILED_READ_FILE"):
@@ -111,11 +137,13 @@ class FakeSession:
         self.folder = path
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        files.shared_dir(FakeSession("yarn"))
-    local = FakeSession("local[2]")
-    assert files.shared_dir(local) == files.shared_dir(local) == local.folder
+def test_a_session_must_name_a_shared_folder():
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            files.shared_dir(FakeSession(master))
+    stored = FakeSession("yarn")
+    stored.get = lambda key, default: "/warehouse/" if key == "spark.sql.warehouse.dir" else default
+    assert files.shared_dir(stored) == "/warehouse"
 
 
 def test_the_session_names_the_shared_folder():

@@ -6,6 +6,7 @@ import pytest
 from compare import connect, differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from shelfwise.plans.oracle import ORACLE
 from shelfwise.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -23,8 +24,8 @@ def db():
 
 
 def test_only_fitted_models_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == FITTED
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE) == FITTED
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
 
 
 def test_dates_leave_as_text_and_stay_dates_inside(spark):
@@ -36,7 +37,7 @@ def test_flagship_query_has_rows(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, db, name):
     assert differences(queries()[name](spark, FOLDER), db, oracle_sql()[name]) == []
 
