@@ -24,7 +24,7 @@ from shelfwise.llm import words
 
 ID = np.dtype("<u4")
 KEPT_PARTS = 1_500_000
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 21
 
 #: A word of Latin letters, which are their own normal form, and signs; no apostrophe, digit or white space.
 PLAIN = re.compile("( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -86,7 +86,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.slots = np.empty(0, np.uint64), np.empty(0, np.int32)  # sorted by key
         self.ids, self.n_ids = np.empty(1 << 16, ID), 0
         self.begin, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
@@ -101,37 +101,49 @@ class Encoder:
         ids = [token.id for token in model(letters)]
         return ids + [token.id for token in model(signs)] if signs else ids
 
-    def _learn(self, keys: list[int], parts: list[bytes]) -> None:
+    def _learn(self, keys: np.ndarray, parts: list[bytes]) -> None:
         made = [self._encoded(part) for part in parts]
         sizes = np.array([len(m) for m in made], np.int64)
-        first, total = len(self.known), self.n_ids + int(sizes.sum())
+        first, total = len(self.keys), self.n_ids + int(sizes.sum())
         if total > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * total)
+            self.ids = np.resize(self.ids, total + total // 2)
         if first + len(keys) > len(self.begin):
-            self.begin, self.size = (np.resize(a, 2 * (first + len(keys))) for a in (self.begin, self.size))
+            room = first + len(keys) + (first + len(keys)) // 2
+            self.begin, self.size = np.resize(self.begin, room), np.resize(self.size, room)
         self.ids[self.n_ids : total] = np.concatenate(made)
         self.begin[first : first + len(keys)] = self.n_ids + np.cumsum(sizes) - sizes
         self.size[first : first + len(keys)] = sizes
-        self.known.update(zip(keys, range(first, first + len(keys)), strict=True))
         self.n_ids = total
+        both = np.concatenate((self.keys, keys))
+        order = np.argsort(both, kind="stable")
+        self.keys = both[order]
+        self.slots = np.concatenate((self.slots, np.arange(first, first + len(keys), dtype=np.int32)))[order]
+
+    def _slots(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of these parts are kept, and whether they are."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int32), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.slots[at], self.keys[at] == keys
 
     def piece_ids(self, piece: words.Piece) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a piece, and how many each part has."""
         if not len(piece.starts):
             return np.empty(0, ID), np.empty(0, np.int64)
-        if len(self.known) > KEPT_PARTS:
+        if len(self.keys) > KEPT_PARTS:
             self._forget()
         code, keys = pd.factorize(piece.hashes())
-        keys = keys.tolist()
-        new = [k for k, key in enumerate(keys) if key not in self.known]
-        if new:
+        slots, kept = self._slots(keys)
+        new = np.flatnonzero(~kept)
+        if len(new):
+            new = new[np.argsort(keys[new])]
             place = np.empty(len(keys), np.int64)
             place[code[::-1]] = np.arange(len(code) - 1, -1, -1)
-            raw = piece.data.tobytes()
-            at = place[new]
+            raw, at = piece.data.tobytes(), place[new]
             texts = [raw[a:b] for a, b in zip(piece.starts[at].tolist(), piece.ends[at].tolist(), strict=True)]
-            self._learn([keys[k] for k in new], texts)
-        slot = np.array([self.known[key] for key in keys])[code]
+            self._learn(keys[new], texts)
+            slots, _ = self._slots(keys)
+        slot = slots[code]
         size = self.size[slot]
         before = np.cumsum(size) - size
         return self.ids[np.repeat(self.begin[slot] - before, size) + np.arange(int(size.sum()))], size
@@ -144,12 +156,16 @@ class Encoder:
             for k, row in enumerate(piece.rows):
                 yield row, ids[ends[k] : ends[k + 1]]
 
+    def counts(self, text: pa.Array) -> list[int]:
+        """How many ids each text has."""
+        return [len(ids) for _, ids in self.documents(text)]
+
     def count(self, text: str) -> int:
-        """How many ids a text has."""
-        return sum(len(ids) for _, ids in self.documents(pa.array([text], pa.string())))
+        """How many ids one text has."""
+        return self.counts(pa.array([text], pa.string()))[0]
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str, kind: type[words.Piece]) -> Encoder:
-    """A worker's encoder."""
+    """A worker's encoder; it keeps one, for memory."""
     return Encoder(path, kind)

@@ -51,6 +51,28 @@ def test_tree_follows_edits():
             assert tree.n_tokens == len(whole.encode(text, add_special_tokens=False).ids)
 
 
+def test_regions_equal_edits_in_turn():
+    rng, whole, count = random.Random(6), tokenizer(BYTES), encoder(BYTES, ByteLevelParts).count
+    for text in [*mixed_texts(150, 4), "", "word " * 200]:
+        leaves = token_counts.leaves_of(text)
+        tree = token_counts.SegmentTree(leaves, [count(leaf) for leaf in leaves])
+        edits = []
+        for _ in range(9):
+            start = rng.randrange(len(text) + 2)
+            finish = start + rng.choice([0, 1, 2, 30])
+            edits.append({"start": start, "finish": finish, "insert": rng.choice([None, *BITS])})
+        if rng.random() < 0.7:
+            edits.sort(key=lambda e: -e["start"])
+        for turn in token_counts.in_turns(edits, len(text)):
+            for first, last, part in tree.regions(turn):
+                tree.replace(first, last, part, count(part))
+        for edit in edits:
+            a = min(edit["start"], len(text))
+            text = text[:a] + (edit["insert"] or "") + text[max(a, min(edit["finish"], len(text))) :]
+        assert "".join(tree.texts) == text
+        assert tree.n_tokens == len(whole.encode(text, add_special_tokens=False).ids)
+
+
 def test_one_edit_encodes_little():
     count = encoder(BYTES, ByteLevelParts).count
     leaves = token_counts.leaves_of("some words of prose " * 500)
