@@ -14,13 +14,13 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
 from shelfwise.llm import words
+from shelfwise.llm.kept import kept
 
 ID = np.dtype("<u4")
 KEPT_PARTS = 1_500_000
@@ -133,8 +133,8 @@ class Encoder:
         if len(self.keys) > KEPT_PARTS:
             self._forget()
         code, keys = pd.factorize(piece.hashes())
-        slots, kept = self._slots(keys)
-        new = np.flatnonzero(~kept)
+        slots, met = self._slots(keys)
+        new = np.flatnonzero(~met)
         if len(new):
             new = new[np.argsort(keys[new])]
             place = np.empty(len(keys), np.int64)
@@ -165,7 +165,6 @@ class Encoder:
         return self.counts(pa.array([text], pa.string()))[0]
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str, kind: type[words.Piece]) -> Encoder:
-    """A worker's encoder; it keeps one, for memory."""
-    return Encoder(path, kind)
+    """A worker's encoder."""
+    return kept((path, kind), lambda: Encoder(path, kind))

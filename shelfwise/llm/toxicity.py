@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.columns import ids_and_texts, without
+from shelfwise.llm.kept import kept
 from shelfwise.llm.sampling import held_out, labelled_sample
 from shelfwise.llm.staging import staged
 
@@ -326,7 +327,7 @@ def score_texts(model: Model | None, column: str = "text"):
         texts = batches.fillna("").tolist()
         if model is None:
             return pd.Series(np.zeros(len(texts)))
-        known = _known_words(model.name)
+        known = kept(model.name, dict)  # margins that the worker has worked out
         made = []
         for k in range(0, len(texts), 256):
             margins = document_margins(model, texts[k : k + 256], known)
@@ -336,16 +337,6 @@ def score_texts(model: Model | None, column: str = "text"):
     return score(F.col(column))
 
 
-_KNOWN: dict[str, dict[str, float]] = {}
-
-
-def _known_words(model: str) -> dict[str, float]:
-    """The margins a worker has worked out under a model; one model at a time."""
-    if model not in _KNOWN:
-        _KNOWN.clear()
-    return _KNOWN.setdefault(model, {})
-
-
 def toxicity_scores(docs: DataFrame, labels: DataFrame, fold: int = FOLD, folds: int = FOLDS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each row."""
     pairs = ids_and_texts(docs)

@@ -8,11 +8,12 @@ longer document makes a piece of its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
+from shelfwise.llm.kept import release
+
 PIECE_BYTES = 1 << 20
 
 #: Space, and tab to carriage return: what separates words.
@@ -34,7 +35,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=16)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers_to(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(base, -1, 1 << 64)
     up = np.full(size, base, np.uint64)
@@ -45,7 +48,10 @@ def _powers_to(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(size: int, base: np.uint64 = BASE) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
-    up, down = _powers_to(max(1 << 16, 1 << (size).bit_length()), int(base))
+    key = int(base)
+    if key not in _POWERS or len(_POWERS[key][0]) < size:
+        _POWERS[key] = _powers_to(size + size // 4 + (1 << 16), key)
+    up, down = _POWERS[key]
     return up[:size], down[:size]
 
 
@@ -84,6 +90,8 @@ class Piece:
 
 def pieces(text: pa.Array, lower: bool = False, limit: int = PIECE_BYTES, kind: type[Piece] = Piece) -> Iterator[Piece]:
     """The documents of a text column, in pieces; null texts are empty."""
+    if kind is Piece:
+        release()
     if text.null_count:
         text = text.fill_null("")
     wide = pa.types.is_large_string(text.type)
