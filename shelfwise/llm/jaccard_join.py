@@ -41,6 +41,7 @@ read.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,7 @@ PERCENT = 80
 BYTES_A_SHINGLE = 6
 CELLS = 3
 HUB_ROUNDS = 3
+SETS_AT_ONCE = 200
 WEIGHINGS = 2
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
@@ -179,17 +181,19 @@ def _weighed(sets: DataFrame, percent: int, elements: int) -> DataFrame:
     ``odd`` elements occur in no other set; so ``most`` is the largest size of a partner.
     """
 
-    def hashes(batch):
-        flat, ends = _flat(batch.column(0))
-        yield flat[ends[0] : ends[-1]]
+    def parts(lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        flat, ends = _flat(lists)
+        for k in range(0, len(lists), SETS_AT_ONCE):
+            own = ends[k : k + SETS_AT_ONCE + 1]
+            yield flat[own[0] : own[-1]], own - own[0]
 
-    maybe = repeated(sets.select("elements"), hashes, elements)
+    maybe = repeated(sets.select("elements"), lambda batch: (flat for flat, _ in parts(batch.column(0))), elements)
 
     def rows(batches):
         for batch in batches:
-            flat, ends = _flat(batch.column(1))
-            size = np.diff(ends).astype(np.int64)
-            shared = np.diff(np.concatenate(([0], np.cumsum(maybe(flat[ends[0] : ends[-1]]))))[ends - ends[0]])
+            counts = [np.diff(np.concatenate(([0], np.cumsum(maybe(flat))))[ends]) for flat, ends in parts(batch.column(1))]
+            shared = np.concatenate([np.empty(0, np.int64), *counts])
+            size = np.diff(_flat(batch.column(1))[1]).astype(np.int64)
             most = shared * (100 + percent) // percent - size
             keep = pa.array(most * 100 >= size * percent)
             columns = {"node": batch.column(0), "elements": batch.column(1)}
@@ -206,8 +210,9 @@ def _entries(sets: DataFrame, percent: int) -> DataFrame:
     def rows(batches):
         for batch in batches:
             flat, ends = _flat(batch.column("elements"))
-            for k in range(0, batch.num_rows, 200):
-                made = [signatures(flat[a:b], bands) for a, b in zip(ends[k : k + 200], ends[k + 1 : k + 201], strict=False)]
+            for k in range(0, batch.num_rows, SETS_AT_ONCE):
+                own = ends[k : k + SETS_AT_ONCE + 1]
+                made = [signatures(flat[a:b], bands) for a, b in zip(own[:-1], own[1:], strict=True)]
                 times = [len(m) for m in made]
                 same = {c: pa.array(batch.column(c).slice(k, len(made)).to_numpy().repeat(times)) for c in carried}
                 yield batch_of(signature=pa.array(np.concatenate(made).view(np.int64)), **same)

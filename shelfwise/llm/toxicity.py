@@ -51,7 +51,7 @@ LEAST_COVER, PURITY, COVERS = 0.004, 0.85, 3
 PER_CLASS = 2500
 HARDEST = 8_000
 CLEAN_WEIGHT = 6.0
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 FOLD, FOLDS = 1, 3
 THRESHOLD = 0.7
 
