@@ -13,6 +13,12 @@ and verified exactly: the sets of five-word shingles of the item and of the stre
 of its length, shingles weighted by their letters, must have a weighted Jaccard
 similarity of ``SIMILARITY`` or more.
 
+Edits can put every window of a similar stretch beyond the radius, so an item is also
+looked for by anchors: shingles of its own, rare among the items and heavy first, so
+many that a stretch without any of them cannot be similar enough. Around each anchor
+in a document every stretch of the item's length is weighed. No match is lost, and
+anchors alone would find all; fingerprints only name stretches that anchors name too.
+
 Items go in blocks of ``BLOCK_ITEMS``, each broadcast (a bounded size) and held
 against all documents, so a larger benchmark takes more passes and no more memory.
 
@@ -24,6 +30,7 @@ id are matched too.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +48,7 @@ BLOCKS, BLOCK_BITS = 4, 16
 ITEM_WINDOWS = 8
 BLOCK_ITEMS = 4096
 MOST_WEIGHT = 8
+ANCHOR_BITS = 20
 
 
 def fingerprints(hashes: np.ndarray, lengths: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
@@ -68,6 +76,40 @@ class Item:
         self.weight = dict(zip(shingles.tolist(), _weights(lengths)[at].tolist(), strict=True))
         self.total = sum(self.weight.values())
 
+    def anchors(self, holders: Counter) -> list[int]:
+        """Shingles of which a similar stretch has one: what lacks them all is too light."""
+        chosen, left = [], self.total
+        for shingle in sorted(self.weight, key=lambda s: (holders[s], -self.weight[s], s)):
+            if left / self.total < SIMILARITY:
+                break
+            chosen.append(shingle)
+            left -= self.weight[shingle]
+        return chosen
+
+    def best(self, shingles: np.ndarray, weights: np.ndarray, first: int, last: int, begin: int, end: int) -> tuple[float, int]:
+        """The best similarity of stretches that start at ``first`` to ``last``, and the first such start.
+
+        A stretch has the item's length, cut at the document's words ``begin`` to ``end``. Each
+        shingle counts once a stretch: for the starts after its last place up to its own.
+        """
+        low, high = max(first, begin), min(last + self.size, end) - WIDTH + 1
+        own, at = shingles[low:high], np.arange(low, high)
+        order = np.argsort(own, kind="stable")
+        again = own[order][1:] == own[order][:-1]
+        since = at + WIDTH - self.size
+        since[order[1:][again]] = np.maximum(since[order[1:][again]], at[order[:-1][again]] + 1)
+        since, until = np.maximum(since, first) - first, np.minimum(at, last) + 1 - first
+        shared = np.fromiter((s in self.weight for s in own.tolist()), bool, len(own))
+        sums = []
+        for weight in (weights[low:high], weights[low:high] * shared):
+            held = (weight * (since < until)).astype(float)
+            n = last - first + 2
+            sums.append(np.cumsum(np.bincount(np.minimum(since, until), held, n) - np.bincount(until, held, n))[:-1])
+        found, both = sums
+        similarity = both / (self.total + found - both)
+        k = int(np.argmax(similarity))
+        return float(similarity[k]), first + k
+
     def similarity(self, shingles: np.ndarray, weights: np.ndarray) -> float:
         found = dict(zip(shingles.tolist(), weights.tolist(), strict=True))
         both = sum(w for s, w in found.items() if s in self.weight)
@@ -91,6 +133,13 @@ class Index:
             filed.setdefault(size, []).extend((int(made[p]), len(self.items), int(p)) for p in places)
             self.items.append(Item(item_id, hashes, lengths))
         self.by_size = {size: self._filed(entries) for size, entries in sorted(filed.items())}
+        holders = Counter(s for item in self.items for s in item.weight)
+        anchors = [(s, k) for k, item in enumerate(self.items) for s in item.anchors(holders)]
+        order = np.argsort(np.array([s for s, _ in anchors], np.uint64), kind="stable")
+        self.anchors = np.array([s for s, _ in anchors], np.uint64)[order]  # sorted, with the item of each
+        self.anchored = np.array([k for _, k in anchors], np.int64)[order]
+        self.maybe = np.zeros(1 << ANCHOR_BITS, bool)
+        self.maybe[self.anchors >> np.uint64(64 - ANCHOR_BITS)] = True
 
     @staticmethod
     def _filed(entries: list[tuple[int, int, int]]):
@@ -123,6 +172,28 @@ class Index:
             entry.append(found[close])
         return np.concatenate(at), np.concatenate(entry)
 
+    def around_anchors(self, shingles: np.ndarray, doc_of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, first start, last start) of runs of stretches that hold an anchor of the item."""
+        at = np.flatnonzero(self.maybe[shingles >> np.uint64(64 - ANCHOR_BITS)])
+        at = at[doc_of[at] == doc_of[at + WIDTH - 1]]
+        low, high = (np.searchsorted(self.anchors, shingles[at], side) for side in ("left", "right"))
+        many = high - low
+        at = np.repeat(at, many)
+        item = self.anchored[np.repeat(low, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)]
+        doc = doc_of[at]
+        order = np.lexsort((at, item, doc))
+        run: list[int] = []
+        for d, i, place in zip(doc[order].tolist(), item[order].tolist(), at[order].tolist(), strict=True):
+            first = place + WIDTH - self.items[i].size
+            if run and run[:2] == [d, i] and first <= run[3] + 1:
+                run[3] = place
+                continue
+            if run:
+                yield tuple(run)
+            run = [d, i, first, place]
+        if run:
+            yield tuple(run)
+
     def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, float, int]]:
         """(row, item id, similarity, first word) for each item found in each text."""
         if not self.items:
@@ -141,10 +212,13 @@ class Index:
                 at = inside[at]
                 lines.append(np.column_stack([doc_of[at], item[entry], at - place[entry]]))
             lines = np.unique(np.concatenate(lines), axis=0)
-            if not len(lines):
-                continue
             shingles, weights = words.window_hashes(hashes, WIDTH), _weights(lengths)
             best: dict[tuple[int, int], tuple[float, int]] = {}
+            for doc, item, first, last in self.around_anchors(shingles, doc_of):
+                begin, end = int(piece.first[doc]), int(piece.first[doc + 1])
+                similarity, start = self.items[item].best(shingles, weights, first, last, begin, end)
+                if similarity >= SIMILARITY and similarity > best.get((doc, item), (0, 0))[0]:
+                    best[doc, item] = similarity, max(start - begin, 0)
             for doc, item, start in lines.tolist():
                 a, b = max(start, piece.first[doc]), min(start + self.items[item].size, piece.first[doc + 1])
                 if b - a < WIDTH:

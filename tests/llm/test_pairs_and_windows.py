@@ -139,6 +139,29 @@ def test_contaminated(docs, prose, spark):
     assert kept == {i for i, _ in rows} - {i for i, _ in got}
 
 
+def test_contaminated_by_edited_copies(docs, prose, spark):
+    """Words missing or changed at either end or inside, up to what the similarity allows, against all stretches."""
+    rng = random.Random(17)
+    items = [(n, prose(n)) for n in (16, 20, 32, 33, 64, 65, 130, 300)] + [(900, "again and " * 20), (901, "a b c d e f a b c d e f x y z z z")]
+    texts = []
+    for n, item in items[:8]:
+        w = item.split()
+        for k in (1, 2, 3, n // 13, n // 10):
+            new, at = [f"new{rng.randrange(10**6)}" for _ in range(k)], rng.randrange(5, n - k)
+            cuts = [w[k:], w[:-k], w[: n // 2] + w[n // 2 + k :], w[:at] + w[at + k :]]
+            cuts += [new + w[k:], w[:-k] + new, w[:at] + new + w[at + k :], w[:at] + new + w[at:]]
+            spread = list(w)
+            for p in rng.sample(range(n), max(k // 2, 1)):
+                spread[p] = new[0]
+            texts += [" ".join(cut) for cut in [*cuts, spread]]
+    texts += ["again and " * k for k in (2, 3, 19, 45)] + ["a b c d e f a b c d e f x y z", "q " + items[9][1] + " z z z z"]
+    rows = [(k, text if k % 3 else f"{prose(20)} {text} {prose(15)}") for k, text in enumerate(texts)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs(rows), bench).collect()}
+    want = {(i, j) for i, t in rows for j, item in items if brute.has_item(t, item)}
+    assert got == want and len(want) > 100
+
+
 def test_contaminated_documents(spark, small):
     table, bench = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "benchmark"))
     got = {(r.doc_id, r.item_id) for r in contaminated(table, bench).collect()}
