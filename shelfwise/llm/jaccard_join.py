@@ -235,9 +235,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _different_groups(entries: DataFrame) -> DataFrame:
-    """Signatures of more than one node, one of each set of members, and the size of the smallest."""
+    """Signatures of more than one node, one of each set of members, and the size of the smallest.
+
+    A member may stand more than once: a row may be repeated, an id may have several texts. So the
+    marks are sums, from which nothing cancels out; 40 bits each leave room for 2^24 rows.
+    """
     who = [F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("many"), F.min("size").alias("least")]
-    who += [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"mark_{k}") for k in (1, 2)]
+    who += [F.sum(F.shiftright(F.xxhash64("node", "size", "most", "odd", F.lit(k)), 24)).alias(f"mark_{k}") for k in (1, 2)]
     groups = entries.groupBy("signature").agg(*who).where("low <> high")
     one = groups.groupBy("low", "high", "many", "mark_1", "mark_2").agg(F.min_by("least", "signature").alias("least"), F.min("signature").alias("signature"))
     return one.select("signature", "least")
@@ -353,7 +357,7 @@ def jaccard_components(
     sets = staged(sets, "sets")
     entries = staged(_entries(sets, percent), "entries")
     several = staged(_different_groups(entries), "several")
-    members = staged(entries.join(several, "signature").where("most >= least").drop("least"), "members")
+    members = staged(entries.join(several, "signature").where("most >= least").drop("least").distinct(), "members")
     discard(entries, several, copied)
 
     outlines = staged(_outlines(sets.join(members.select("node").distinct(), "node", "left_semi")), "outlines")

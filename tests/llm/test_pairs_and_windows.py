@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from shelfwise.llm.decontamination import contaminated, without_contaminated
-from shelfwise.llm.jaccard_join import Bands, jaccard_components, signatures, without_similar
+from shelfwise.llm.jaccard_join import Bands, _different_groups, jaccard_components, signatures, without_similar
 from shelfwise.llm.links import components
 from shelfwise.llm.sketch import Sketch, packed, unpacked
 from shelfwise.llm.staging import forget
@@ -74,6 +74,22 @@ def test_jaccard_ids_missing_and_repeated(docs, prose):
     assert kept.columns == docs([]).columns
 
 
+def test_signatures_of_repeated_members_stay(spark):
+    rows = [(sig, node, 10, 12, 0) for sig, nodes in ((100, (1, 5, 9)), (200, (1, 7, 9)), (300, (1, 5, 9)), (400, (4, 4))) for node in nodes] * 2
+    entries = spark.createDataFrame(rows, "signature long, node long, size int, most int, odd int")
+    assert sorted((r.signature, r.least) for r in _different_groups(entries).collect()) == [(100, 10), (200, 10)]
+    # An id of two texts: what one of them may link with, the other may not.
+    rows = [(sig, 1, size, size + 2, 0) for sig, size in ((500, 10), (600, 30))] + [(sig, 5, 30, 32, 0) for sig in (500, 600)]
+    entries = spark.createDataFrame(rows, "signature long, node long, size int, most int, odd int")
+    assert sorted(r.signature for r in _different_groups(entries).collect()) == [500, 600]
+
+
+def test_jaccard_rows_that_stand_twice(docs, family, spark):
+    got = [(r.doc_id, (r.n_shingles, r.component_id)) for r in jaccard_components(docs(family * 2)).collect()]
+    assert len(got) == 2 * len(family) and dict(got) == brute.jaccard_components(family)
+    forget(spark)
+
+
 def test_empty_tables(docs, spark):
     none = docs([])
     assert jaccard_components(none).count() == 0
