@@ -59,7 +59,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return bins.pack_documents(docs, public_tokenizers.path(bins.TOKENIZER))
+    return bins.pack_documents(docs, public_tokenizers.path(bins.TOKENIZER), added_tokens=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.token_ids import ID, ByteLevelParts, encoder
+from shelfwise.llm.token_ids import ID, byte_level, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
@@ -156,18 +156,19 @@ def pack_documents(
     text_column: str = "text",
     loss_column: str | None = None,
     with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: the document's ids from ``start``, and where they stand in which sequence.
 
     ``loss_column`` holds how many ids of a document come before those that bear loss
     (a prompt's length); without it, or where it is null, that is the first id alone.
-    ``with_ids`` adds the ids.
+    ``with_ids`` adds the ids. ``added_tokens`` gives added tokens in a text their own ids.
     """
     loss_from = F.coalesce(F.col(loss_column).cast("long"), F.lit(1)) if loss_column else F.lit(1).cast("long")
     rows = docs.select(F.col(id_column).cast("long"), F.coalesce(F.col(text_column).cast("string"), F.lit("")), loss_from)
 
     def sequences(batches):
-        encode, packer = encoder(tokenizer_path, ByteLevelParts), Packer(limits)
+        encode, packer = encoder(tokenizer_path, byte_level(added_tokens), added_tokens), Packer(limits)
         end = np.array([end_id], ID).tobytes()
         for batch in batches:
             docs, loss = batch.column(0).to_pylist(), batch.column(2).to_pylist()

@@ -67,7 +67,7 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.TOKENIZER))
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.TOKENIZER), added_tokens=True)
 
 
 @query
@@ -160,9 +160,9 @@ from docs left join labelled using (uid)
 @query
 def op8_token_codec(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "token-ids")
-    return coded_documents(table(spark, folder, "documents"), path, public_tokenizers.path(token_codec.TOKENIZER))
+    return coded_documents(table(spark, folder, "documents"), path, public_tokenizers.path(token_codec.TOKENIZER), added_tokens=True)
 
 
 @query
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaned_token_counts(table(spark, folder, "documents"), public_tokenizers.path(token_counts.TOKENIZER))
+    return cleaned_token_counts(table(spark, folder, "documents"), public_tokenizers.path(token_counts.TOKENIZER), added_tokens=True)

@@ -268,11 +268,11 @@ def from_payload(payload: bytes) -> np.ndarray:
 SEGMENTS = "part int, segment int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
-def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID) -> None:
+def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, added_tokens: bool = False) -> None:
     """Write the ids of all documents, in order of their ids, to ``path``."""
 
     def segments(batches) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer_path, WordParts), np.array([end_id], ID)
+        encode, end = encoder(tokenizer_path, WordParts, added_tokens), np.array([end_id], ID)
         part, number = TaskContext.get().partitionId(), 0
         ids, made, total = [], [], 0
 
@@ -336,7 +336,7 @@ def read_token_ids(spark: SparkSession, path: str, with_ids: bool = False) -> Da
     return found.withColumn("start", F.col("start") + F.col("offset")).drop("part", "segment", "offset")
 
 
-def coded_documents(docs: DataFrame, path: str, tokenizer_path: str) -> DataFrame:
+def coded_documents(docs: DataFrame, path: str, tokenizer_path: str, added_tokens: bool = False) -> DataFrame:
     """Write all documents' ids to ``path`` and return what the files hold."""
-    write_token_ids(ids_and_texts(docs), path, tokenizer_path)
+    write_token_ids(ids_and_texts(docs), path, tokenizer_path, added_tokens=added_tokens)
     return read_token_ids(docs.sparkSession, path)

@@ -3,8 +3,8 @@
 A document's text is cut where a byte-level pre-token surely begins (a space before a
 non-space) into leaves of ``LEAF_PARTS`` parts. A segment tree over the leaves sums
 characters and tokens. An edit finds its leaves by descending the character sums; only
-their text, edited, is encoded again, once for all edits of a region. If an edit touches the first two characters of
-its first leaf, which made it a sure cut, the leaf before joins in as context; the leaf
+their text, edited, is encoded again, once for all edits of a region. If an edit touches the first characters of
+its first leaf, which made it a sure cut (a space, and no added token after it), leaves before join in as context; the leaf
 after needs none, since its own first characters are untouched. The leaves get their
 new sums, and so do their ancestors.
 
@@ -34,10 +34,11 @@ from pyspark.sql import functions as F
 from shelfwise.llm import words
 from shelfwise.llm.columns import batch_of, ids_and_texts
 from shelfwise.llm.staging import staged
-from shelfwise.llm.token_ids import PIECE_BYTES, ByteLevelParts, encoder
+from shelfwise.llm.token_ids import LONGEST_ADDED, PIECE_BYTES, ByteLevelParts, byte_level, encoder
 
 TOKENIZER = "byte_bpe_50k.json"
 LEAF_PARTS = 16
+SURE_CHARS = 1 + LONGEST_ADDED
 TEXTS_AT_ONCE = 128
 KEY = ["doc_id", "digest"]
 EDITS = "array<struct<start:long,finish:long,insert:string>>"
@@ -102,7 +103,7 @@ class SegmentTree:
             start = min(max(start, 0), total)
             finish = min(max(finish, start), total)
             first, at = self.find(start)
-            if start - at < 2 and at:
+            while start - at < SURE_CHARS and at:
                 first, at = self.find(at - 1)
             last = max(first, self.find(max(finish - 1, start))[0])
             if found and found[-1]["first"] <= last:  # the region of the edits before it grows
@@ -170,13 +171,15 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return texts.select("doc_id", F.xxhash64("text").alias("digest"), "text")
 
 
-def token_trees(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def token_trees(
+    docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text", added_tokens: bool = False
+) -> DataFrame:
     """doc_id, digest, the characters and tokens of each leaf, and copies, of each different row."""
 
     def trees(batches):
-        encode = encoder(tokenizer_path, ByteLevelParts)
+        encode = encoder(tokenizer_path, byte_level(added_tokens), added_tokens)
         for batch in batches:
-            for piece in words.pieces(batch.column(2), limit=PIECE_BYTES, kind=ByteLevelParts):
+            for piece in words.pieces(batch.column(2), limit=PIECE_BYTES, kind=byte_level(added_tokens)):
                 _, size = encode.piece_ids(piece)
                 begins, first = leaf_starts(piece)
                 letters = np.concatenate(([0], np.cumsum((piece.data & 0xC0) != 0x80)))  # not within a character
@@ -227,7 +230,7 @@ def _edits(text: str, patterns: list[tuple[re.Pattern, str, str]]) -> list[dict]
     return kept[::-1]
 
 
-def counts_after_edits(trees: DataFrame, edits: DataFrame, tokenizer_path: str) -> DataFrame:
+def counts_after_edits(trees: DataFrame, edits: DataFrame, tokenizer_path: str, added_tokens: bool = False) -> DataFrame:
     """Token counts of each row before and after its edits, and how much was encoded again.
 
     Columns: doc_id, n_tokens, n_edits, n_tokens_after, n_leaves, encoded_leaves, encoded_chars.
@@ -249,7 +252,7 @@ def counts_after_edits(trees: DataFrame, edits: DataFrame, tokenizer_path: str)
         return found
 
     def counted(batches):
-        encode = encoder(tokenizer_path, ByteLevelParts)
+        encode = encoder(tokenizer_path, byte_level(added_tokens), added_tokens)
         for whole in batches:
             for k in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(k, TEXTS_AT_ONCE)
@@ -281,7 +284,7 @@ def _row_counts(batch: pa.RecordBatch, trees: list[tuple[SegmentTree | None, lis
     return pa.RecordBatch.from_pydict({n: c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for n, c in columns.items()})
 
 
-def cleaned_token_counts(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def cleaned_token_counts(docs: DataFrame, tokenizer_path: str, added_tokens: bool = False) -> DataFrame:
     """Token counts of all documents, and of what a cleaning pass makes of them."""
-    trees = staged(token_trees(docs, tokenizer_path), "token-trees")
-    return counts_after_edits(trees, cleaning_edits(docs), tokenizer_path)
+    trees = staged(token_trees(docs, tokenizer_path, added_tokens=added_tokens), "token-trees")
+    return counts_after_edits(trees, cleaning_edits(docs), tokenizer_path, added_tokens)

@@ -7,6 +7,9 @@ encodes those that a worker has not met, and the ids of all are put together fro
 what it keeps (``KEPT_PARTS`` at most; then it starts anew). Plain parts, a Latin word
 with signs after it, are one or two pre-tokens: those go to the tokenizer's model as
 they are; all others through the whole tokenizer.
+
+A tokenizer's added tokens (``<|endoftext|>``) are text like any other, unless
+``added_tokens`` is set: then they get their own ids, as the library's plain call gives.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ BEGINS = np.ones(256, bool)
 BEGINS[:0x21] = False
 BEGINS[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
 
+#: An added token, and how many characters it has at most; the space before one ends the text to its left.
+ADDED, LONGEST_ADDED = re.compile(r"<\|[a-z]{1,11}\|>"), 15
+SPACE_BEFORE_ADDED = re.compile(rb" (?=<\|[a-z]{1,11}\|>)")
+
 
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if it shows, else the next from 256 on."""
@@ -55,16 +62,28 @@ class ByteLevelParts(words.Piece):
     def _cut(self, data: np.ndarray, offsets: np.ndarray) -> None:
         begins = np.zeros(len(data) + 1, bool)
         begins[: max(len(data) - 1, 0)] = (data[:-1] == 0x20) & BEGINS[data[1:]]
+        begins[self._unsure(data)] = False
         begins[offsets - 1] = False  # a text's last byte precedes nothing
         begins[offsets] = True
         self.starts = np.flatnonzero(begins[:-1])
         self.ends = np.append(self.starts[1:], len(data))
 
+    def _unsure(self, data: np.ndarray) -> list[int]:
+        """Spaces that begin no part."""
+        return []
+
     @staticmethod
     def normal(word: str) -> str:
         return word
 
 
+class AddedParts(ByteLevelParts):
+    """Parts for byte-level BPE whose added tokens count: they stay in one part with the space before them."""
+
+    def _unsure(self, data: np.ndarray) -> list[int]:
+        return [found.start() for found in SPACE_BEFORE_ADDED.finditer(data.tobytes())]
+
+
 class WordParts(words.Piece):
     """Parts for a tokenizer that drops white space: what ASCII white space separates."""
 
@@ -76,12 +95,15 @@ class WordParts(words.Piece):
 class Encoder:
     """The ids of texts, piece by piece."""
 
-    def __init__(self, path: str, kind: type[words.Piece]):
+    def __init__(self, path: str, kind: type[words.Piece], added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            if added_tokens and (not ADDED.fullmatch(token.content) or token.lstrip or token.rstrip or token.single_word or token.normalized):
+                raise ValueError(f"parts may cut the added token {token.content!r}")
         self.kind = kind
         self._forget()
 
@@ -165,6 +187,11 @@ class Encoder:
         return self.counts(pa.array([text], pa.string()))[0]
 
 
-def encoder(path: str, kind: type[words.Piece]) -> Encoder:
+def byte_level(added_tokens: bool) -> type[ByteLevelParts]:
+    """How texts are cut for byte-level BPE."""
+    return AddedParts if added_tokens else ByteLevelParts
+
+
+def encoder(path: str, kind: type[words.Piece], added_tokens: bool = False) -> Encoder:
     """A worker's encoder."""
-    return kept((path, kind), lambda: Encoder(path, kind))
+    return kept((path, kind, added_tokens), lambda: Encoder(path, kind, added_tokens))

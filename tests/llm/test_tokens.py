@@ -12,7 +12,8 @@ from tokenizers import Tokenizer
 from shelfwise.llm import token_codec, token_counts
 from shelfwise.llm.packing import Limits, pack_documents
 from shelfwise.llm.staging import new_path
-from shelfwise.llm.token_ids import ByteLevelParts, WordParts, encoder
+from shelfwise.llm.queries import QUERIES
+from shelfwise.llm.token_ids import AddedParts, ByteLevelParts, WordParts, encoder
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 BITS = ["a", " ", "  ", "\n", "'s", "é", "12", "!", "the ", "\t", " \n ", "don't", "x y", " ", "\x1c", "名", "Ünd.", "́"]
@@ -154,3 +155,42 @@ def test_empty_tables(docs, spark):
     assert pack_documents(none, BYTES).count() == 0
     assert token_codec.coded_documents(none, new_path(spark, "codec-test"), WORDS).count() == 0
     assert token_counts.cleaned_token_counts(none, BYTES).count() == 0
+
+
+MARKED = [*BITS, "<|endoftext|>", "<|startoftext|>", "<|endoftext", "|>", "<|", "ENDOFTEXT|>"]
+
+
+def marked_texts(n, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(MARKED) for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+@pytest.mark.parametrize(("path", "kind"), [(BYTES, AddedParts), (WORDS, WordParts)])
+def test_added_tokens_encode_as_the_plain_call(path, kind):
+    texts, plain = [*marked_texts(1500, 8), "ab <|endoftext|> cd", "ab  <|endoftext|>  cd "], Tokenizer.from_file(path)
+    for row, ids in encoder(path, kind, True).documents(pa.array(texts)):
+        assert ids.tolist() == plain.encode(texts[row], add_special_tokens=False).ids
+
+
+def test_tree_follows_edits_of_added_tokens():
+    rng, plain, count = random.Random(9), Tokenizer.from_file(BYTES), encoder(BYTES, AddedParts, True).count
+    for text in [*marked_texts(150, 10), "word  <|endoftext|> " * 60]:
+        starts = [0, *[k for k in range(1, len(text) - 1) if rng.random() < 0.3 and text[k] == " " and text[k + 1].isalpha() and text[k + 1].isascii()]]
+        leaves = [text[a:b] for a, b in zip(starts, [*starts[1:], None])]
+        tree = token_counts.SegmentTree(leaves, [count(leaf) for leaf in leaves])
+        for _ in range(12):
+            start = rng.randrange(len(text) + 1)
+            finish, insert = min(len(text), start + rng.choice([0, 1, 3, 13, 40])), "".join(rng.choice(MARKED) for _ in range(rng.randrange(3)))
+            tree.edit(start, finish, insert, count)
+            text = text[:start] + insert + text[finish:]
+            assert tree.n_tokens == len(plain.encode(text, add_special_tokens=False).ids)
+
+
+def test_queries_encode_as_the_plain_call(docs, spark, tmp_path):
+    text = "ab  <|endoftext|> cd<|startoftext|> e <<<<|endoftext|> f"
+    docs([(1, text)]).write.parquet(f"{tmp_path}/documents.parquet")
+    ids = {path: Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids for path in (BYTES, WORDS)}
+    (coded,) = QUERIES["op8_token_codec"](spark, str(tmp_path)).collect()
+    assert coded.ids_crc32 == brute.crc(np.array([*ids[WORDS], 2], "<u4"))
+    assert QUERIES["op1_token_counts"](spark, str(tmp_path)).first().n_tokens == len(ids[BYTES])
+    assert QUERIES["op9_packing"](spark, str(tmp_path)).first().doc_tokens == len(ids[BYTES]) + 1
