@@ -33,6 +33,10 @@ same members one is kept. Pairs are held against each other by outlines first, a
 for a few elements: outlines that differ in more cells than similar sets do in elements
 rule a pair out.
 
+``jaccard_components`` looks only for links between components. ``jaccard_links`` gives
+every link between different texts: all pairs of a signature are verified, in chunks of
+its members, so that no task holds a whole group; there may be as many as a group's square.
+
 Cases: null and empty texts have an empty set and link with nothing; rows of one
 id are one vertex; rows without an id have no component; other columns are not
 read.
@@ -61,6 +65,7 @@ BYTES_A_SHINGLE = 6
 CELLS = 3
 HUB_ROUNDS = 3
 SETS_AT_ONCE = 200
+CHUNK = 256
 WEIGHINGS = 2
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
@@ -334,10 +339,18 @@ def _across(members: DataFrame) -> DataFrame:
     return pairs.select(*_pair("x", "y")).distinct()
 
 
-def jaccard_components(
-    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row: its set's size, and the smallest id that links reach."""
+def _all_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of members of one signature that may link; each two chunks of members meet by a key of their own."""
+    chunks = members.groupBy("signature").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = members.join(chunks, "signature").withColumn("own", F.expr("cast(pmod(xxhash64(node, 7), chunks) as int)"))
+    one = dealt.selectExpr("signature", "own as low", "explode(sequence(own, chunks - 1)) as high", MEMBER).withColumnRenamed("member", "x")
+    other = dealt.selectExpr("signature", "explode(sequence(0, own)) as low", "own as high", MEMBER).withColumnRenamed("member", "y")
+    pairs = one.join(other, ["signature", "low", "high"]).where("low < high or x.node < y.node").where(_may_link("x", "y"))
+    return pairs.select(*_pair("x", "y")).distinct()
+
+
+def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> tuple[DataFrame, ...]:
+    """Rows with their sets' sizes, rows whose set another id stands for, sets, members of signatures, outlines."""
     pairs = ids_and_texts(docs, id_column, text_column)
     measured = staged(_measured(pairs, width, percent), "measured")
 
@@ -361,6 +374,31 @@ def jaccard_components(
     discard(entries, several, copied)
 
     outlines = staged(_outlines(sets.join(members.select("node").distinct(), "node", "left_semi")), "outlines")
+    return measured, later, sets, members, outlines
+
+
+def jaccard_links(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(a, b) for each link of different sets, a < b; of the ids with equal sets the smallest stands for all."""
+    *_, sets, members, outlines = _prepared(docs, width, percent, id_column, text_column)
+    return _linked(_plausible(_all_pairs(members), outlines, percent), sets, percent).distinct()
+
+
+def link_counts(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(node, n_links) of each id that ``jaccard_links`` names: with how many others it links."""
+    links = staged(jaccard_links(docs, width, percent, id_column, text_column), "links")
+    ends = links.selectExpr("a as node").unionAll(links.selectExpr("b as node"))
+    return ends.groupBy("node").agg(F.count("*").alias("n_links"))
+
+
+def jaccard_components(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row: its set's size, and the smallest id that links reach."""
+    measured, later, sets, members, outlines = _prepared(docs, width, percent, id_column, text_column)
     links, rest = None, members
     for turn in range(HUB_ROUNDS):
         found = _linked(_plausible(_hub_pairs(rest, turn), outlines, percent), sets, percent)

@@ -6,8 +6,9 @@ import brute
 import numpy as np
 import pytest
 
+from shelfwise.llm import jaccard_join
 from shelfwise.llm.decontamination import contaminated, without_contaminated
-from shelfwise.llm.jaccard_join import Bands, _different_groups, jaccard_components, signatures, without_similar
+from shelfwise.llm.jaccard_join import Bands, _different_groups, jaccard_components, jaccard_links, link_counts, signatures, without_similar
 from shelfwise.llm.links import components
 from shelfwise.llm.sketch import Sketch, packed, unpacked
 from shelfwise.llm.staging import forget
@@ -90,6 +91,23 @@ def test_jaccard_rows_that_stand_twice(docs, family, spark):
     forget(spark)
 
 
+def test_jaccard_links(docs, family, prose, spark, monkeypatch):
+    """Every link of different texts, also inside a group that a hub holds together and that takes several chunks."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", 4)
+    rng, base = random.Random(12), prose(200)
+    rows = family + [(500 + k, changed(base, 2, rng)) for k in range(20)]
+    first = {}
+    for i, text in rows:
+        first.setdefault(brute.shingles(text), i)
+    alike = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    want = {tuple(sorted((first[x], first[y]))) for x in first for y in first if x and first[x] < first[y] and alike(x, y)}
+    got = [(r.a, r.b) for r in jaccard_links(docs(rows)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len([a for a, _ in got if a >= 500]) == 190
+    counts = {r.node: r.n_links for r in link_counts(docs(rows)).collect()}
+    assert counts == {i: sum(i in pair for pair in want) for pair in want for i in pair}
+    forget(spark)
+
+
 def test_empty_tables(docs, spark):
     none = docs([])
     assert jaccard_components(none).count() == 0
