@@ -15,6 +15,7 @@ from shelfwise.llm.license_scan import scan_licenses
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.quality_crf import quality_scores
 from shelfwise.llm.shipping import ship
+from shelfwise.llm.source_divergence import divergence_audit
 from shelfwise.llm.staging import new_path
 from shelfwise.llm.substring_dedup import remove_repeated_windows
 from shelfwise.llm.token_codec import coded_documents
@@ -166,3 +167,51 @@ def op8_token_codec(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned_token_counts(table(spark, folder, "documents"), public_tokenizers.path(token_counts.TOKENIZER), added_tokens=True)
+
+
+@query
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence_audit(table(spark, folder, "documents"))
+
+
+ORACLE["op11_source_divergence"] = r"""
+with docs as (
+  select row_number() over () as uid, coalesce(lang, '') as lang, coalesce(source, '') as source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), found as (
+  select uid, lang, source, unnest(w) as term from docs
+), kept as (
+  select lang, term, count(*) as total from found group by lang, term having count(distinct uid) >= 3
+), sizes as (
+  select lang, count(*) as v, sum(total) as total from kept group by lang
+), groups as (
+  select distinct lang, source from docs
+), counts as (
+  select lang, source, term, count(*) as c from found join kept using (lang, term) group by lang, source, term
+), totals as (
+  select lang, source, sum(c) as n from counts group by lang, source
+), shares as (
+  select g.lang, g.source, k.term, coalesce(c, 0) as c,
+    1 + (cast(1000000000 as hugeint) * (coalesce(c, 0) + 1)) // (coalesce(n, 0) + v) as p,
+    1 + (cast(1000000000 as hugeint) * (k.total + 1)) // (sizes.total + v) as q
+  from groups g join kept k using (lang) join sizes using (lang)
+  left join totals using (lang, source) left join counts using (lang, source, term)
+), pair_sums as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join pair_sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+), items as (
+  select lang, source, 'pair' as part, item, value from pairs
+  union all select lang, source, 'term', term, ((p - q) * (p - q)) // q from shares where c > 0 and p > q
+), ranked as (
+  select lang, source, part, item, cast(value as bigint) as value,
+    cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+  from items
+)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 200
+"""
