@@ -13,6 +13,7 @@ from shelfwise.llm.decontamination import contaminated
 from shelfwise.llm.jaccard_join import jaccard_components
 from shelfwise.llm.license_scan import scan_licenses
 from shelfwise.llm.packing import pack_documents
+from shelfwise.llm.periodic_runs import periodic_runs, run_digests, with_looped_tails
 from shelfwise.llm.quality_crf import quality_scores
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.source_divergence import divergence_audit
@@ -215,3 +216,8 @@ with docs as (
 )
 select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 200
 """
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(periodic_runs(with_looped_tails(table(spark, folder, "documents"))))

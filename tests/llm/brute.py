@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from fractions import Fraction
 
 import numpy as np
 
@@ -79,3 +80,44 @@ def has_item(text, item, similarity=0.8):
             if both >= similarity * (sum(need.values()) + sum(part.values()) - both):
                 return True
     return False
+
+
+def periodic_runs(w):
+    """[(start, length, period)] of every run of words of at least four periods and six words."""
+    found, n = set(), len(w)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(6, 4 * q) and not any(w[i : i + length - r] == w[i + r : i + length] for r in range(1, q)):
+                found.add((i, length, q))
+            i = j + 1
+    return sorted(found)
+
+
+def looped(i, w):
+    """The words of a document with its tail repeated, as its id says."""
+    h, n = zlib.crc32(str(i).encode()), len(w)
+    if i is None or h % 10 or not n:
+        return w
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[k] if k < a else w[a + (k - a) % p] for k in range(n)]
+
+
+def run_digests(i, text):
+    """The row that the contract of periodic runs fixes."""
+    w = looped(i, words(text))
+    runs = periodic_runs(w)
+    gone = {k for s, length, q in runs for k in range(s + q, s + length)}
+    best = (None, None, None, None)
+    if runs:
+        s, length, q = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]))
+        best = (s, length, q, 1000 * length // q)
+    lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
+    return (i, len(runs), *best, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
