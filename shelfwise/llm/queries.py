@@ -15,6 +15,7 @@ from shelfwise.llm.license_scan import scan_licenses
 from shelfwise.llm.packing import pack_documents
 from shelfwise.llm.periodic_runs import periodic_runs, run_digests, with_looped_tails
 from shelfwise.llm.quality_crf import quality_scores
+from shelfwise.llm.quality_rules import judged_documents
 from shelfwise.llm.shipping import ship
 from shelfwise.llm.source_divergence import divergence_audit
 from shelfwise.llm.staging import new_path
@@ -221,3 +222,41 @@ select lang, source, part, item, value, rank from ranked where part = 'pair' or
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digests(periodic_runs(with_looped_tails(table(spark, folder, "documents"))))
+
+
+@query
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judged_documents(table(spark, folder, "documents"))
+
+
+ORACLE["op12_quality_rules"] = r"""
+with docs as (
+  select row_number() over () as uid, doc_id, coalesce(text, '') as t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+    [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as lines
+  from documents
+), windows as (
+  select uid, i, count(*) over (partition by uid, w[i + 1 : i + 8]) as times
+  from docs, unnest(range(greatest(len(w) - 7, 0))) as u(i)
+), again as (
+  select uid, least(8, coalesce(lead(i) over (partition by uid order by i) - i, 8)) as own from windows where times > 1
+), repeats as (
+  select uid, sum(own) as n_repeat_words from again group by uid
+), measured as (
+  select doc_id, t, w, lines, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+    cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(n_repeat_words, 0) as bigint) as n_repeat_words,
+    length(regexp_replace(t, '[^A-Z]', '', 'g')) as capitals, length(regexp_replace(t, '[^a-z]', '', 'g')) as small,
+    length(t) - length(replace(t, '!', '')) as exclamations,
+    len([x for x in w if not regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) as without_letters,
+    len([x for x in lines if regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$')]) as cut_lines
+  from docs left join repeats using (uid)
+), judged as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not (base_failed or 10 * n_symbols > n_words or word_chars < 2 * n_words or word_chars > 25 * n_words
+    or 10 * n_dup_lines > 4 * len(lines) or 10 * capitals > 3 * (capitals + small) or 10 * exclamations > n_words
+    or 10 * without_letters > 2 * n_words or 10 * cut_lines > 3 * len(lines)) as kept
+from judged
+"""
