@@ -1,7 +1,9 @@
 """Plain Python versions of the operators' contracts, for small tables."""
 
 import hashlib
+import re
 import zlib
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -121,3 +123,47 @@ def run_digests(i, text):
     lines = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
     kept = b" ".join(x for k, x in enumerate(w) if k not in gone)
     return (i, len(runs), *best, hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+SPACES = "\x20\x09-\x0d"
+
+
+def quality(text):
+    """The base measures of a text, whether they fail it, and whether all rules keep it."""
+    text = text or ""
+    w = re.findall(f"[^{SPACES}]+", text)
+    lines = [x for x in text.split("\n") if re.search(f"[^{SPACES}]", x)]
+    windows = [tuple(w[k : k + 8]) for k in range(len(w) - 7)]
+    times = Counter(windows)
+    repeated = len({k + i for k, x in enumerate(windows) if times[x] > 1 for i in range(8)})
+    n, chars, symbols, dup = len(w), len("".join(w)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines))
+    failed = n < 20 or 100 * repeated > 30 * n
+    capitals, small = (sum(a <= c <= b for c in text) for a, b in ("AZ", "az"))
+    more = [
+        10 * symbols > n, not 2 * n <= chars <= 25 * n, 10 * dup > 4 * len(lines), 10 * capitals > 3 * (capitals + small),
+        10 * text.count("!") > n, 10 * sum(not re.search("[A-Za-z\x80-\U0010ffff]", x) for x in w) > 2 * n,
+        10 * sum(bool(re.search(f"(\\.\\.\\.|…)[{SPACES}]*\\Z", x)) for x in lines) > 3 * len(lines),
+    ]
+    return n, chars, symbols, dup, repeated, failed, not failed and not any(more)
+
+
+def divergence(rows, min_docs=3, top=200):
+    """The audit's rows of (lang, source, text) rows."""
+    terms = lambda t: re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    rows = [(a or "", b or "", terms(t)) for a, b, t in rows]
+    out = set()
+    for lang in {r[0] for r in rows}:
+        docs = Counter(x for a, _, t in rows if a == lang for x in set(t))
+        kept = [x for x, n in docs.items() if n >= min_docs]
+        groups = {b: Counter(x for a, c, t in rows if (a, c) == (lang, b) for x in t) for b in {r[1] for r in rows if r[0] == lang}}
+        whole = sum(groups.values(), Counter())
+        share = lambda c: {x: 1 + 10**9 * (c[x] + 1) // (sum(c[y] for y in kept) + len(kept)) for x in kept}
+        p, q = {b: share(c) for b, c in groups.items()}, share(whole)
+        f = lambda p, q: (p - q) ** 2 // q
+        for b, c in groups.items():
+            pairs = [(sum(f(p[b][x], p[o][x]) for x in kept), o) for o in groups if o != b]
+            words = [(f(p[b][x], q[x]), x) for x in kept if c[x] and p[b][x] > q[x]]
+            for part, found, most in (("pair", pairs, None), ("term", words, top)):
+                order = sorted(found, key=lambda v: (-v[0], v[1].encode()))[:most]
+                out |= {(lang, b, part, item, value, k) for k, (value, item) in enumerate(order, 1)}
+    return out
