@@ -39,7 +39,7 @@ FIT_COLUMNS = [
 ]
 
 
-def _training_arrays(dense: DataFrame, test_fraction: float, period: int) -> DataFrame:
+def training_arrays(dense: DataFrame, test_fraction: float, period: int) -> DataFrame:
     """One row per series with its training units and its held-out days, in date order."""
     days = F.sort_array(F.collect_list(F.struct("sale_date", "units")))
     n_train = train_rows(F.size("days"), test_fraction).cast("int")
@@ -96,7 +96,7 @@ def _fold(arrays: DataFrame, alpha: float, beta: float, gamma: float, period: in
     ).drop("level0", "mean1", "end")
 
 
-def _best_state(grid: Sequence[tuple[float, float, float]], period: int):
+def best_state_of(grid: Sequence[tuple[float, float, float]], period: int):
     """A batch function from a series to its parameter set of least squared one-step error.
 
     Its helper is nested, so the whole function travels to the workers by value.
@@ -161,11 +161,11 @@ def _fitted(
     test_fraction: float,
     period: int,
 ) -> DataFrame:
-    arrays = _training_arrays(dense, test_fraction, period)
+    arrays = training_arrays(dense, test_fraction, period)
     if len(grid) == 1:
         fitted = _fold(arrays, *grid[0], period)
     else:
-        fitted = arrays.withColumn("state", _best_state(grid, period)("ys"))
+        fitted = arrays.withColumn("state", best_state_of(grid, period)("ys"))
     n = F.col("n_train")
     n_parameters = 3 + 2 + period
     return fitted.select("*", "state.*").withColumn(
@@ -187,7 +187,7 @@ def holt_winters_fit(
     return _fitted(dense, grid, test_fraction, period).select(*SERIES_KEYS, *FIT_COLUMNS)
 
 
-def _prediction(step, period: int):
+def prediction(step, period: int):
     seasonal = F.get("season", (step - 1) % period)
     return F.greatest(F.col("level") + step * F.col("trend") + seasonal, F.lit(0.0))
 
@@ -200,7 +200,7 @@ def holt_winters_predict(fit: DataFrame, horizon: int, period: int = 7) -> DataF
         F.lit(MODEL).alias("model"),
         F.lit(MULTI_STEP).alias("mode"),
         F.date_add("train_end", F.col("step")).alias("sale_date"),
-        _prediction(F.col("step"), period).alias("predicted"),
+        prediction(F.col("step"), period).alias("predicted"),
     )
 
 
@@ -223,7 +223,7 @@ def holt_winters_forecast(
                 "mode": F.lit(MULTI_STEP),
                 "sale_date": F.col("day.sale_date"),
                 "actual": F.col("day.units"),
-                "predicted": _prediction(F.col("pos") + 1, period),
+                "predicted": prediction(F.col("pos") + 1, period),
             }
         )
         .select(*FORECAST_COLUMNS)

@@ -433,6 +433,17 @@ ORACLE: dict[str, str] = {
             where row_no <= n_train group by all) using (store, product)""",
         smooth="fixed",
     ),
+    "hw_optimised_fit": sql(
+        """select store, product, cast(n_train as int) as n_train, round(sse, 4) as grid_sse,
+        true as no_worse, true as confirmed from hw""",
+        smooth="sets",
+    ),
+    "hw_optimised_coverage": sql(
+        """select store, product, 'holt_winters' as model, 'multi_step' as mode, count(*) as days, count(*) as usable_days,
+        min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
+        from numbered where row_no > n_train and n_train >= 14 group by store, product""",
+        "numbered",
+    ),
     "forecast_errors": sql(ALL_ERRORS, "ma", smooth="sets"),
     "horizon_errors": sql(HORIZON_ERRORS, "ma", smooth="sets"),
     "compare_models": sql(COMPARED, "ma", smooth="sets"),
@@ -478,7 +489,7 @@ UNDATED = {
     "duplicate_count", "product_codes", "weekly_category_stats", "weekly_category_stats_iso",
     "top_products_by_store", "alert_counts", "output_row_counts", "store_kpis", "category_sales",
     "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
-    "compare_models", "best_model", "run_metrics",
+    "compare_models", "best_model", "run_metrics", "hw_optimised_fit",
 }
 DATES = ("sale_date", "first_day", "last_day", "train_end")
 

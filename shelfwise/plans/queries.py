@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shelfwise.forecasting import holt_winters as hw
 from shelfwise.forecasting import lookback as lb
 from shelfwise.forecasting import moving_average as ma
+from shelfwise.forecasting import optimised_smoothing as hwo
 from shelfwise.forecasting import trees
 from shelfwise.functions.columns import code_number, padded_code
 from shelfwise.operators import batch, cleaning, evaluation, features, overview
@@ -314,6 +315,15 @@ def hw_horizon(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(hw.holt_winters_predict(fit, HORIZON), "predicted")
 
 
+def hw_optimised_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """The optimised fit of each series against the grid's, replayed from its parameters and states."""
+    return hwo.checked_fit(dense(spark, sf)).withColumn("grid_sse", F.round("grid_sse", 4))
+
+
+def hw_optimised_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage(hwo.optimised_forecast(dense(spark, sf)))
+
+
 def statistical_forecasts(spark: SparkSession, sf: str) -> DataFrame:
     rows = dense(spark, sf)
     return ma.moving_average_forecast(rows).unionByName(hw.holt_winters_forecast(rows))
@@ -491,6 +501,8 @@ QUERIES: dict[str, Query] = {
     "hw_grid_best": hw_grid_best,
     "hw_forecast": hw_forecast,
     "hw_horizon": hw_horizon,
+    "hw_optimised_fit": hw_optimised_fit,
+    "hw_optimised_coverage": hw_optimised_coverage,
     "forecast_errors": forecast_errors,
     "horizon_errors": horizon_errors,
     "compare_models": compare_models,
