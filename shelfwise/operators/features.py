@@ -252,6 +252,23 @@ def min_max_scaled(split: DataFrame) -> DataFrame:
     return with_bounds.withColumn("scaled", scale(F.col("units"), F.col("scale_min"), F.col("scale_max")))
 
 
+def standardised(split: DataFrame, names: Sequence[str] = FEATURES) -> DataFrame:
+    """Each named feature less its mean over the training rows, by their deviation (of the population).
+
+    A constant feature becomes 0. Means and deviations are two numbers a feature, from one
+    aggregate; they enter the plan as constants, so rows are scaled where they are read.
+    """
+    train = split.where(F.col("part") == "train")
+    sums = [column for n in names for column in (F.avg(n).alias(f"mean_{n}"), F.stddev_pop(n).alias(f"std_{n}"))]
+    found = train.agg(*sums).first()
+
+    def scaled(name: str) -> Column:
+        mean, std = found[f"mean_{name}"], found[f"std_{name}"]
+        return (F.col(name) - F.lit(mean).cast("double")) / F.lit(std or 1.0)
+
+    return split.withColumns({name: scaled(name) for name in names})
+
+
 def scale(value: Column, low: Column, high: Column) -> Column:
     return F.when(high == low, value - low).otherwise((value - low) / F.nullif(high - low, F.lit(0.0)))
 

@@ -283,6 +283,34 @@ AHEAD = f"""ahead as (
         from ahead where step < {HORIZON}
     )"""
 
+FITTED_ON = f"""(select *, case when row_number() over ({SERIES}) <= count(*) over (partition by store, product)
+        - greatest(1, floor(count(*) over (partition by store, product) * 0.15::double))
+        then 'fit' else 'validation' end as role from sequences where part = 'train')"""
+DOT = "list_sum(list_transform(lookback, lambda x, i: x * i / 465.0::double))"
+
+# A ring of three units over each window, from rest; the read-out's weights are given.
+UNITS = f"""units_steps as (
+        select store, product, sale_date, units, scale_min, scale_max, lookback, cast(0 as bigint) as step,
+            0::double as a, 0::double as b, 0::double as c from sequences where part = 'test'
+        union all
+        select store, product, sale_date, units, scale_min, scale_max, lookback, step + 1,
+            tanh(0.5 * c + 0.6 * lookback[step + 1] + 0.1), tanh(0.5 * a - 0.4 * lookback[step + 1]),
+            tanh(0.5 * b + 0.8 * lookback[step + 1] - 0.2)
+        from units_steps where step < {LOOKBACK}
+    )"""
+READ_OUT = f"""select store, product, 'reservoir' as model, 'one_step' as mode, sale_date, units as actual,
+        round(greatest((0.02 + 0.8 * {DOT} + 0.1 * a - 0.2 * b + 0.05 * c) * (scale_max - scale_min) + scale_min, 0), 6) as predicted
+    from units_steps where step = {LOOKBACK}"""
+
+STANDARDISED = ["dow", "month", "iso_week", "quarter", "is_weekend", "is_month_start", "is_month_end", "is_holiday",
+    "is_day_after_holiday", "is_black_friday", "days_since_start", *[f"lag_{k}" for k in LAGS],
+    *[f"rolling_{kind}_{size}" for size in ROLLING_WINDOWS for kind in ("mean", "std")], f"rolling_max_{ROLLING_MAX_WINDOW}"]
+SCALED_FEATURES = ", ".join(
+    f"round(({n} - avg({n}) filter (where part = 'train') over ())"
+    f" / stddev_pop({n}) filter (where part = 'train') over (), 4) as {n}"
+    for n in STANDARDISED
+)
+
 ORACLE: dict[str, str] = {
     "load_sales": sql(
         f"""select sale_date, store, product, category, units, cast(stock as int) as stock,
@@ -468,6 +496,31 @@ ORACLE: dict[str, str] = {
         "ma",
         smooth="sets",
     ),
+    "validation_loss_fixed": sql(
+        f"""select role, round(avg(case when miss <= 0.1 then 0.5 * miss * miss else 0.1 * (miss - 0.05) end), 9) as loss,
+        count(*) as rows from (select role, abs(scaled - {DOT}) as miss from {FITTED_ON}) group by role""",
+        "sequences",
+    ),
+    "lookback_forecast_fixed": sql(
+        f"""select store, product, 'lookback_rounds' as model, 'one_step' as mode, sale_date, units as actual,
+        round(greatest({DOT} * (scale_max - scale_min) + scale_min, 0), 6) as predicted
+        from sequences where part = 'test'""",
+        "sequences",
+    ),
+    "reservoir_forecast_fixed": sql("", "sequences").rstrip() + f", {UNITS} {READ_OUT}",
+    "sequence_coverage": sql(
+        """select store, product, model, 'one_step' as mode, count(*) as days, count(*) as usable_days,
+        min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
+        from (select *, unnest(['lookback_rounds', 'reservoir']) as model from sequences where part = 'test')
+        group by store, product, model""",
+        "sequences",
+    ),
+    "standardised_features": sql(
+        f"""select sale_date, store, product, part, {SCALED_FEATURES} from (
+        select *, case when row_number() over ({SERIES}) <= floor(count(*) over (partition by store, product) * (1 - 0.2::double))
+            then 'train' else 'test' end as part from featured)""",
+        "featured",
+    ),
     "forecast_coverage": sql(
         """select store, product, model, 'one_step' as mode, count(*) as days, count(*) as usable_days,
         min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
@@ -490,6 +543,7 @@ UNDATED = {
     "top_products_by_store", "alert_counts", "output_row_counts", "store_kpis", "category_sales",
     "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
     "compare_models", "best_model", "run_metrics", "hw_optimised_fit",
+    "validation_loss_fixed",
 }
 DATES = ("sale_date", "first_day", "last_day", "train_end")
 

@@ -18,7 +18,8 @@ from shelfwise.forecasting import holt_winters as hw
 from shelfwise.forecasting import lookback as lb
 from shelfwise.forecasting import moving_average as ma
 from shelfwise.forecasting import optimised_smoothing as hwo
-from shelfwise.forecasting import trees
+from shelfwise.forecasting import reservoir as rv
+from shelfwise.forecasting import rounds, trees
 from shelfwise.functions.columns import code_number, padded_code
 from shelfwise.operators import batch, cleaning, evaluation, features, overview
 from shelfwise.plans.runs import run_rows
@@ -38,6 +39,10 @@ HORIZON = 14
 LOOKBACK = 30
 # Weights for the recursive forecast with given weights: linear, newest largest.
 FIXED_WEIGHTS = [i / 465 for i in range(1, LOOKBACK + 1)]
+# A small reservoir and a read-out with given weights.
+FIXED_RESERVOIR = rv.Reservoir(0.5, (0.6, -0.4, 0.8), (0.1, 0.0, -0.2))
+FIXED_READOUT = rv.Readout(FIXED_RESERVOIR, (*[0.8 * w for w in FIXED_WEIGHTS], 0.1, -0.2, 0.05), 0.02)
+FIXED_DELTA = 0.1
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
@@ -449,6 +454,56 @@ def recursive_forecast_fixed(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ahead.select(*SERIES_KEYS, "sale_date", "predicted"), "predicted")
 
 
+def validation_loss_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean Huber loss of given weights on the rows that are fitted and those that steer the fit."""
+    marked = rv.with_features(features.validation_split(sequences(spark, sf)), rv.Reservoir())
+    return rounded(rounds.losses(marked, tuple(FIXED_WEIGHTS), 0.0, FIXED_DELTA), "loss", digits=9)
+
+
+def lookback_forecast_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """One-step predictions of the linear model with given weights."""
+    linear = rv.Readout(rv.Reservoir(), tuple(FIXED_WEIGHTS), 0.0)
+    return rounded(linear.forecast(sequences(spark, sf)), "predicted")
+
+
+def reservoir_forecast_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(FIXED_READOUT.forecast(sequences(spark, sf)), "predicted")
+
+
+def readout_of(spark: SparkSession, sf: str, name: str) -> rv.Readout:
+    units = rv.Reservoir.made() if name == rv.RESERVOIR else rv.Reservoir()
+
+    def fit() -> rv.Readout:
+        return rv.fit_readout(features.validation_split(features.lookback_sequences(staged_series(spark, sf), LOOKBACK)), units, LOOKBACK)
+
+    return shared(spark, sf, name, fit)
+
+
+def sequence_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features.lookback_sequences(staged_series(spark, sf), LOOKBACK)
+    return readout_of(spark, sf, rv.LINEAR).forecast(rows).unionByName(readout_of(spark, sf, rv.RESERVOIR).forecast(rows))
+
+
+def rounds_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Both losses of every round of both sequence models."""
+    both = [readout_of(spark, sf, name).fit.history(spark).withColumn("model", F.lit(name)) for name in (rv.LINEAR, rv.RESERVOIR)]
+    return both[0].unionByName(both[1])
+
+
+def sequence_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage(sequence_forecasts(spark, sf))
+
+
+def sequence_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of the linear and the reservoir model, on the same days."""
+    return evaluation.forecast_errors(sequence_forecasts(spark, sf))
+
+
+def standardised_features(spark: SparkSession, sf: str) -> DataFrame:
+    rows = features.standardised(features.temporal_split(feature_matrix(spark, sf)))
+    return rounded(rows.select(*ROW_KEYS, "part", *features.FEATURES), *features.FEATURES, digits=4)
+
+
 def all_models(spark: SparkSession, sf: str) -> Training:
     return train_all(dense(spark, sf), holidays(spark))
 
@@ -516,6 +571,13 @@ QUERIES: dict[str, Query] = {
     "lookback_history": lookback_history,
     "recursive_forecast": recursive_forecast,
     "recursive_forecast_fixed": recursive_forecast_fixed,
+    "validation_loss_fixed": validation_loss_fixed,
+    "lookback_forecast_fixed": lookback_forecast_fixed,
+    "reservoir_forecast_fixed": reservoir_forecast_fixed,
+    "rounds_history": rounds_history,
+    "sequence_coverage": sequence_coverage,
+    "sequence_errors": sequence_errors,
+    "standardised_features": standardised_features,
     "forecast_coverage": forecast_coverage,
     "compare_all_models": compare_all_models,
 }

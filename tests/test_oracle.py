@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the gen
 
 FITTED = {
     "rf_forecast", "gbt_forecast", "feature_importance", "lookback_forecast", "lookback_history",
-    "recursive_forecast", "compare_all_models",
+    "recursive_forecast", "compare_all_models", "rounds_history", "sequence_errors",
 }
 
 
