@@ -243,12 +243,14 @@ HORIZON_ERRORS = ERRORS.format(
         where sale_date <= train_end + {HORIZON})"""
 )
 
-COMPARED = f"""select *, cast(row_number() over (partition by store, product
+COMPARED = """select *, cast(row_number() over (partition by store, product
         order by mape nulls last, model) as int) as rank, """ + ", ".join(
     f"{m} = min({m}) over (partition by store, product) as {m}_is_best, "
     f"{m} = max({m}) over (partition by store, product) as {m}_is_worst"
     for m in ("mape", "mae", "rmse")
-) + f" from ({ALL_ERRORS})"
+) + " from ({errors})"
+COMPARED_FOUR = COMPARED
+COMPARED = COMPARED.format(errors=ALL_ERRORS)
 
 DAILY_STORE = f"""select sale_date, store, sum(units) as units_total,
     count(distinct product) as distinct_products, round(avg(units), 6) as units_mean,
@@ -302,6 +304,10 @@ READ_OUT = f"""select store, product, 'reservoir' as model, 'one_step' as mode,
         round(greatest((0.02 + 0.8 * {DOT} + 0.1 * a - 0.2 * b + 0.05 * c) * (scale_max - scale_min) + scale_min, 0), 6) as predicted
     from units_steps where step = {LOOKBACK}"""
 
+LINEAR_GIVEN = f"""select store, product, 'lookback_rounds' as model, 'one_step' as mode, sale_date, units as actual,
+        round(greatest({DOT} * (scale_max - scale_min) + scale_min, 0), 6) as predicted
+    from sequences where part = 'test'"""
+
 STANDARDISED = ["dow", "month", "iso_week", "quarter", "is_weekend", "is_month_start", "is_month_end", "is_holiday",
     "is_day_after_holiday", "is_black_friday", "days_since_start", *[f"lag_{k}" for k in LAGS],
     *[f"rolling_{kind}_{size}" for size in ROLLING_WINDOWS for kind in ("mean", "std")], f"rolling_max_{ROLLING_MAX_WINDOW}"]
@@ -501,12 +507,7 @@ ORACLE: dict[str, str] = {
         count(*) as rows from (select role, abs(scaled - {DOT}) as miss from {FITTED_ON}) group by role""",
         "sequences",
     ),
-    "lookback_forecast_fixed": sql(
-        f"""select store, product, 'lookback_rounds' as model, 'one_step' as mode, sale_date, units as actual,
-        round(greatest({DOT} * (scale_max - scale_min) + scale_min, 0), 6) as predicted
-        from sequences where part = 'test'""",
-        "sequences",
-    ),
+    "lookback_forecast_fixed": sql(LINEAR_GIVEN, "sequences"),
     "reservoir_forecast_fixed": sql("", "sequences").rstrip() + f", {UNITS} {READ_OUT}",
     "sequence_coverage": sql(
         """select store, product, model, 'one_step' as mode, count(*) as days, count(*) as usable_days,
@@ -521,6 +522,28 @@ ORACLE: dict[str, str] = {
             then 'train' else 'test' end as part from featured)""",
         "featured",
     ),
+    "series_levels": sql(
+        f"""select store, product, sale_date, units, round((own_total + 20 * store_level) / (own_days + 20), 6) as series_level,
+            round(store_level, 6) as store_level
+        from (select store, product, sale_date, units, coalesce(sum(units) over before_row, 0) as own_total,
+                count(*) over before_row as own_days
+              from dense window before_row as ({SERIES} rows between unbounded preceding and 1 preceding))
+        join (select store, sale_date, (coalesce(sum(total) over w, 0) + 20 * coalesce(level, 0))
+                / (coalesce(sum(n) over w, 0) + 20) as store_level
+              from (select store, sale_date, sum(units) as total, count(*) as n from dense group by all)
+              join (select sale_date, sum(total) over v / sum(n) over v as level
+                    from (select sale_date, sum(units) as total, count(*) as n from dense group by all)
+                    window v as (order by sale_date rows between unbounded preceding and 1 preceding)) using (sale_date)
+              window w as (partition by store order by sale_date rows between unbounded preceding and 1 preceding))
+        using (store, sale_date)""",
+        "dense",
+    ),
+    "compare_four_models": sql("", "ma", "sequences", smooth="sets").rstrip() + f""", {UNITS}, four as (
+        select * from {BOTH} union all {READ_OUT} union all {LINEAR_GIVEN}
+    ), common as (
+        select * exclude (here, models) from (select *, max(here) over (partition by store, product) as models
+            from (select *, count(*) over (partition by store, product, sale_date) as here from four)) where here = models
+    ) """ + COMPARED_FOUR.format(errors=ERRORS.format(forecasts="common")),
     "forecast_coverage": sql(
         """select store, product, model, 'one_step' as mode, count(*) as days, count(*) as usable_days,
         min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
@@ -543,7 +566,7 @@ UNDATED = {
     "top_products_by_store", "alert_counts", "output_row_counts", "store_kpis", "category_sales",
     "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
     "compare_models", "best_model", "run_metrics", "hw_optimised_fit",
-    "validation_loss_fixed",
+    "validation_loss_fixed", "compare_four_models",
 }
 DATES = ("sale_date", "first_day", "last_day", "train_end")
 

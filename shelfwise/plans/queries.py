@@ -21,7 +21,7 @@ from shelfwise.forecasting import optimised_smoothing as hwo
 from shelfwise.forecasting import reservoir as rv
 from shelfwise.forecasting import rounds, trees
 from shelfwise.functions.columns import code_number, padded_code
-from shelfwise.operators import batch, cleaning, evaluation, features, overview
+from shelfwise.operators import batch, cleaning, evaluation, features, levels, overview
 from shelfwise.plans.runs import run_rows
 from shelfwise.plans.training import Training, train_all
 from shelfwise.schema import ROW_KEYS, SERIES_KEYS
@@ -504,8 +504,38 @@ def standardised_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rows.select(*ROW_KEYS, "part", *features.FEATURES), *features.FEATURES, digits=4)
 
 
+def series_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(levels.with_series_levels(dense(spark, sf)), *levels.LEVELS)
+
+
+# Both forests of the comparison below; the forests of the forecasts have the full settings.
+IDENTITY_TREES, IDENTITY_DEPTH = 40, 10
+
+
+def forest_with_levels_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of two forests of the same settings, without and with the levels of store and series."""
+    rows = staged(levels.with_series_levels(split_features(spark, sf), dense(spark, sf)), "levelled")
+    plain, levelled = features.FEATURES, [*features.FEATURES, *levels.LEVELS]
+    found = []
+    for name, columns in ((trees.RANDOM_FOREST, plain), (f"{trees.RANDOM_FOREST}_levels", levelled)):
+        forest = trees.random_forest(train_rows(rows), columns, IDENTITY_TREES, IDENTITY_DEPTH)
+        found.append(trees.tree_forecast(forest, test_rows(rows), name))
+    return evaluation.forecast_errors(found[0].unionByName(found[1]))
+
+
+def four_forecasts(spark: SparkSession, sf: str) -> DataFrame:
+    given = lookback_forecast_fixed(spark, sf).unionByName(reservoir_forecast_fixed(spark, sf))
+    return statistical_forecasts(spark, sf).unionByName(given)
+
+
+def compare_four_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Four models ranked per series on the days that all of them predicted; the last two have given weights."""
+    return evaluation.compare_models(evaluation.forecast_errors(evaluation.on_common_dates(four_forecasts(spark, sf))))
+
+
 def all_models(spark: SparkSession, sf: str) -> Training:
-    return train_all(dense(spark, sf), holidays(spark))
+    """The four models; the forest is the one of ``rf_forecast``, whose feature rows are split by themselves."""
+    return train_all(dense(spark, sf), holidays(spark), own_feature_split=True, forest=forest_of(spark, sf))
 
 
 def compare_all_models(spark: SparkSession, sf: str) -> DataFrame:
@@ -578,6 +608,9 @@ QUERIES: dict[str, Query] = {
     "sequence_coverage": sequence_coverage,
     "sequence_errors": sequence_errors,
     "standardised_features": standardised_features,
+    "series_levels": series_levels,
+    "forest_with_levels_errors": forest_with_levels_errors,
+    "compare_four_models": compare_four_models,
     "forecast_coverage": forecast_coverage,
     "compare_all_models": compare_all_models,
 }

@@ -77,6 +77,7 @@ def train_all(
     lookback: int = 30,
     max_iter: int = 50,
     grid: Sequence[tuple[float, float, float]] = DEFAULT_GRID,
+    forest: PipelineModel | None = None,
 ) -> Training:
     """Fit the four models on dense series and predict all test days.
 
@@ -85,7 +86,8 @@ def train_all(
     and all but the forest need whole series again, then without a shuffle. By
     default every model is tested on the days of the series split. ``own_feature_split``
     splits the feature rows by themselves instead, after the rows without a full
-    history are gone, so the forest's test part is shorter.
+    history are gone, so the forest's test part is shorter. A ``forest`` that is given
+    is not fitted again.
     """
     scaled = min_max_scaled(temporal_split(dense, test_fraction))
     rows = staged(add_calendar_features(add_history_features(scaled), holidays), "training-rows", SERIES_KEYS, ["sale_date"])
@@ -95,8 +97,8 @@ def train_all(
     complete = complete_features(rows)
     if own_feature_split:
         complete = staged(temporal_split(complete.drop("part"), test_fraction), "feature-rows")
-    names = available_features(complete)
-    forest = random_forest(complete.where(F.col("part") == "train"), names, num_trees, max_depth)
+    if forest is None:
+        forest = random_forest(complete.where(F.col("part") == "train"), available_features(complete), num_trees, max_depth)
 
     sequences = lookback_sequences(scaled, lookback)
     regressor = lookback_fit(validation_split(sequences), max_iter)
