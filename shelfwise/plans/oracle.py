@@ -522,6 +522,14 @@ ORACLE: dict[str, str] = {
             then 'train' else 'test' end as part from featured)""",
         "featured",
     ),
+    "rf_multi_step_coverage": sql(
+        f"""select store, product, 'random_forest' as model, 'multi_step' as mode, count(*) as days, count(*) as usable_days,
+        min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
+        from (select *, row_number() over ({SERIES}) as row_no,
+                floor(count(*) over (partition by store, product) * (1 - 0.2::double)) as n_train from featured)
+        where row_no > n_train and n_train >= 30 group by store, product""",
+        "featured",
+    ),
     "series_levels": sql(
         f"""select store, product, sale_date, units, round((own_total + 20 * store_level) / (own_days + 20), 6) as series_level,
             round(store_level, 6) as store_level

@@ -19,7 +19,7 @@ from shelfwise.forecasting import lookback as lb
 from shelfwise.forecasting import moving_average as ma
 from shelfwise.forecasting import optimised_smoothing as hwo
 from shelfwise.forecasting import reservoir as rv
-from shelfwise.forecasting import rounds, trees
+from shelfwise.forecasting import rounds, tree_steps, trees
 from shelfwise.functions.columns import code_number, padded_code
 from shelfwise.operators import batch, cleaning, evaluation, features, levels, overview
 from shelfwise.plans.runs import run_rows
@@ -406,6 +406,15 @@ def gbt_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return trees.tree_forecast(boosting_of(spark, sf), test_rows(split_features(spark, sf)), trees.GRADIENT_BOOSTING)
 
 
+def rf_multi_step(spark: SparkSession, sf: str) -> DataFrame:
+    """The test days of the forest's feature rows, predicted from their training part alone."""
+    return tree_steps.tree_multi_step(forest_of(spark, sf), split_features(spark, sf))
+
+
+def rf_multi_step_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return coverage(rf_multi_step(spark, sf))
+
+
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return trees.feature_importance(spark, forest_of(spark, sf), top=12)
 
@@ -596,6 +605,8 @@ QUERIES: dict[str, Query] = {
     "forecast_curves": forecast_curves,
     "rf_forecast": rf_forecast,
     "gbt_forecast": gbt_forecast,
+    "rf_multi_step": rf_multi_step,
+    "rf_multi_step_coverage": rf_multi_step_coverage,
     "feature_importance": feature_importance,
     "lookback_forecast": lookback_forecast,
     "lookback_history": lookback_history,

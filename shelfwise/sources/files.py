@@ -121,6 +121,13 @@ def _stage_prefix(spark: SparkSession) -> str:
     return "shelfwise_stage_" + spark.sparkContext.applicationId.replace("-", "_").lower()
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which ``forget_staged`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def staged(df: DataFrame, name: str, by: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -130,8 +137,7 @@ def staged(df: DataFrame, name: str, by: Sequence[str] = (), order: Sequence[str
     rows, so later windows and aggregates per ``by`` read it without a shuffle.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = stage_path(spark, name)
     if not by:
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)

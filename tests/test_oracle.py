@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="needs the gen
 FITTED = {
     "rf_forecast", "gbt_forecast", "feature_importance", "lookback_forecast", "lookback_history",
     "recursive_forecast", "compare_all_models", "rounds_history", "sequence_errors",
-    "forest_with_levels_errors",
+    "forest_with_levels_errors", "rf_multi_step",
 }
 
 
