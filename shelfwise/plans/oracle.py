@@ -338,6 +338,22 @@ ORACLE: dict[str, str] = {
         select count(*) as rows_before, count(distinct (sale_date, unread, store, product)) as rows_after from raw)""",
         "raw",
     ),
+    "feed_counts": sql(
+        """select case when sale_date is null then 'reject' else 'fact' end as verdict, reason, count(*) as rows
+        from (select sale_date, unnest([null, case when sale_date is null then 'date unreadable' end,
+            case when sale_date is not null then case when try_cast(units as double) is null then 'units no number'
+                when try_cast(units as double) < 0 then 'units below zero' end end,
+            case when sale_date is not null then case when try_cast(stock as double) is null then 'stock no number'
+                when try_cast(stock as double) < 0 then 'stock below zero' end end]) as reason,
+            unnest([1, 2, 3, 4]) as slot from raw)
+        where slot = 1 or reason is not null group by all""",
+        "raw",
+    ),
+    "feed_rejects": sql(
+        """select unread as sale_date, store, product, 'date unreadable' as reason, l_orderkey, l_linenumber, l_partkey, l_suppkey
+        from raw where sale_date is null""",
+        "raw",
+    ),
     "product_codes": "select printf('PROD_%03d', p_partkey) as product, p_partkey as number from part",
     "category_lookup": sql(
         f"""select sale_date, store, product, units, coalesce(p_type, 'Otros') as category
@@ -574,7 +590,7 @@ UNDATED = {
     "top_products_by_store", "alert_counts", "output_row_counts", "store_kpis", "category_sales",
     "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
     "compare_models", "best_model", "run_metrics", "hw_optimised_fit",
-    "validation_loss_fixed", "compare_four_models",
+    "validation_loss_fixed", "compare_four_models", "feed_counts",
 }
 DATES = ("sale_date", "first_day", "last_day", "train_end")
 

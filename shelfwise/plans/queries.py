@@ -21,7 +21,7 @@ from shelfwise.forecasting import optimised_smoothing as hwo
 from shelfwise.forecasting import reservoir as rv
 from shelfwise.forecasting import rounds, tree_steps, trees
 from shelfwise.functions.columns import code_number, padded_code
-from shelfwise.operators import batch, cleaning, evaluation, features, levels, overview
+from shelfwise.operators import batch, cleaning, evaluation, features, levels, overview, rejects
 from shelfwise.plans.runs import run_rows
 from shelfwise.plans.training import Training, train_all
 from shelfwise.schema import ROW_KEYS, SERIES_KEYS
@@ -102,6 +102,16 @@ def duplicate_count(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.duplicate_count(star.raw_feed(spark, sf))
 
 
+def feed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts and rejects of the raw feed, by reason."""
+    return rejects.feed_counts(rejects.judged_feed(star.raw_feed(spark, sf)))
+
+
+def feed_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Each rejected line, why, and where it stands."""
+    return rejects.rejects_of(rejects.judged_feed(star.raw_feed(spark, sf)), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+
+
 def product_codes(spark: SparkSession, sf: str) -> DataFrame:
     code = padded_code("PROD", F.col("p_partkey"), 3)
     return star.table(spark, sf, "part").select(
@@ -555,6 +565,8 @@ QUERIES: dict[str, Query] = {
     "load_sales": load_sales,
     "clean_sales": clean_sales,
     "duplicate_count": duplicate_count,
+    "feed_counts": feed_counts,
+    "feed_rejects": feed_rejects,
     "product_codes": product_codes,
     "category_lookup": category_lookup,
     "dense_series": dense,

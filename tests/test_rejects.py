@@ -1,0 +1,73 @@
+"""Facts and rejects of a feed: nothing is lost, and every reject has a reason and a place."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.operators.cleaning import clean_sales
+from shelfwise.operators.rejects import (
+    facts_of, feed_counts, judged_feed, read_feed_lines, rejects_of, write_judged, write_rejects,
+)
+from shelfwise.schema import FEED_COLUMNS, ROW_KEYS
+from shelfwise.sources.files import FEED_POSITION, read_sales_csv
+
+GOOD = "2022-01-{:02d},A,p,Hogar,{},{},0,5,1,52,1"
+LINES = [
+    GOOD.format(1, "3.5", "7"),
+    GOOD.format(2, "abc", "-4"),
+    GOOD.format(3, "NaN", ""),
+    "soon,A,p,Hogar,1,1,0,5,1,52,1",
+    ",A,p,Hogar,1,1,0,5,1,52,1",
+    "2022-01-04,,p,Hogar,1,1,0,5,1,52,1",
+    "2022-01-04,A, ,Hogar,1,1,0,5,1,52,1",
+    "2022-01-05,A,p,Hogar,1,1",
+    "2022-01-06,A,p,Hogar,1,1,0,5,1,52,1,more",
+    GOOD.format(1, "9", "9"),
+]
+
+
+@pytest.fixture
+def feed(tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for name, lines in (("a.csv", LINES[:6]), ("b.csv", LINES[6:])):
+        (folder / name).write_text("\n".join([",".join(FEED_COLUMNS), *lines]) + "\n", encoding="utf-8")
+    return str(folder)
+
+
+def test_facts_and_rejects_are_all_lines(spark, feed, tmp_path):
+    judged = spark.read.parquet(write_judged(judged_feed(read_feed_lines(spark, feed)), str(tmp_path / "judged")))
+    assert judged.count() == len(LINES)
+    facts, rejects = facts_of(judged), rejects_of(judged)
+    assert facts.count() + rejects.count() == len(LINES)
+    counts = {(r.verdict, r.reason): r["rows"] for r in feed_counts(judged).collect()}
+    assert counts == {
+        ("fact", None): 4, ("reject", None): 6, ("fact", "units no number"): 2, ("fact", "stock below zero"): 1,
+        ("fact", "stock no number"): 1, ("reject", "date unreadable"): 1, ("reject", "date missing"): 1,
+        ("reject", "store missing"): 1, ("reject", "product missing"): 1, ("reject", "malformed line"): 2,
+    }
+
+
+def test_rejects_tell_where_they_stood(spark, feed, tmp_path):
+    rejects = spark.read.parquet(write_rejects(judged_feed(read_feed_lines(spark, feed)), str(tmp_path / "rejects")))
+    found = {(r.reason, r.feed_file.rsplit("/", 1)[1]) for r in rejects.collect()}
+    assert ("date unreadable", "a.csv") in found and ("malformed line", "b.csv") in found
+    lines = {r.malformed for r in rejects.where("reason = 'malformed line'").collect()}
+    assert lines == {LINES[7], LINES[8]} and set(FEED_POSITION) <= set(rejects.columns)
+
+
+def test_facts_clean_to_what_cleaning_gives(spark, feed):
+    """The rows of the feed that are facts, cleaned as ever."""
+    facts = facts_of(judged_feed(read_feed_lines(spark, feed)))
+    got = clean_sales(facts.select(*ROW_KEYS, "category", "units", "stock", *FEED_POSITION), FEED_POSITION).drop(*FEED_POSITION)
+    assert sorted((str(r.sale_date), r.units, r.stock) for r in got.collect()) == [
+        ("2022-01-01", 3.5, 7.0), ("2022-01-02", 0.0, 0.0), ("2022-01-03", 0.0, 0.0),
+    ]
+    whole = clean_sales(read_sales_csv(spark, feed, raw=True)).where("store = 'A' and product = 'p' and sale_date <= '2022-01-03'")
+    assert whole.count() == 3
+
+
+def test_typed_feeds_and_empty_ones(spark, sales):
+    rows = sales([("A", "p", "2022-01-01", 1, 2), ("A", "p", "2022-01-02", -1, 2)])
+    judged = judged_feed(rows)
+    assert {(r.verdict, tuple(r.repairs)) for r in judged.collect()} == {("fact", ()), ("fact", ("units below zero",))}
+    assert facts_of(judged).agg(F.min("units")).first()[0] == 0.0 and feed_counts(judged.limit(0)).count() == 0
