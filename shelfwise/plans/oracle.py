@@ -394,6 +394,15 @@ ORACLE: dict[str, str] = {
         "select * from report order by sale_date desc, store, product limit 100", "report"
     ),
     "alert_counts": sql("select state, count(*) as rows from alerts group by state", "alerts"),
+    "incremental_alerts": sql("select * from report", "report"),
+    "incremental_counts": sql(
+        """select count(*) as lines, cast(0 as bigint) as rejected, cast(0 as bigint) as copies,
+        count(*) filter (where sale_date < date '2000-01-01') as seen_before,
+        count(*) filter (where sale_date >= date '2000-01-01') as added,
+        count(distinct strftime(sale_date, '%Y-%m')) filter (where sale_date >= date '2000-01-01') as months
+        from daily where sale_date >= date '1999-07-01'""",
+        "daily",
+    ),
     "output_row_counts": sql(
         f"""select 'daily_store_aggregates' as output, count(distinct (sale_date, store)) as rows from daily
         union all select 'weekly_category_stats',
@@ -590,7 +599,7 @@ UNDATED = {
     "top_products_by_store", "alert_counts", "output_row_counts", "store_kpis", "category_sales",
     "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
     "compare_models", "best_model", "run_metrics", "hw_optimised_fit",
-    "validation_loss_fixed", "compare_four_models", "feed_counts",
+    "validation_loss_fixed", "compare_four_models", "feed_counts", "incremental_counts",
 }
 DATES = ("sale_date", "first_day", "last_day", "train_end")
 

@@ -22,11 +22,12 @@ from shelfwise.forecasting import reservoir as rv
 from shelfwise.forecasting import rounds, tree_steps, trees
 from shelfwise.functions.columns import code_number, padded_code
 from shelfwise.operators import batch, cleaning, evaluation, features, levels, overview, rejects
+from shelfwise.plans.incremental import ALERTS, Update, update_batch
 from shelfwise.plans.runs import run_rows
 from shelfwise.plans.training import Training, train_all
 from shelfwise.schema import ROW_KEYS, SERIES_KEYS
 from shelfwise.sources import star
-from shelfwise.sources.files import read_sales_csv, shared_dir, staged, write_sales_csv
+from shelfwise.sources.files import read_sales_csv, shared_dir, stage_path, staged, write_sales_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +186,36 @@ def alert_counts(spark: SparkSession, sf: str) -> DataFrame:
     return batch.alert_counts(alerts(spark, sf))
 
 
+# The first feed ends where the second one has begun already, so half a year comes twice.
+SECOND_FEED_FROM, FIRST_FEED_UNTIL = dt.date(1999, 7, 1), dt.date(2000, 1, 1)
+
+
+def two_feeds(spark: SparkSession, sf: str) -> tuple[str, Update]:
+    """The folder of an incremental batch after two feeds, and what the second brought."""
+
+    def update() -> tuple[str, Update]:
+        rows, out = staged(fact(spark, sf), "feed"), stage_path(spark, "incremental")
+        day = F.col("sale_date")
+        feeds = [rows.where(day < FIRST_FEED_UNTIL), rows.where(day >= SECOND_FEED_FROM)]
+        results = [update_batch(spark, write_sales_csv(part, stage_path(spark, "feed")), out) for part in feeds]
+        return out, results[-1]
+
+    return shared(spark, sf, "two feeds", update)
+
+
+def incremental_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert report that two feeds in a row leave."""
+    report = spark.read.parquet(f"{two_feeds(spark, sf)[0]}/{ALERTS}").drop("sale_month")
+    return rounded(report.withColumn("stock", F.col("stock").cast("long")), "units_mean_prev7")
+
+
+def incremental_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the lines of the second feed went."""
+    found = two_feeds(spark, sf)[1]
+    row = (found.lines, found.rejected, found.copies, found.seen_before, found.added, len(found.months))
+    return spark.createDataFrame([row], "lines long, rejected long, copies long, seen_before long, added long, months long")
+
+
 def output_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     rows = daily(spark, sf)
     return batch.output_row_counts(
@@ -583,6 +614,8 @@ QUERIES: dict[str, Query] = {
     "stock_alerts_report": stock_alerts_report,
     "latest_alerts": latest_alerts,
     "alert_counts": alert_counts,
+    "incremental_alerts": incremental_alerts,
+    "incremental_counts": incremental_counts,
     "output_row_counts": output_row_counts,
     "store_kpis": store_kpis,
     "daily_total_ma7": daily_total_ma7,

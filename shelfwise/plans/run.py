@@ -1,9 +1,11 @@
 """Command line of the jobs, for ``spark-submit`` or ``python -m shelfwise.plans.run``.
 
     run batch --feed FEED --out OUT [--feed-format csv] [--report-format parquet] [--report-names]
+    run update --feed FEED --out OUT
     run train --sales TABLE --out OUT [--holidays TABLE] [--store S --product P]
 
-``train`` reads the cleaned table that ``batch`` wrote. Master, memory and the
+``update`` adds a CSV feed to what earlier updates of OUT have written; ``train`` reads the cleaned
+table that ``batch`` or ``update`` wrote. Master, memory and the
 shared checkpoint folder come from the session the job is submitted with.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import day_rows
 from shelfwise.operators.features import HOLIDAYS_2022_2023
 from shelfwise.plans.batch import run_batch, stored_row_counts
+from shelfwise.plans.incremental import update_batch
 from shelfwise.plans.settings import session_settings
 from shelfwise.plans.training import run_training
 from shelfwise.sources.files import forget_staged
@@ -33,6 +36,9 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     batch.add_argument("--feed-format", default="csv")
     batch.add_argument("--report-format", default="parquet")
     batch.add_argument("--report-names", action="store_true")
+    update = jobs.add_parser("update")
+    update.add_argument("--feed", required=True)
+    update.add_argument("--out", required=True)
     train = jobs.add_parser("train")
     train.add_argument("--sales", required=True)
     train.add_argument("--out", required=True)
@@ -61,6 +67,10 @@ def main(argv: Sequence[str] | None = None) -> None:
         stored_row_counts(spark, reports, args.report_format).show(truncate=False)
         print(f"critical alerts: {result.critical_alerts}")
         return
+    if args.job == "update":
+        print(update_batch(spark, args.feed, args.out))
+        forget_staged(spark)
+        return
     holidays = (
         spark.read.parquet(args.holidays) if args.holidays else day_rows(spark, HOLIDAYS_2022_2023, "holiday")
     )
