@@ -155,12 +155,13 @@ def best_state_of(grid: Sequence[tuple[float, float, float]], period: int):
     return best_state
 
 
-def _fitted(
+def fitted_series(
     dense: DataFrame,
     grid: Sequence[tuple[float, float, float]],
-    test_fraction: float,
-    period: int,
+    test_fraction: float = 0.2,
+    period: int = 7,
 ) -> DataFrame:
+    """The fit of each series beside its training units (``ys``) and its held-out days."""
     arrays = training_arrays(dense, test_fraction, period)
     if len(grid) == 1:
         fitted = _fold(arrays, *grid[0], period)
@@ -184,7 +185,7 @@ def holt_winters_fit(
     ``season`` starts with the value for the day after the training part. Series
     with fewer than two seasons of training days get no row.
     """
-    return _fitted(dense, grid, test_fraction, period).select(*SERIES_KEYS, *FIT_COLUMNS)
+    return fitted_series(dense, grid, test_fraction, period).select(*SERIES_KEYS, *FIT_COLUMNS)
 
 
 def prediction(step, period: int):
@@ -210,11 +211,12 @@ def holt_winters_forecast(
     test_fraction: float = 0.2,
     period: int = 7,
 ) -> DataFrame:
-    """Predict every test day of every series.
+    """Predict every test day of every series."""
+    return forecast_held_out(fitted_series(dense, grid, test_fraction, period), period)
 
-    The held-out days travel with the fitted row, so predictions need no join.
-    """
-    fitted = _fitted(dense, grid, test_fraction, period)
+
+def forecast_held_out(fitted: DataFrame, period: int = 7) -> DataFrame:
+    """Predictions of the held-out days of fitted series, which travel with the fit, so there is no join."""
     return (
         fitted.select(*SERIES_KEYS, "level", "trend", "season", F.posexplode("held_out").alias("pos", "day"))
         .withColumns(

@@ -14,8 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.forecasting import FORECAST_COLUMNS, MULTI_STEP
-from shelfwise.forecasting.holt_winters import DEFAULT_GRID, MODEL, best_state_of, prediction, training_arrays
+from shelfwise.forecasting.holt_winters import DEFAULT_GRID, best_state_of, forecast_held_out, training_arrays
 from shelfwise.forecasting.smoothing_search import SERIES_AT_ONCE, optimised
 from shelfwise.schema import SERIES_KEYS
 
@@ -45,7 +44,14 @@ def _search(period: int, steps: int):
     return search
 
 
-def _fitted(dense: DataFrame, grid: Sequence[tuple[float, float, float]], test_fraction: float, period: int, steps: int) -> DataFrame:
+def optimised_series(
+    dense: DataFrame,
+    grid: Sequence[tuple[float, float, float]] = DEFAULT_GRID,
+    test_fraction: float = 0.2,
+    period: int = 7,
+    steps: int = STEPS,
+) -> DataFrame:
+    """The optimised fit of each series beside its training units (``ys``) and its held-out days."""
     arrays = training_arrays(dense, test_fraction, period).withColumn("grid", best_state_of(grid, period)("ys"))
     given = ["ys", "grid.alpha", "grid.beta", "grid.gamma", "grid.sse"]
     found = arrays.withColumn("state", _search(period, steps)(*given)).withColumn("grid_sse", F.col("grid.sse"))
@@ -66,7 +72,7 @@ def optimised_fit(
     ``season`` starts with the value for the day after the training part, ``first_season``
     with the first day's. ``holt_winters_predict`` takes this fit as well.
     """
-    return _fitted(dense, grid, test_fraction, period, steps).select(*SERIES_KEYS, *FIT_COLUMNS)
+    return optimised_series(dense, grid, test_fraction, period, steps).select(*SERIES_KEYS, *FIT_COLUMNS)
 
 
 def replayed_error(ys: Column, period: int = 7) -> Column:
@@ -93,7 +99,7 @@ def replayed_error(ys: Column, period: int = 7) -> Column:
 
 def checked_fit(dense: DataFrame, test_fraction: float = 0.2, period: int = 7) -> DataFrame:
     """Per series: the grid's error, whether the optimised one is no larger, and whether a native replay confirms it."""
-    found = _fitted(dense, DEFAULT_GRID, test_fraction, period, STEPS).withColumn("replayed", replayed_error(F.col("ys"), period))
+    found = optimised_series(dense, DEFAULT_GRID, test_fraction, period, STEPS).withColumn("replayed", replayed_error(F.col("ys"), period))
     return found.select(
         *SERIES_KEYS,
         "n_train",
@@ -110,14 +116,5 @@ def optimised_forecast(
     period: int = 7,
     steps: int = STEPS,
 ) -> DataFrame:
-    """Predict every test day of every series, never below 0; the held-out days travel with the fit."""
-    fitted = _fitted(dense, grid, test_fraction, period, steps)
-    days = fitted.select(*SERIES_KEYS, "level", "trend", "season", F.posexplode("held_out").alias("pos", "day"))
-    return days.select(
-        *SERIES_KEYS,
-        F.lit(MODEL).alias("model"),
-        F.lit(MULTI_STEP).alias("mode"),
-        F.col("day.sale_date").alias("sale_date"),
-        F.col("day.units").alias("actual"),
-        prediction(F.col("pos") + 1, period).alias("predicted"),
-    ).select(*FORECAST_COLUMNS)
+    """Predict every test day of every series, never below 0."""
+    return forecast_held_out(optimised_series(dense, grid, test_fraction, period, steps), period)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -9,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.forecasting.holt_winters import DEFAULT_GRID, holt_winters_forecast
+from shelfwise.forecasting.holt_winters import DEFAULT_GRID, fitted_series, forecast_held_out
 from shelfwise.forecasting.lookback import (
     LookbackState,
     fit_history,
@@ -18,6 +19,8 @@ from shelfwise.forecasting.lookback import (
     lookback_forecast,
 )
 from shelfwise.forecasting.moving_average import moving_average_forecast
+from shelfwise.forecasting.optimised_smoothing import optimised_series
+from shelfwise.forecasting.reservoir import Readout, Reservoir, fit_readout
 from shelfwise.forecasting.trees import (
     RANDOM_FOREST,
     feature_importance,
@@ -50,6 +53,8 @@ class Training:
     forecasts: DataFrame
     forest: PipelineModel
     lookback: LookbackState
+    smoothing: DataFrame
+    readout: Readout | None = None
 
     def comparison(self, common_dates: bool = True) -> DataFrame:
         """Errors ranked per series, on the days all models predicted unless told otherwise."""
@@ -63,6 +68,14 @@ class Training:
             F.count_if(F.col("part") == "test").alias("test_days"),
         )
 
+    def fit_figures(self) -> DataFrame:
+        """What each series' run records of the fits: days, the smoothing's AIC and the iterations of the sequence models."""
+        aic = self.smoothing.select(*SERIES_KEYS, F.col("aic").alias("holt_winters_aic"))
+        figures = self.series_sizes().join(aic, SERIES_KEYS, "left")
+        figures = figures.withColumn("lookback_iterations", F.lit(self.lookback.model.summary.totalIterations))
+        rounds = len(self.readout.fit.rounds) if self.readout else None
+        return figures.withColumn("reservoir_rounds", F.lit(rounds).cast("int"))
+
     def curves(self) -> DataFrame:
         return evaluation.forecast_curves(self.split, self.forecasts)
 
@@ -77,6 +90,8 @@ def train_all(
     lookback: int = 30,
     max_iter: int = 50,
     grid: Sequence[tuple[float, float, float]] = DEFAULT_GRID,
+    optimised: bool = True,
+    reservoir_units: int = 0,
     forest: PipelineModel | None = None,
 ) -> Training:
     """Fit the four models on dense series and predict all test days.
@@ -87,7 +102,9 @@ def train_all(
     default every model is tested on the days of the series split. ``own_feature_split``
     splits the feature rows by themselves instead, after the rows without a full
     history are gone, so the forest's test part is shorter. A ``forest`` that is given
-    is not fitted again.
+    is not fitted again. ``optimised`` searches smoothing and starting states from the grid's best
+    set on. With ``reservoir_units`` a fifth model reads out a reservoir of that many
+    units, fitted in rounds that the validation rows steer.
     """
     scaled = min_max_scaled(temporal_split(dense, test_fraction))
     rows = staged(add_calendar_features(add_history_features(scaled), holidays), "training-rows", SERIES_KEYS, ["sale_date"])
@@ -103,17 +120,35 @@ def train_all(
     sequences = lookback_sequences(scaled, lookback)
     regressor = lookback_fit(validation_split(sequences), max_iter)
 
+    fit_series = optimised_series if optimised else fitted_series
+    smoothing = staged(fit_series(series, grid, test_fraction).drop("ys"), "smoothing")
+
     forecasts = [
         moving_average_forecast(series, test_fraction=test_fraction),
-        holt_winters_forecast(series, grid, test_fraction),
+        forecast_held_out(smoothing),
         tree_forecast(forest, complete.where(F.col("part") == "test"), RANDOM_FOREST),
         lookback_forecast(regressor, sequences),
     ]
+    readout = None
+    if reservoir_units:
+        readout = fit_readout(validation_split(sequences), Reservoir.made(reservoir_units), lookback, rounds=max_iter)
+        forecasts.append(readout.forecast(sequences))
     stacked = forecasts[0]
     for forecast in forecasts[1:]:
         stacked = stacked.unionByName(forecast)
     state = LookbackState(regressor, last_windows(scaled, lookback))
-    return Training(rows.select(*ROW_KEYS, "units", "part"), stacked, forest, state)
+    return Training(rows.select(*ROW_KEYS, "units", "part"), stacked, forest, state, smoothing, readout)
+
+
+#: What a run records of each series beside the settings.
+OWN_PARAMS = ["store", "product", "train_days", "test_days", "holt_winters_aic", "lookback_iterations", "reservoir_rounds"]
+
+
+def recorded_settings(**given: object) -> dict[str, object]:
+    """Every setting of ``train_all``: the given ones, and the defaults of the others."""
+    parameters = inspect.signature(train_all).parameters
+    defaults = {n: p.default for n, p in parameters.items() if p.default is not inspect.Parameter.empty and n != "forest"}
+    return defaults | given
 
 
 def run_training(
@@ -123,11 +158,13 @@ def run_training(
     store: str | None = None,
     product: str | None = None,
     common_dates: bool = True,
+    run_id: str | None = None,
     **settings,
 ) -> DataFrame:
     """Train, score, and write forecasts, comparison, curves, models and run records under ``out``.
 
-    With a store and product only that series is trained; it must have rows.
+    With a store and product only that series is trained; it must have rows. The run is
+    recorded last, under ``run_id`` or one of its own; the same id again replaces it.
     """
     if store is not None and product is not None:
         dense = one_series(cleaned, store, product)
@@ -148,7 +185,11 @@ def run_training(
     save_model(training.forest, f"{out}/random_forest")
     training.lookback.save(f"{out}/lookback")
 
-    params = {"common_dates": common_dates, **settings}
-    recorded = comparison.join(training.series_sizes(), SERIES_KEYS)
-    log_run(recorded, params, f"{out}/runs", own_params=["store", "product", "train_days", "test_days"])
+    if training.readout is not None:
+        write_table(training.readout.fit.history(spark), f"{out}/reservoir_history")
+        training.readout.save(spark, f"{out}/reservoir")
+
+    params = recorded_settings(common_dates=common_dates, **settings)
+    recorded = comparison.join(training.fit_figures(), SERIES_KEYS)
+    log_run(recorded, params, f"{out}/runs", run_id, OWN_PARAMS)
     return comparison
