@@ -311,6 +311,24 @@ LINEAR_GIVEN = f"""select store, product, 'lookback_rounds' as model, 'one_step'
 STANDARDISED = ["dow", "month", "iso_week", "quarter", "is_weekend", "is_month_start", "is_month_end", "is_holiday",
     "is_day_after_holiday", "is_black_friday", "days_since_start", *[f"lag_{k}" for k in LAGS],
     *[f"rolling_{kind}_{size}" for size in ROLLING_WINDOWS for kind in ("mean", "std")], f"rolling_max_{ROLLING_MAX_WINDOW}"]
+
+
+def exchanged_sql() -> str:
+    """Mean errors of a linear model, plain and with each feature's values moved on within the day."""
+    names = [*STANDARDISED[:11 + len(LAGS)], *[f"rolling_{kind}_{size}" for size in ROLLING_WINDOWS
+        for kind in (("mean", "std", "max") if size == ROLLING_MAX_WINDOW else ("mean", "std"))]]
+    weights = {name: ((7 * k) % 5 - 2) / 10 for k, name in enumerate(names)}
+    predicted = " + ".join(f"{w}::double * {n}" for n, w in weights.items())
+    window = "over (partition by sale_date order by md5(store || '|' || product || '|{n}'))"
+    others = ", ".join(f"coalesce(lead({n}) {window.format(n=n)}, first_value({n}) {window.format(n=n)}) as other_{n}" for n in names)
+    errors = ", ".join(f"avg(abs(miss - {w}::double * (other_{n} - {n}))) as {n}" for n, w in weights.items())
+    return f"""select feature, round(mae, 6) as mae, round(found, 6) as mae_exchanged, round(found - mae, 6) as importance
+    from (unpivot (select avg(abs(miss)) as mae, {errors}
+        from (select *, units - (1 + {predicted}) as miss, {others} from (select *, row_number() over ({SERIES}) as row_no,
+                floor(count(*) over (partition by store, product) * (1 - 0.2::double)) as n_train from featured)
+            where row_no > n_train)) on {", ".join(names)} into name feature value found)"""
+
+
 SCALED_FEATURES = ", ".join(
     f"round(({n} - avg({n}) filter (where part = 'train') over ())"
     f" / stddev_pop({n}) filter (where part = 'train') over (), 4) as {n}"
@@ -547,6 +565,7 @@ ORACLE: dict[str, str] = {
             then 'train' else 'test' end as part from featured)""",
         "featured",
     ),
+    "permutation_importance_fixed": sql(exchanged_sql(), "featured"),
     "rf_multi_step_coverage": sql(
         f"""select store, product, 'random_forest' as model, 'multi_step' as mode, count(*) as days, count(*) as usable_days,
         min(sale_date) as first_day, max(sale_date) as last_day, sum(units) as actual_units
@@ -600,6 +619,7 @@ UNDATED = {
     "dow_seasonality", "distinct_stores", "distinct_products", "forecast_errors", "horizon_errors",
     "compare_models", "best_model", "run_metrics", "hw_optimised_fit",
     "validation_loss_fixed", "compare_four_models", "feed_counts", "incremental_counts",
+    "permutation_importance_fixed",
 }
 DATES = ("sale_date", "first_day", "last_day", "train_end")
 

@@ -18,6 +18,7 @@ from shelfwise.forecasting import holt_winters as hw
 from shelfwise.forecasting import lookback as lb
 from shelfwise.forecasting import moving_average as ma
 from shelfwise.forecasting import optimised_smoothing as hwo
+from shelfwise.forecasting import permutation
 from shelfwise.forecasting import reservoir as rv
 from shelfwise.forecasting import rounds, tree_steps, trees
 from shelfwise.functions.columns import code_number, padded_code
@@ -554,6 +555,16 @@ def standardised_features(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(rows.select(*ROW_KEYS, "part", *features.FEATURES), *features.FEATURES, digits=4)
 
 
+# Given weights of a linear model of the features, in feature order.
+GIVEN_LINEAR = {name: ((7 * k) % 5 - 2) / 10 for k, name in enumerate(features.FEATURES)}
+
+
+def permutation_importance_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """Permutation importance of every feature on the test rows, for a linear model with given weights."""
+    rows = test_rows(features.temporal_split(feature_matrix(spark, sf)))
+    return rounded(permutation.linear_importance(rows, GIVEN_LINEAR, 1.0), "mae", "mae_exchanged", "importance")
+
+
 def series_levels(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(levels.with_series_levels(dense(spark, sf)), *levels.LEVELS)
 
@@ -664,6 +675,7 @@ QUERIES: dict[str, Query] = {
     "sequence_coverage": sequence_coverage,
     "sequence_errors": sequence_errors,
     "standardised_features": standardised_features,
+    "permutation_importance_fixed": permutation_importance_fixed,
     "series_levels": series_levels,
     "forest_with_levels_errors": forest_with_levels_errors,
     "compare_four_models": compare_four_models,
