@@ -322,7 +322,7 @@ def exchanged_sql() -> str:
     window = "over (partition by sale_date order by md5(store || '|' || product || '|{n}'))"
     others = ", ".join(f"coalesce(lead({n}) {window.format(n=n)}, first_value({n}) {window.format(n=n)}) as other_{n}" for n in names)
     errors = ", ".join(f"avg(abs(miss - {w}::double * (other_{n} - {n}))) as {n}" for n, w in weights.items())
-    return f"""select feature, round(mae, 6) as mae, round(found, 6) as mae_exchanged, round(found - mae, 6) as importance
+    return f"""select feature, round(mae, 6) as mae, round(found, 6) as mae_exchanged, round(round(found, 6) - round(mae, 6), 6) as importance
     from (unpivot (select avg(abs(miss)) as mae, {errors}
         from (select *, units - (1 + {predicted}) as miss, {others} from (select *, row_number() over ({SERIES}) as row_no,
                 floor(count(*) over (partition by store, product) * (1 - 0.2::double)) as n_train from featured)
