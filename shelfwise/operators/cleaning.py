@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import non_negative, to_day
@@ -66,30 +67,33 @@ def with_category(df: DataFrame, categories: DataFrame) -> DataFrame:
     )
 
 
-def dense_series(df: DataFrame) -> DataFrame:
+def dense_series(df: DataFrame, since: dt.date | None = None) -> DataFrame:
     """A row for every day between a series' first and last sale, gaps with 0 units.
 
     Each row spans the days up to the next sale of its series, so gaps are filled
     in the one shuffle that later series windows reuse; there is no calendar join
     and no second scan. Expects cleaned rows: a repeated day is an error.
+
+    With ``since`` only that day and later come out, beside the ``series_start`` that the
+    sold days before it tell; earlier gaps are never filled.
     """
     next_sale = F.lead("sale_date").over(day_window())
-    one_day = F.expr("interval 1 day")
-    return (
+    spans = (
         df.where(F.col("sale_date").isNotNull())
-        .select(*SERIES_KEYS, "sale_date", F.coalesce("units", F.lit(0.0)).alias("units"))
+        .select(*SERIES_KEYS, F.col("sale_date").alias("sold_on"), "sale_date", F.coalesce("units", F.lit(0.0)).alias("units"))
         .withColumn("last_day", F.coalesce(F.date_sub(next_sale, 1), "sale_date"))
-        .select(
-            *SERIES_KEYS,
-            F.col("sale_date").alias("sold_on"),
-            "units",
-            F.explode(F.sequence("sale_date", "last_day", one_day)).alias("sale_date"),
-        )
-        .select(
-            *SERIES_KEYS,
-            "sale_date",
-            F.when(F.col("sale_date") == F.col("sold_on"), F.col("units")).otherwise(0.0).alias("units"),
-        )
+    )
+    own = []
+    if since is not None:
+        so_far = day_window().rowsBetween(Window.unboundedPreceding, 0)
+        spans = spans.withColumn("series_start", F.min("sale_date").over(so_far)).where(F.col("last_day") >= F.lit(since))
+        spans, own = spans.withColumn("sale_date", F.greatest("sale_date", F.lit(since))), ["series_start"]
+    each_day = F.explode(F.sequence("sale_date", "last_day", F.expr("interval 1 day"))).alias("sale_date")
+    return spans.select(*SERIES_KEYS, "sold_on", "units", *own, each_day).select(
+        *SERIES_KEYS,
+        "sale_date",
+        F.when(F.col("sale_date") == F.col("sold_on"), F.col("units")).otherwise(0.0).alias("units"),
+        *own,
     )
 
 

@@ -197,6 +197,11 @@ def complete_features(df: DataFrame) -> DataFrame:
     return df.dropna(subset=available_features(df))
 
 
+def reach_before(day: dt.date) -> dt.date:
+    """The first day that a day's lags and windows look at."""
+    return day - dt.timedelta(days=max(LAGS + ROLLING_WINDOWS))
+
+
 def feature_matrix(
     dense: DataFrame, holidays: DataFrame, from_date: dt.date | None = None
 ) -> DataFrame:
@@ -204,10 +209,11 @@ def feature_matrix(
 
     With ``from_date`` only that day and later are returned, and of a stored
     series only the days are read that the longest window reaches back to: a
-    plain filter on the date could not move below the windows.
+    plain filter on the date could not move below the windows. Series that
+    ``dense_series`` made since ``reach_before`` that day bring their starts along and are read once.
     """
     rows = dense
-    if from_date is not None:
+    if from_date is not None and "series_start" not in dense.columns:
         reach = dt.timedelta(days=max(LAGS + ROLLING_WINDOWS))
         starts = dense.groupBy(*SERIES_KEYS).agg(F.min("sale_date").alias("series_start"))
         rows = rows_since(dense, from_date - reach).join(starts, SERIES_KEYS)

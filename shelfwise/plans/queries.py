@@ -23,12 +23,13 @@ from shelfwise.forecasting import reservoir as rv
 from shelfwise.forecasting import rounds, tree_steps, trees
 from shelfwise.functions.columns import code_number, padded_code
 from shelfwise.operators import batch, cleaning, evaluation, features, levels, overview, rejects
+from shelfwise.plans.batch import stored_row_counts
 from shelfwise.plans.incremental import ALERTS, Update, update_batch
 from shelfwise.plans.runs import run_rows
 from shelfwise.plans.training import Training, train_all
 from shelfwise.schema import ROW_KEYS, SERIES_KEYS
 from shelfwise.sources import star
-from shelfwise.sources.files import read_sales_csv, shared_dir, stage_path, staged, write_sales_csv
+from shelfwise.sources.files import folder_state, read_sales_csv, shared_dir, stage_path, staged, write_sales_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -217,18 +218,24 @@ def incremental_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([row], "lines long, rejected long, copies long, seen_before long, added long, months long")
 
 
-def output_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    rows = daily(spark, sf)
-    return batch.output_row_counts(
-        {
-            "daily_store_aggregates": batch.daily_store_aggregates(
-                features.with_holiday_flag(rows, holidays(spark)), cleaned=True
-            ),
+def stored_reports(spark: SparkSession, sf: str) -> dict[str, str]:
+    """The paths of the batch reports, written from one staged table of daily sales."""
+
+    def write() -> dict[str, str]:
+        rows = staged(daily(spark, sf), "daily")
+        reports = {
+            "daily_store_aggregates": batch.daily_store_aggregates(features.with_holiday_flag(rows, holidays(spark)), cleaned=True),
             "weekly_category_stats": batch.weekly_category_stats(rows),
             "top_products_by_store": batch.top_products_by_store(rows),
-            "stock_alerts": batch.stock_alerts_report(batch.stock_alerts(rows)),
+            "stock_alerts": batch.stock_alerts_report(batch.stock_alerts(rows), ordered=False),
         }
-    )
+        return {name: write_table(report, stage_path(spark, name)) for name, report in reports.items()}
+
+    return shared(spark, sf, "reports", write)
+
+
+def output_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_row_counts(spark, stored_reports(spark, sf))
 
 
 def store_kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -277,7 +284,8 @@ def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_matrix_from(spark: SparkSession, sf: str) -> DataFrame:
-    rows = features.feature_matrix(dense(spark, sf), holidays(spark), FEATURES_FROM)
+    recent = cleaning.dense_series(daily(spark, sf), features.reach_before(FEATURES_FROM))
+    rows = features.feature_matrix(recent, holidays(spark), FEATURES_FROM)
     return rounded(rows, *features.rolling_names())
 
 
@@ -398,16 +406,22 @@ def forecast_curves(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.forecast_curves(split, statistical_forecasts(spark, sf)), "value")
 
 
-# Tables and models that several queries share, by application, folder and name.
-_SHARED: dict[tuple[str, str, str], object] = {}
+# Tables and models that several queries share, by application, folder and name, with the state of the
+# folder's files that they were made from.
+_SHARED: dict[tuple[str, str, str], tuple[int, object]] = {}
 
 
 def shared(spark: SparkSession, sf: str, name: str, make: Callable[[], object]):
-    """What ``make`` gives, worked out once for an application and a folder."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _SHARED:
-        _SHARED[key] = make()
-    return _SHARED[key]
+    """What ``make`` gives, worked out once for an application and a folder whose files stay as they are."""
+    key, state = (spark.sparkContext.applicationId, sf, name), folder_state(spark, sf)
+    if key not in _SHARED or _SHARED[key][0] != state:
+        _SHARED[key] = (state, make())
+    return _SHARED[key][1]
+
+
+def forget_shared() -> None:
+    """Drop shared tables and models; ``forget_staged`` deletes the tables' files."""
+    _SHARED.clear()
 
 
 def split_features(spark: SparkSession, sf: str) -> DataFrame:

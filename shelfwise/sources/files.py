@@ -99,6 +99,17 @@ def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
         raise
 
 
+def folder_state(spark: SparkSession, folder: str) -> int:
+    """A number that changes when files of a folder, or of its tables' folders, are written again."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for entry in system.listStatus(place):
+        inside = system.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        found += [(f.getPath().toString(), f.getModificationTime(), f.getLen()) for f in inside]
+    return hash(tuple(sorted(found)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder every executor can reach: the checkpoint folder, else the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -150,3 +150,22 @@ def test_the_session_names_the_shared_folder():
     named = FakeSession("yarn")
     named.get = lambda key, default: "/shared/folder/" if key == "spark.checkpoint.dir" else default
     assert files.shared_dir(named) == "/shared/folder" and named.folder is None
+
+
+def test_folder_state_follows_its_files(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "a.parquet"))
+    before = files.folder_state(spark, str(tmp_path))
+    assert files.folder_state(spark, str(tmp_path)) == before
+    spark.range(4).write.mode("overwrite").parquet(str(tmp_path / "a.parquet"))
+    assert files.folder_state(spark, str(tmp_path)) != before
+
+
+def test_shared_results_follow_rewritten_files(spark, tmp_path):
+    from shelfwise.plans.queries import shared
+
+    made = []
+    for rows in (3, 3, 5):
+        if len(made) != 1:
+            spark.range(rows).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+        made.append(shared(spark, str(tmp_path), "rows", lambda: spark.read.parquet(str(tmp_path / "t.parquet")).count()))
+    assert made == [3, 3, 5]

@@ -149,3 +149,15 @@ def test_nothing_forces_a_broadcast(stored, holidays, spark):
 def test_feed_reader_is_lazy(spark, tmp_path):
     (tmp_path / "feed").mkdir()
     assert cleaned_feed(spark, str(tmp_path / "feed")).columns[0] == "sale_date"
+
+
+def test_recent_features_read_the_sales_once(spark, tmp_path, sales, holidays):
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=i) for i in range(0, 150, 3)]
+    path = write_table(sales([("S", p, d.isoformat(), 3 + d.day, 4) for p in "ab" for d in days]), str(tmp_path / "daily"))
+    stored, since = spark.read.parquet(path), dt.date(2022, 5, 1)
+    recent = ft.feature_matrix(cleaning.dense_series(stored, ft.reach_before(since)), holidays, since)
+    text = plan(recent)
+    assert text.count("FileScan parquet") == 1 and text.count("hashpartitioning(store") == 1
+    whole = ft.feature_matrix(cleaning.dense_series(stored), holidays).where("sale_date >= '2022-05-01'")
+    order = ["product", "sale_date"]
+    assert recent.orderBy(*order).collect() == whole.orderBy(*order).collect() and recent.count() > 0
