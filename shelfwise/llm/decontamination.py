@@ -1,26 +1,27 @@
-"""Benchmark items found in documents, by SimHash windows and a multi-index.
+"""Benchmark items found in documents, by SimHash of item-sized windows and a multi-index.
 
-Words are runs without white space, A-Z in lower case. An item of n words is looked
-for with windows of the largest power of two of words that n holds. Every window of
-a document of such a size gets a 64-bit SimHash of its words, weighted by length;
-so do the item's own windows of that size, at up to ``ITEM_WINDOWS`` places.
+Words are runs without white space, A-Z in lower case. Window sizes come in groups, a fifth
+apart; an item of n words belongs to the largest group whose window and stride fit into it, so
+its windows hold most of its words. A window has a 64-bit SimHash of its words,
+weighted by length. The item's windows are filed at all its places, the documents' are
+taken every ``stride`` words: of any unchanged copy one window falls on a filed place.
 
 A fingerprint has four blocks of 16 bits. If two differ in at most ``RADIUS`` = 7
 bits, some block differs in at most one, so each item fingerprint is filed under the
 17 values near each of its blocks, and looking up a window's four blocks finds every
-item fingerprint within the radius. Candidates are then put in line with their item
-and verified exactly: the sets of five-word shingles of the item and of the stretch
-of its length, shingles weighted by their letters, must have a weighted Jaccard
-similarity of ``SIMILARITY`` or more.
-
-Edits can put every window of a similar stretch beyond the radius, so an item is also
-looked for by anchors: shingles of its own, rare among the items and heavy first, so
+item fingerprint within the radius. Around each candidate line every stretch of the item's
+length that starts within ``SLACK`` of it is verified exactly: the sets of five-word shingles of
+item and stretch, shingles weighted by their letters, must have a weighted Jaccard
+similarity of ``SIMILARITY`` or more. The radius is about what similar stretches differ in;
+in the tests, with copies edited up to what the similarity allows, it finds over nine tenths.
+
+The rest is the share of a supplement, which ``supplement=False`` leaves out: an item is also
+looked for by anchors, shingles of its own, rare among the items and heavy first, so
 many that a stretch without any of them cannot be similar enough. Around each anchor
-in a document every stretch of the item's length is weighed. No match is lost, and
-anchors alone would find all; fingerprints only name stretches that anchors name too.
+in a document every stretch of the item's length is weighed, so no match is lost.
 
-Items go in blocks of ``BLOCK_ITEMS``, each broadcast (a bounded size) and held
-against all documents, so a larger benchmark takes more passes and no more memory.
+Items go in blocks of ``BLOCK_ITEMS`` items or ``BLOCK_CHARACTERS``, each broadcast (a bounded
+size) and held against all documents, so a larger benchmark takes more passes and no more memory.
 
 Cases: null and empty texts match nothing; items of fewer than five words have no
 shingle and are skipped; equal items are each reported; a document's matches with an
@@ -45,21 +46,37 @@ WIDTH = 5
 SIMILARITY = 0.8
 RADIUS = 7
 BLOCKS, BLOCK_BITS = 4, 16
-ITEM_WINDOWS = 8
-BLOCK_ITEMS = 4096
+SLACK = 0.12  # of an item's words: how far a similar stretch may start from where a window lines it up
+BLOCK_ITEMS, BLOCK_CHARACTERS = 4096, 1 << 23
 MOST_WEIGHT = 8
 ANCHOR_BITS = 20
 
 
-def fingerprints(hashes: np.ndarray, lengths: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
-    """The SimHash of each window, for each window size."""
+def stride(size: int) -> int:
+    return max(1, size // 5)
+
+
+def group_of(n_words: int) -> int:
+    """The window size of an item: the largest group whose window and stride fit into it."""
+    size = WIDTH
+    while (larger := max(size + 1, size * 6 // 5)) + stride(larger) - 1 <= n_words:
+        size = larger
+    return size
+
+
+def fingerprints(hashes: np.ndarray, lengths: np.ndarray, steps: dict[int, int]) -> dict[int, np.ndarray]:
+    """The SimHash of the windows of each size, every so many words."""
     n = len(hashes)
     signs = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1).view(np.int8) * 2 - 1
     signs *= np.minimum(lengths, MOST_WEIGHT).astype(np.int8)[:, None]
-    kind = np.int16 if max(sizes) * MOST_WEIGHT < 1 << 15 else np.int32
+    kind = np.int16 if max(steps) * MOST_WEIGHT < 1 << 15 else np.int32
     sums = np.zeros((n + 1, 64), kind)
     np.cumsum(signs, axis=0, dtype=kind, out=sums[1:])
-    return {size: np.packbits(sums[size:] - sums[:-size] > 0, axis=1).view(np.uint64).reshape(-1) if n >= size else np.empty(0, np.uint64) for size in sizes}
+    made = {}
+    for size, step in steps.items():
+        own = sums[size::step] - sums[: max(n + 1 - size, 0) : step] > 0
+        made[size] = np.packbits(own, axis=1).view(np.uint64).reshape(-1)
+    return made
 
 
 def _weights(lengths: np.ndarray) -> np.ndarray:
@@ -110,11 +127,6 @@ class Item:
         k = int(np.argmax(similarity))
         return float(similarity[k]), first + k
 
-    def similarity(self, shingles: np.ndarray, weights: np.ndarray) -> float:
-        found = dict(zip(shingles.tolist(), weights.tolist(), strict=True))
-        both = sum(w for s, w in found.items() if s in self.weight)
-        return both / (self.total + sum(found.values()) - both)
-
 
 class Index:
     """Items and their fingerprints, filed by block values."""
@@ -127,11 +139,11 @@ class Index:
             hashes, lengths = piece.hashes(), piece.ends - piece.starts
             if len(hashes) < WIDTH:
                 continue
-            size = 1 << (len(hashes).bit_length() - 1)
-            made = fingerprints(hashes, lengths, [size])[size]
-            places = np.unique(np.linspace(0, len(made) - 1, ITEM_WINDOWS).astype(int))
-            filed.setdefault(size, []).extend((int(made[p]), len(self.items), int(p)) for p in places)
+            size = group_of(len(hashes))
+            made = fingerprints(hashes, lengths, {size: 1})[size]
+            filed.setdefault(size, []).extend((mark, len(self.items), place) for place, mark in enumerate(made.tolist()))
             self.items.append(Item(item_id, hashes, lengths))
+        self.sizes = np.array([item.size for item in self.items], np.int64)
         self.by_size = {size: self._filed(entries) for size, entries in sorted(filed.items())}
         holders = Counter(s for item in self.items for s in item.weight)
         anchors = [(s, k) for k, item in enumerate(self.items) for s in item.anchors(holders)]
@@ -172,29 +184,45 @@ class Index:
             entry.append(found[close])
         return np.concatenate(at), np.concatenate(entry)
 
+    def _runs(self, doc: np.ndarray, item: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, first start, last start) of spans of starts, those that touch put together."""
+        order = np.lexsort((first, item, doc))
+        run: list[int] = []
+        for d, i, a, b in zip(*(x[order].tolist() for x in (doc, item, first, last)), strict=True):
+            if run and run[:2] == [d, i] and a <= run[3] + 1:
+                run[3] = max(run[3], b)
+                continue
+            if run:
+                yield tuple(run)
+            run = [d, i, a, b]
+        if run:
+            yield tuple(run)
+
+    def around_windows(self, hashes: np.ndarray, lengths: np.ndarray, doc_of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Runs of starts near the lines of windows whose fingerprints are within the radius of an item's."""
+        steps, found = {size: stride(size) for size in self.by_size}, []
+        for size, windows in fingerprints(hashes, lengths, steps).items():
+            at = np.arange(len(windows)) * steps[size]
+            inside = np.flatnonzero(doc_of[at] == doc_of[at + size - 1])
+            window, entry = self.candidates(size, windows[inside])
+            _, item, place, _ = self.by_size[size]
+            at = at[inside[window]]
+            found.append(np.column_stack([doc_of[at], item[entry], at - place[entry]]))
+        doc, item, start = np.unique(np.concatenate(found), axis=0).T
+        slack = (self.sizes[item] * SLACK).astype(np.int64) + 1
+        return self._runs(doc, item, start - slack, start + slack)
+
     def around_anchors(self, shingles: np.ndarray, doc_of: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(document, item, first start, last start) of runs of stretches that hold an anchor of the item."""
+        """Runs of starts of stretches that hold an anchor of the item."""
         at = np.flatnonzero(self.maybe[shingles >> np.uint64(64 - ANCHOR_BITS)])
         at = at[doc_of[at] == doc_of[at + WIDTH - 1]]
         low, high = (np.searchsorted(self.anchors, shingles[at], side) for side in ("left", "right"))
         many = high - low
         at = np.repeat(at, many)
         item = self.anchored[np.repeat(low, many) + np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)]
-        doc = doc_of[at]
-        order = np.lexsort((at, item, doc))
-        run: list[int] = []
-        for d, i, place in zip(doc[order].tolist(), item[order].tolist(), at[order].tolist(), strict=True):
-            first = place + WIDTH - self.items[i].size
-            if run and run[:2] == [d, i] and first <= run[3] + 1:
-                run[3] = place
-                continue
-            if run:
-                yield tuple(run)
-            run = [d, i, first, place]
-        if run:
-            yield tuple(run)
+        return self._runs(doc_of[at], item, at + WIDTH - self.sizes[item], at)
 
-    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, float, int]]:
+    def matches(self, texts: pa.Array, supplement: bool = True) -> Iterator[tuple[int, int, float, int]]:
         """(row, item id, similarity, first word) for each item found in each text."""
         if not self.items:
             return
@@ -203,29 +231,21 @@ class Index:
             if not len(hashes):
                 continue
             doc_of = np.repeat(np.arange(len(piece.rows)), np.diff(piece.first))
-            lines = []
-            made = fingerprints(hashes, lengths, list(self.by_size))
-            for size, windows in made.items():
-                inside = np.flatnonzero(doc_of[: len(windows)] == doc_of[size - 1 :]) if len(windows) else np.empty(0, np.int64)
-                at, entry = self.candidates(size, windows[inside])
-                _, item, place, _ = self.by_size[size]
-                at = inside[at]
-                lines.append(np.column_stack([doc_of[at], item[entry], at - place[entry]]))
-            lines = np.unique(np.concatenate(lines), axis=0)
             shingles, weights = words.window_hashes(hashes, WIDTH), _weights(lengths)
+            runs = list(self.around_windows(hashes, lengths, doc_of))
+            if supplement:
+                runs += self.around_anchors(shingles, doc_of)
             best: dict[tuple[int, int], tuple[float, int]] = {}
-            for doc, item, first, last in self.around_anchors(shingles, doc_of):
+            for doc, item, first, last in runs:
                 begin, end = int(piece.first[doc]), int(piece.first[doc + 1])
-                similarity, start = self.items[item].best(shingles, weights, first, last, begin, end)
-                if similarity >= SIMILARITY and similarity > best.get((doc, item), (0, 0))[0]:
-                    best[doc, item] = similarity, max(start - begin, 0)
-            for doc, item, start in lines.tolist():
-                a, b = max(start, piece.first[doc]), min(start + self.items[item].size, piece.first[doc + 1])
-                if b - a < WIDTH:
+                first, last = max(first, begin + WIDTH - self.items[item].size), min(last, end - WIDTH)
+                if first > last:
                     continue
-                similarity = self.items[item].similarity(shingles[a : b - WIDTH + 1], weights[a : b - WIDTH + 1])
-                if similarity >= SIMILARITY and similarity > best.get((doc, item), (0, 0))[0]:
-                    best[doc, item] = similarity, int(a - piece.first[doc])
+                similarity, start = self.items[item].best(shingles, weights, first, last, begin, end)
+                place = max(start - begin, 0)
+                known, where = best.get((doc, item), (0.0, 0))
+                if similarity >= SIMILARITY and (similarity > known or (similarity == known and place < where)):
+                    best[doc, item] = similarity, place
             for (doc, item), (similarity, word) in best.items():
                 yield piece.rows[doc], self.items[item].item_id, similarity, word
 
@@ -236,24 +256,29 @@ def _indexes(benchmark: DataFrame, id_column: str, text_column: str) -> Iterator
     items = items.where("item_id is not null and text is not null").orderBy("item_id", "text")
     block: list[tuple[int, str]] = []
     context = benchmark.sparkSession.sparkContext
+    characters = 0
     for row in items.toLocalIterator():
         block.append((row.item_id, row.text))
-        if len(block) == BLOCK_ITEMS:
+        characters += len(row.text)
+        if len(block) == BLOCK_ITEMS or characters >= BLOCK_CHARACTERS:
             yield context.broadcast(Index(block))
-            block = []
+            block, characters = [], 0
     if block:
         yield context.broadcast(Index(block))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, similarity, first_word) for each document that holds an item."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, supplement: bool = True) -> DataFrame:
+    """(doc_id, item_id, similarity, first_word) for each document that holds an item.
+
+    Without ``supplement`` fingerprints alone name the stretches that are verified.
+    """
     pairs = ids_and_texts(docs)
     empty = pairs.sparkSession.createDataFrame([], "doc_id long, item_id long, similarity double, first_word long")
 
     def rows_of(index):
         def rows(batches):
             for batch in batches:
-                found = list(index.value.matches(batch.column(1)))
+                found = list(index.value.matches(batch.column(1), supplement))
                 row, item, similarity, word = zip(*found, strict=True) if found else ((), (), (), ())
                 yield batch_of(
                     doc_id=batch.column(0).take(pa.array(row, pa.int64())),

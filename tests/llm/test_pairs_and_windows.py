@@ -203,3 +203,27 @@ def test_contaminated_documents(spark, small):
     for item in bench.collect():
         want = " ".join(w.decode() for w in brute.words(item.text, lower=True))
         assert {(i, item.item_id) for i, t in plain.items() if f" {want} " in f" {t} "} <= got
+
+
+def test_fingerprints_alone_find_most(docs, prose, spark):
+    """Recall of the windows without the supplement: unchanged copies all, copies edited up to the similarity over 0.9."""
+    rng = random.Random(23)
+    items = [(n, prose(n)) for n in (15, 20, 27, 32, 33, 48, 64, 65, 100, 130, 300)]
+    rows, exact = [], set()
+    for n, item in items:
+        w = item.split()
+        for k in range(12):
+            exact.add((len(rows), n))
+            rows.append((len(rows), f"{prose(rng.randrange(90))} {item} {prose(rng.randrange(40))}"))
+            many = rng.randrange(1, max(2, n // 9))
+            at = rng.randrange(n - many + 1)
+            new = [f"new{rng.randrange(10**6)}" for _ in range(many)]
+            edits = [w[many:], w[:-many], w[:at] + w[at + many :], w[:at] + new + w[at + many :], w[:at] + new + w[at:], new + w[many:]]
+            rows.append((len(rows), f"{prose(rng.randrange(90))} {' '.join(edits[k % 6])} {prose(rng.randrange(40))}"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {(i, j) for i, t in rows for j, item in items if brute.has_item(t, item)}
+    alone = {(r.doc_id, r.item_id) for r in contaminated(docs(rows), bench, supplement=False).collect()}
+    whole = {(r.doc_id, r.item_id) for r in contaminated(docs(rows), bench).collect()}
+    assert whole == want and exact <= alone <= want
+    assert len(want) > 180 and len(alone) >= 0.9 * len(want), len(alone) / len(want)
+    assert len(alone - exact) >= 0.85 * len(want - exact), len(alone - exact) / len(want - exact)
