@@ -28,10 +28,16 @@ sketch, bounds the size of a partner: a copy with many changes of its own has no
 Within a signature, members are compared with a hub (the member with the fewest
 shingles of its own, then others), and linked groups are merged. What remains is every
 pair that shares a signature, lies in different groups and has sizes that allow a link:
-all these are verified, so no link between components is lost. Of signatures with the
-same members one is kept. Pairs are held against each other by outlines first, a byte
-for a few elements: outlines that differ in more cells than similar sets do in elements
-rule a pair out.
+all these are verified, so no link between components is lost. Of each signature the
+largest group is not held against itself: only members outside it meet all others, in
+chunks. Of signatures with the same members one is kept.
+
+Two members meet under a condition of the join itself: a set has a parity bit for each of
+``PARITY_BITS`` cells, whether it holds an odd number of that cell's elements. Sets that
+differ in d elements differ in at most d bits, so pairs with more bits than similar
+sets have elements to differ in never leave the join. What does is held against each other by
+outlines, a byte for a few elements: outlines that differ in more cells than similar sets do
+in elements rule a pair out.
 
 ``jaccard_components`` looks only for links between components. ``jaccard_links`` gives
 every link between different texts: all pairs of a signature are verified, in chunks of
@@ -67,6 +73,7 @@ HUB_ROUNDS = 3
 SETS_AT_ONCE = 200
 CHUNK = 256
 WEIGHINGS = 2
+PARITY_BITS = 1024
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
 
@@ -328,24 +335,64 @@ def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
     return best.select(F.struct("node").alias("member"), "hub").select(*_pair("member", "hub")).distinct()
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """All pairs of members of one signature that lie in different components and may link."""
-    groups = staged(members.select("signature", "component").distinct(), "groups")
-    low = groups.withColumnRenamed("component", "low")
-    both = low.join(groups.withColumnRenamed("component", "high"), "signature").where("low < high")
-    one = members.selectExpr("signature", "component as low", MEMBER).withColumnRenamed("member", "x")
-    other = members.selectExpr("signature", "component as high", MEMBER).withColumnRenamed("member", "y")
-    pairs = both.join(one, ["signature", "low"]).join(other, ["signature", "high"]).where(_may_link("x", "y"))
+PARITIES = [f"p{k}" for k in range(PARITY_BITS // 64)]
+CARRIED = f"struct(node, size, most, {', '.join(PARITIES)}) as"
+
+
+def _parities(sets: DataFrame) -> DataFrame:
+    """(node, p0, p1, ...): the parity bits of sets."""
+
+    def rows(batches):
+        for batch in batches:
+            flat, ends = _flat(batch.column(1))
+            bits = np.zeros((batch.num_rows, PARITY_BITS // 8), np.uint8)
+            cells = (words.mixed(flat ^ PLACE) % np.uint64(PARITY_BITS)).astype(np.int64)
+            for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                odd = np.bincount(cells[a:b], minlength=PARITY_BITS) & 1
+                bits[k] = np.packbits(odd.astype(np.uint8))
+            table = bits.view(np.int64)
+            yield batch_of(node=batch.column(0), **{name: pa.array(np.ascontiguousarray(table[:, k])) for k, name in enumerate(PARITIES)})
+
+    schema = ", ".join(f"{name} long" for name in PARITIES)
+    return sets.select("node", "elements").mapInArrow(rows, f"node long, {schema}")
+
+
+def _alike(one: str, other: str, percent: int):
+    """Whether sizes and parity bits of two members allow a link."""
+    bits = " + ".join(f"bit_count({one}.{p} ^ {other}.{p})" for p in PARITIES)
+    return _may_link(one, other) & F.expr(f"{bits} <= ({one}.size + {other}.size) * {100 - percent} div {100 + percent}")
+
+
+def _dealt(members: DataFrame, meeting: str) -> DataFrame:
+    """Members with the number of chunks of their signature, sized by the members for which ``meeting`` holds."""
+    sizes = members.groupBy("signature").agg(F.ceil(F.count_if(F.expr(meeting)) / CHUNK).cast("int").alias("chunks"))
+    own = F.expr("cast(pmod(xxhash64(node, 7), chunks) as int)")
+    return members.join(sizes.where("chunks > 0"), "signature").withColumn("own", own)
+
+
+def _across(members: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members of one signature that lie in different components and may link.
+
+    The members outside their signature's largest component meet all others; each chunk of
+    them by a key of its own.
+    """
+    largest = members.groupBy("signature", "component").count().groupBy("signature")
+    main = largest.agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    marked = members.join(main, "signature").withColumn("outside", F.expr("component <> main"))
+    dealt = _dealt(marked, "outside").join(parities, "node")
+    one = dealt.where("outside").selectExpr("signature", "own as chunk", "component as cx", f"{CARRIED} x")
+    other = dealt.selectExpr("signature", "explode(sequence(0, chunks - 1)) as chunk", "component as cy", "outside", f"{CARRIED} y")
+    once = F.expr("cx <> cy and (not outside or x.node < y.node)")
+    pairs = one.join(other, ["signature", "chunk"]).where(once & _alike("x", "y", percent))
     return pairs.select(*_pair("x", "y")).distinct()
 
 
-def _all_pairs(members: DataFrame) -> DataFrame:
+def _all_pairs(members: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
     """All pairs of members of one signature that may link; each two chunks of members meet by a key of their own."""
-    chunks = members.groupBy("signature").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = members.join(chunks, "signature").withColumn("own", F.expr("cast(pmod(xxhash64(node, 7), chunks) as int)"))
-    one = dealt.selectExpr("signature", "own as low", "explode(sequence(own, chunks - 1)) as high", MEMBER).withColumnRenamed("member", "x")
-    other = dealt.selectExpr("signature", "explode(sequence(0, own)) as low", "own as high", MEMBER).withColumnRenamed("member", "y")
-    pairs = one.join(other, ["signature", "low", "high"]).where("low < high or x.node < y.node").where(_may_link("x", "y"))
+    dealt = _dealt(members, "true").join(parities, "node")
+    one = dealt.selectExpr("signature", "own as low", "explode(sequence(own, chunks - 1)) as high", f"{CARRIED} x")
+    other = dealt.selectExpr("signature", "explode(sequence(0, own)) as low", "own as high", f"{CARRIED} y")
+    pairs = one.join(other, ["signature", "low", "high"]).where("low < high or x.node < y.node").where(_alike("x", "y", percent))
     return pairs.select(*_pair("x", "y")).distinct()
 
 
@@ -377,12 +424,17 @@ def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_co
     return measured, later, sets, members, outlines
 
 
+def _parities_of(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The parity bits of the sets that are members."""
+    return staged(_parities(sets.join(members.select("node").distinct(), "node", "left_semi")), "parities")
+
+
 def jaccard_links(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """(a, b) for each link of different sets, a < b; of the ids with equal sets the smallest stands for all."""
     *_, sets, members, outlines = _prepared(docs, width, percent, id_column, text_column)
-    return _linked(_plausible(_all_pairs(members), outlines, percent), sets, percent).distinct()
+    return _linked(_plausible(_all_pairs(members, _parities_of(members, sets), percent), outlines, percent), sets, percent).distinct()
 
 
 def link_counts(
@@ -404,7 +456,8 @@ def jaccard_components(
         found = _linked(_plausible(_hub_pairs(rest, turn), outlines, percent), sets, percent)
         links = staged(found if links is None else links.unionAll(found), "links")
         rest = _open(_grouped(rest, components(links)))
-    links = links.unionAll(_linked(_plausible(_across(rest), outlines, percent), sets, percent))
+    across = _across(rest, _parities_of(rest, sets), percent)
+    links = links.unionAll(_linked(_plausible(across, outlines, percent), sets, percent))
     # An id of several rows with different texts is one vertex.
     links = links.unionAll(later.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
     labels = components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
