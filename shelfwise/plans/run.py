@@ -23,12 +23,12 @@ from shelfwise.plans.batch import run_batch, stored_row_counts
 from shelfwise.plans.incremental import update_batch
 from shelfwise.plans.settings import session_settings
 from shelfwise.plans.training import run_training
-from shelfwise.sources.files import forget_staged
+from shelfwise.sources.files import forget_staged, input_bytes
 
 
 def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="shelfwise")
-    parser.add_argument("--shuffle-gib", type=float, help="size of the widest shuffle")
+    parser.add_argument("--shuffle-gib", type=float, help="size of the widest shuffle; else the input's size tells")
     jobs = parser.add_subparsers(dest="job", required=True)
     batch = jobs.add_parser("batch")
     batch.add_argument("--feed", required=True)
@@ -55,10 +55,10 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"shelfwise-{args.job}").getOrCreate()
-    if args.shuffle_gib:
-        cores = spark.sparkContext.defaultParallelism
-        for key, value in session_settings(int(args.shuffle_gib * 1024**3), cores).items():
-            spark.conf.set(key, value)
+    source = args.sales if args.job == "train" else args.feed
+    shuffled = int(args.shuffle_gib * 1024**3) if args.shuffle_gib else input_bytes(spark, source)
+    for key, value in session_settings(shuffled, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
     if args.job == "batch":
         result = run_batch(
             spark, args.feed, args.out, args.feed_format, args.report_format, args.report_names

@@ -110,6 +110,13 @@ def folder_state(spark: SparkSession, folder: str) -> int:
     return hash(tuple(sorted(found)))
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder; 0 where there is nothing."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder every executor can reach: the checkpoint folder, else the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -169,3 +169,10 @@ def test_shared_results_follow_rewritten_files(spark, tmp_path):
             spark.range(rows).write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
         made.append(shared(spark, str(tmp_path), "rows", lambda: spark.read.parquet(str(tmp_path / "t.parquet")).count()))
     assert made == [3, 3, 5]
+
+
+def test_input_bytes_are_those_of_all_files(spark, tmp_path):
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    want = sum(f.stat().st_size for f in (tmp_path / "t").rglob("*") if not f.name.endswith(".crc"))
+    assert files.input_bytes(spark, str(tmp_path / "t")) == want > 0
+    assert files.input_bytes(spark, str(tmp_path / "nothing")) == 0
