@@ -44,8 +44,10 @@ KEY = ["doc_id", "digest"]
 EDITS = "array<struct<start:long,finish:long,insert:string>>"
 
 #: What a cleaning pass over text replaces, by what, and characters without which it cannot match.
+#: An address has at most 64 characters before its sign, so that a long run of letters is scanned in
+#: time that grows with its length alone; of a longer run the last 64 belong to the address.
 CLEANING = (
-    (r"[\w.+-]+@[\w-]+\.[\w.]+", "<email>", "@"),
+    (r"[\w.+-]{1,64}@[\w-]+\.[\w.]+", "<email>", "@"),
     (r"\d{5,}", "<number>", ""),
     (r"([!$%&*#|])\1{2,}", r"\1", ""),
     (r" {2,}", " ", "  "),

@@ -14,7 +14,8 @@ against all rows. A task returns k rows for each query; those meet in a ranking.
 Cases: vectors that are null, or hold null or non-finite parts, take no part; vectors
 of different lengths are not compared; rows without an id are no queries and no
 candidates; rows of the query's id are its own; equal queries are asked once;
-candidates that repeat are each ranked.
+candidates that repeat are each ranked; vectors so large that a product may leave 64 bits
+are an error.
 """
 
 from __future__ import annotations
@@ -43,10 +44,15 @@ def scaled(rows: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 
 def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers; by floating point where that is exact."""
+    """Exact inner products of whole numbers; by floating point where that is exact.
+
+    Products that could leave 64 bits are an error, not a wrong score.
+    """
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * queries.shape[1]
     if most < 2**52:
         return (queries.astype(float) @ vectors.astype(float).T).astype(np.int64)
+    if most >= 2**63:
+        raise OverflowError("inner products of these vectors may leave 64 bits; scale them down")
     return queries @ vectors.T
 
 

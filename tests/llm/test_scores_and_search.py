@@ -13,7 +13,7 @@ import pytest
 from shelfwise.llm.license_scan import scan_licenses
 from shelfwise.llm.quality_crf import marginals, quality_scores
 from shelfwise.llm.queries import ORACLE, QUERIES
-from shelfwise.llm.topk_search import Best, Tree, top_inner_products
+from shelfwise.llm.topk_search import Best, Tree, products, top_inner_products
 from shelfwise.llm.toxicity import Landmarks, subsequences, toxicity_scores
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -178,3 +178,11 @@ def test_bounds_save_leaves():
     leaves, _ = tree.bounds(points[:1], np.linalg.norm(points[:1].astype(float), axis=1), best)
     assert len(leaves) < sum(1 for n in tree.nodes if n[3] is None) / 4
     assert best.scores[0].tolist() == sorted((points @ points[0]).tolist(), reverse=True)[:5]
+
+
+def test_products_beyond_64_bits_are_an_error():
+    large = np.array([[2**40, 2**40]], np.int64)
+    with pytest.raises(OverflowError):
+        products(large, large)
+    near = np.array([[2**30, -(2**30)]], np.int64)
+    assert products(near, near).tolist() == [[2**61]]

@@ -1,6 +1,7 @@
 """Token counts under edits, token files and packing, against whole-text encoding."""
 
 import random
+import re
 
 import brute
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shelfwise.llm import token_codec, token_counts
+from shelfwise.llm import packing, token_codec, token_counts
 from shelfwise.llm.packing import Limits, pack_documents
 from shelfwise.llm.staging import new_path
 from shelfwise.llm.queries import QUERIES
@@ -194,3 +195,26 @@ def test_queries_encode_as_the_plain_call(docs, spark, tmp_path):
     assert coded.ids_crc32 == brute.crc(np.array([*ids[WORDS], 2], "<u4"))
     assert QUERIES["op1_token_counts"](spark, str(tmp_path)).first().n_tokens == len(ids[BYTES])
     assert QUERIES["op9_packing"](spark, str(tmp_path)).first().doc_tokens == len(ids[BYTES]) + 1
+
+
+def test_long_runs_of_letters_are_scanned_once():
+    """Time in proportion to the text, also where no address ends the run."""
+    import time
+
+    from shelfwise.llm.token_counts import CLEANING, _edits
+
+    patterns = [(re.compile(p), to, needs) for p, to, needs in CLEANING]
+    started = time.perf_counter()
+    assert _edits("x" * 400_000 + " @ ", patterns) == []
+    assert time.perf_counter() - started < 10
+    found = _edits("y" * 100 + "@host.org", patterns)
+    assert [(e["start"], e["finish"], e["insert"]) for e in found] == [(36, 109, "<email>")]
+
+
+def test_cutting_a_document_copies_nothing():
+    ids = memoryview(np.arange(1_000_000, dtype="<u4").tobytes())
+    span = packing.Span(1, ids, 0, 1_000_000, 1)
+    head, tail = span.split(2048)
+    assert head.ids.obj is tail.ids.obj is ids.obj and (head.length, tail.length, tail.start) == (2048, 997_952, 2048)
+    pieces = [s for sequence in packing.Packer(packing.Limits()).add(span) for s in sequence]
+    assert len(pieces) == 1_000_000 // 2048 and all(p.length == 2048 for p in pieces)
