@@ -53,11 +53,57 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+ORACLE["op6_substring_dedup"] = r"""
+with docs as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, row_number() over (partition by md5(array_to_string(w[i + 1 : i + 20], ' ')) order by doc_id, i) as time
+  from docs, unnest(range(len(w) - 19)) as u(i)
+), gone as (
+  select distinct doc_id, i + k as place from windows, unnest(range(20)) as v(k) where time > 1
+), words as (
+  select doc_id, place, w[place + 1] as word from docs, unnest(range(len(w))) as u(place)
+), kept as (
+  select doc_id, string_agg(word, ' ' order by place) as text, count(*) as n from words anti join gone using (doc_id, place) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+  sha256(coalesce(text, '')) as kept_sha256
+from docs left join kept using (doc_id)
+"""
+
+
 @query
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
 
+#: Words in lower case and distinct five-word shingles of documents; a shorter text is one.
+SHINGLES = r"""
+docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i + 1 : i + 5], ' ') as shingle
+  from docs, unnest(range(case when len(w) = 0 then 0 else greatest(len(w) - 4, 1) end)) as u(i)
+)"""
+
+ORACLE["op3_jaccard_join"] = f"""
+with recursive {SHINGLES}, sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common from shingles a join shingles b using (shingle)
+  where a.doc_id <> b.doc_id group by all
+), links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common >= 80 * (x.n + y.n - common)
+), reach as (
+  select doc_id as a, doc_id as b from docs union select reach.a, links.b from reach join links on links.a = reach.b
+), components as (
+  select a as doc_id, min(b) as component_id from reach group by a
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id from components left join sizes using (doc_id)
+"""
+
+
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -68,6 +114,44 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+ORACLE["op4_decontamination"] = r"""
+with docs as (
+  select row_number() over () as uid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), items as (
+  select row_number() over () as iid, item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from benchmark where item_id is not null
+), doc_shingles as (
+  select uid, i, array_to_string(w[i + 1 : i + 5], ' ') as shingle, strlen(array_to_string(w[i + 1 : i + 5], '')) as weight
+  from docs, unnest(range(len(w) - 4)) as u(i)
+), item_shingles as (
+  select distinct iid, len(w) as n, array_to_string(w[i + 1 : i + 5], ' ') as shingle, strlen(array_to_string(w[i + 1 : i + 5], '')) as weight
+  from items, unnest(range(len(w) - 4)) as u(i)
+), totals as (
+  select iid, any_value(n) as n, sum(weight) as total, max(weight) as most from item_shingles group by iid
+), hits as (
+  select uid, iid, i from doc_shingles join item_shingles using (shingle)
+), starts as (
+  select distinct uid, iid, i + 5 - n + k as start from hits join totals using (iid), unnest(range(n - 4)) as v(k)
+), stretches as (
+  select distinct s.uid, s.iid, s.start, d.shingle, d.weight
+  from starts s join totals t using (iid) join doc_shingles d on d.uid = s.uid and d.i >= s.start and d.i <= s.start + t.n - 5
+), weighed as (
+  select s.uid, s.iid, s.start, sum(s.weight) as found, sum(case when i.shingle is not null then s.weight else 0 end) as common
+  from stretches s left join item_shingles i on i.iid = s.iid and i.shingle = s.shingle group by all
+), scored as (
+  select uid, iid, greatest(start, 0) as place, cast(common as double) / cast(total + found - common as double) as similarity
+  from weighed join totals using (iid)
+), best as (
+  select doc_id, item_id, similarity, place, row_number() over (partition by doc_id, item_id order by similarity desc, place) as choice
+  from scored join docs using (uid) join items using (iid) where similarity >= 0.8
+)
+select doc_id, item_id, similarity, cast(place as bigint) as first_word from best where choice = 1
+"""
+
+
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(packing.TOKENIZER), added_tokens=True)
