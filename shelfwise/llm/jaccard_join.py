@@ -62,7 +62,7 @@ from shelfwise.llm import words
 from shelfwise.llm.columns import batch_of, character_total, ids_and_texts
 from shelfwise.llm.links import components
 from shelfwise.llm.sketch import repeated
-from shelfwise.llm.staging import discard, staged, staged_alone
+from shelfwise.llm.staging import bucketed, discard, staged, staged_alone
 
 WIDTH = 5
 PERCENT = 80
@@ -74,6 +74,8 @@ SETS_AT_ONCE = 200
 CHUNK = 256
 WEIGHINGS = 2
 PARITY_BITS = 1024
+#: Rows of later copies (40 bytes each) that are sent to every task; more are joined by a shuffle.
+MOST_BROADCAST = 500_000
 ONE, OTHER = [0, 0, 1], [1, 2, 2]  # the 2-subsets of three cells
 KEY, VALUE, MIX, PLACE = (np.uint64(x) for x in (0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7))
 
@@ -317,7 +319,7 @@ def _open(members: DataFrame) -> DataFrame:
     """Members of the signatures whose members lie in several components, if their sizes allow a link."""
     spans = members.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("least"))
     several = staged(spans.where("low <> high").select("signature", "least"), "open")
-    return staged(members.join(several, "signature").where("most >= least").drop("least"), "members")
+    return members.join(several, "signature").where("most >= least").drop("least")
 
 
 def _pair(one: str, other: str) -> list:
@@ -396,10 +398,22 @@ def _all_pairs(members: DataFrame, parities: DataFrame, percent: int) -> DataFra
     return pairs.select(*_pair("x", "y")).distinct()
 
 
+def _without_later(candidates: DataFrame, later: DataFrame, same: list[str]) -> DataFrame:
+    """Candidates that are no later copies; only where those are many do the candidates move."""
+    gone = later.select("doc_id", *same).distinct()
+    if later.count() <= MOST_BROADCAST:
+        gone = F.broadcast(gone)
+    return candidates.join(gone, ["doc_id", *same], "left_anti")
+
+
 def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> tuple[DataFrame, ...]:
-    """Rows with their sets' sizes, rows whose set another id stands for, sets, members of signatures, outlines."""
+    """Rows with their sets' sizes, rows whose set another id stands for, sets, members of signatures, outlines.
+
+    What nothing reads any more is deleted as soon as what it led to is written.
+    """
     pairs = ids_and_texts(docs, id_column, text_column)
-    measured = staged(_measured(pairs, width, percent), "measured")
+    with_sets = staged(_measured(pairs, width, percent), "measured")
+    measured = staged(with_sets.drop("elements"), "sizes")
 
     filled = measured.where("doc_id is not null and n_shingles > 0")
     same = ["n_shingles", "one", "two"]
@@ -408,19 +422,23 @@ def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_co
     later = filled.select("doc_id", *same).join(copied, same).where("doc_id > node").select("doc_id", *same, "node")
     later = staged(later, "later")
 
-    candidates = filled.where("size(elements) > 0").join(later.drop("node").distinct(), ["doc_id", *same], "left_anti")
-    sets = candidates.select(F.col("doc_id").alias("node"), "elements")
+    candidates = with_sets.where("doc_id is not null and size(elements) > 0")
+    sets = _without_later(candidates, later, same).select(F.col("doc_id").alias("node"), "elements")
+    before = with_sets
     for _ in range(WEIGHINGS):
         sets = staged(sets, "sets")
+        discard(before)
+        before = sets
         total = sets.agg(F.sum(F.size("elements"))).first()[0] or 0
         sets = _weighed(sets, percent, 4 * total)
-    sets = staged(sets, "sets")
+    sets = bucketed(sets, "sets", "node")
+    discard(before)
     entries = staged(_entries(sets, percent), "entries")
     several = staged(_different_groups(entries), "several")
     members = staged(entries.join(several, "signature").where("most >= least").drop("least").distinct(), "members")
     discard(entries, several, copied)
 
-    outlines = staged(_outlines(sets.join(members.select("node").distinct(), "node", "left_semi")), "outlines")
+    outlines = bucketed(_outlines(sets.join(members.select("node").distinct(), "node", "left_semi")), "outlines", "node")
     return measured, later, sets, members, outlines
 
 
@@ -451,11 +469,17 @@ def jaccard_components(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row: its set's size, and the smallest id that links reach."""
     measured, later, sets, members, outlines = _prepared(docs, width, percent, id_column, text_column)
-    links, rest = None, members
+    spark, links, rest = docs.sparkSession, None, members
     for turn in range(HUB_ROUNDS):
-        found = _linked(_plausible(_hub_pairs(rest, turn), outlines, percent), sets, percent)
-        links = staged(found if links is None else links.unionAll(found), "links")
-        rest = _open(_grouped(rest, components(links)))
+
+        def linked(rest: DataFrame = rest, links: DataFrame | None = links, turn: int = turn) -> DataFrame:
+            found = _linked(_plausible(_hub_pairs(rest, turn), outlines, percent), sets, percent)
+            return found if links is None else links.unionAll(found)
+
+        more = staged_alone(linked, spark, "links")
+        still = staged_alone(lambda rest=rest, links=more: _open(_grouped(rest, components(links))), spark, "members")
+        discard(rest, *([] if links is None else [links]))
+        links, rest = more, still
     across = _across(rest, _parities_of(rest, sets), percent)
     links = links.unionAll(_linked(_plausible(across, outlines, percent), sets, percent))
     # An id of several rows with different texts is one vertex.

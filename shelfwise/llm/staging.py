@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, list[str]] = {}
+_ENTRIES: dict[str, str] = {}  # the catalog entries of bucketed tables, by path
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,7 +42,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return result
 
 
+def bucketed(df: DataFrame, name: str, by: str) -> DataFrame:
+    """Stage ``df`` in buckets by a column, as a shuffle on it would place rows: joins on it move the other side only."""
+    spark = df.sparkSession
+    path, entry = new_path(spark, name), f"llm_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(buckets, by).write.format("parquet").option("path", path)
+    placed.bucketBy(buckets, by).sortBy(by).saveAsTable(entry)
+    _ENTRIES[path] = entry
+    result = spark.table(entry)
+    result.staged_at = path
+    return result
+
+
 def _delete(spark: SparkSession, path: str) -> None:
+    if path in _ENTRIES:
+        spark.sql(f"drop table if exists {_ENTRIES.pop(path)}")
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
