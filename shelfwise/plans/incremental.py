@@ -61,13 +61,14 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     return found.withColumn(MONTH, F.col(MONTH).cast("string")) if found is not None and MONTH in found.columns else found
 
 
-def replace_parts(df: DataFrame, path: str, column: str, values: Sequence[str]) -> str:
-    """Write ``df`` over the parts of a table for ``values`` of its partition column; other parts stay.
+def replace_parts(df: DataFrame, path: str, column: str, values: Sequence[str] = ()) -> str:
+    """Write ``df`` over the parts of a table that it has rows of; other parts stay.
 
-    A part that has no rows any more goes. ``df`` must not read the table itself.
+    Of ``values``, for a table whose parts can come to have no rows, those without rows go.
+    ``df`` must not read the table itself.
     """
     spark = df.sparkSession
-    left = {str(row[0]) for row in df.select(column).distinct().collect()}
+    left = {str(row[0]) for row in df.select(column).distinct().collect()} if values else set()
     out = df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     out.partitionBy(column).parquet(path)
     for value in set(values) - left:
@@ -120,7 +121,7 @@ def _write_alerts(spark: SparkSession, out: str, months: list[str], changed: Dat
     report = batch.stock_alerts_report(own, ordered=False).withColumn(MONTH, F.date_format("sale_date", "yyyy-MM"))
     replace_parts(report, f"{out}/{ALERTS}", MONTH, affected)
     tails = own.groupBy(*SERIES_KEYS, MONTH).agg(F.max_by("tail", "sale_date").alias("tail"))
-    replace_parts(tails, f"{out}/{TAILS}", MONTH, affected)
+    replace_parts(tails, f"{out}/{TAILS}", MONTH)
     return affected
 
 
@@ -128,14 +129,14 @@ def _write_reports(spark: SparkSession, out: str, months: list[str], changed: Da
     facts = _stored(spark, f"{out}/{FACTS}")
     own = facts.where(F.col(MONTH).isin(months))
     daily = batch.daily_store_aggregates(own, cleaned=True).withColumn(MONTH, F.date_format("sale_date", "yyyy-MM"))
-    replace_parts(daily, f"{out}/{DAILY}", MONTH, months)
+    replace_parts(daily, f"{out}/{DAILY}", MONTH)
     totals = own.groupBy(MONTH, "store", "product", "category").agg(F.sum("units").alias("units"))
-    replace_parts(totals, f"{out}/{TOTALS}", MONTH, months)
+    replace_parts(totals, f"{out}/{TOTALS}", MONTH)
     top = batch.top_products_by_store(_stored(spark, f"{out}/{TOTALS}"), top_n)
     top.write.mode("overwrite").parquet(f"{out}/{TOP}")
     years = sorted({month[:4] for month in months})
     whole = facts.where(F.substring(MONTH, 1, 4).isin(years) & F.col(MONTH).between(f"{years[0]}-01", f"{years[-1]}-12"))
-    replace_parts(batch.weekly_category_stats(whole), f"{out}/{WEEKLY}", "year", years)
+    replace_parts(batch.weekly_category_stats(whole), f"{out}/{WEEKLY}", "year")
     return _write_alerts(spark, out, months, changed, alert_ratio)
 
 
@@ -167,7 +168,7 @@ def update_batch(spark: SparkSession, feed: str, out: str, top_n: int = 5, alert
         spark.createDataFrame([(m,) for m in due], f"{MONTH} string").coalesce(1).write.mode("overwrite").parquet(f"{out}/{NOTE}")
         if months:
             merged = new if stored is None else stored.where(F.col(MONTH).isin(months)).unionByName(new)
-            replace_parts(staged(merged, "merged"), f"{out}/{FACTS}", MONTH, months)
+            replace_parts(staged(merged, "merged"), f"{out}/{FACTS}", MONTH)
         # Months noted by a run that ended before it had written any facts have no rows yet.
         rows = _stored(spark, f"{out}/{FACTS}").where(F.col(MONTH).isin(due))
         known = _months_of(rows)
