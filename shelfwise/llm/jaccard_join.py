@@ -433,7 +433,7 @@ def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_co
         sets = _weighed(sets, percent, 4 * total)
     sets = bucketed(sets, "sets", "node")
     discard(before)
-    entries = staged(_entries(sets, percent), "entries")
+    entries = bucketed(_entries(sets, percent), "entries", "signature")
     several = staged(_different_groups(entries), "several")
     members = staged(entries.join(several, "signature").where("most >= least").drop("least").distinct(), "members")
     discard(entries, several, copied)
