@@ -17,11 +17,16 @@ weighted by the share of documents that hold them. A document scores as its wors
 into a probability by a logistic curve fitted to the training documents.
 
 The fit reads a sample of at most ``PER_CLASS`` documents of each class, whole;
-scoring reads every word of every text. The fitted model is a few kilobytes.
+scoring reads every word of every text. The fitted model is a few kilobytes. Its size and
+the fit's are bounded: at most ``LANDMARKS`` landmarks, chosen among the ``CANDIDATE_RUNS``
+runs of letters that most toxic documents of the sample hold, and as examples words whose
+kernel value with some landmark is above 0.1, of three kinds (most toxic, most like a
+landmark, commonest among clean documents) ``HARDEST`` each at most. All of that concerns the sample, none of it
+the documents that are scored.
 
 Cases: null and empty texts, and texts without words, score as the model's floor;
-without labelled rows of both classes every score is 0; labels, lang, source and ids
-are not read by a score.
+without labelled rows of both classes, or where no run of letters tells the sample's classes
+apart, every score is 0; labels, lang, source and ids are not read by a score.
 """
 
 from __future__ import annotations
