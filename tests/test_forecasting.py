@@ -174,3 +174,13 @@ def test_a_whole_series_can_be_fitted_to_look_past_its_end(series):
         assert fit.collect()[0].n_train == 50
         assert [r.sale_date for r in ahead] == [last + dt.timedelta(days=i) for i in (1, 2, 3)]
     assert hw.holt_winters_forecast(df, test_fraction=0.0).count() == 0
+
+
+def test_one_set_is_fitted_alike_by_the_fold_and_by_the_search(series):
+    """A single parameter set is folded without Python; a grid of it alone, given twice, goes through the search."""
+    df = series({"P": [12.0 + 3 * (i % 7) + i * 7919 % 5 for i in range(90)], "Q": [float(i % 9) for i in range(40)]})
+    one, two = ({r["product"]: r for r in hw.holt_winters_fit(df, [(0.2, 0.05, 0.1)] * n).collect()} for n in (1, 2))
+    for product, fit in one.items():
+        for name in ("alpha", "level", "trend", "sse", "aic"):
+            assert fit[name] == pytest.approx(two[product][name])
+        assert fit.season == pytest.approx(two[product].season)
