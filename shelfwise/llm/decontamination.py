@@ -65,18 +65,23 @@ def group_of(n_words: int) -> int:
 
 
 def fingerprints(hashes: np.ndarray, lengths: np.ndarray, steps: dict[int, int]) -> dict[int, np.ndarray]:
-    """The SimHash of the windows of each size, every so many words."""
+    """The SimHash of the windows of each size, every so many words.
+
+    Bits are taken one by one, so that a bit's sums over all words stay in the processor's
+    cache for all sizes. Sums may wrap around; their differences over a window are right
+    all the same.
+    """
     n = len(hashes)
-    signs = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1).view(np.int8) * 2 - 1
-    signs *= np.minimum(lengths, MOST_WEIGHT).astype(np.int8)[:, None]
     kind = np.int16 if max(steps) * MOST_WEIGHT < 1 << 15 else np.int32
-    sums = np.zeros((n + 1, 64), kind)
-    np.cumsum(signs, axis=0, dtype=kind, out=sums[1:])
-    made = {}
-    for size, step in steps.items():
-        own = sums[size::step] - sums[: max(n + 1 - size, 0) : step] > 0
-        made[size] = np.packbits(own, axis=1).view(np.uint64).reshape(-1)
-    return made
+    planes = np.unpackbits(np.ascontiguousarray(hashes.view(np.uint8).reshape(n, 8).T), axis=0).view(np.int8)
+    weight, sums = np.minimum(lengths, MOST_WEIGHT).astype(np.int8), np.zeros(n + 1, kind)
+    packed = {size: np.zeros((8, len(range(0, n + 1 - size, step))), np.uint8) for size, step in steps.items()}
+    for bit, plane in enumerate(planes):
+        np.cumsum((plane * 2 - 1) * weight, dtype=kind, out=sums[1:])
+        for size, step in steps.items():
+            above = sums[size::step] - sums[: max(n + 1 - size, 0) : step] > 0
+            packed[size][bit // 8] |= above.view(np.uint8) << np.uint8(7 - bit % 8)
+    return {size: np.ascontiguousarray(rows.T).view(np.uint64).reshape(-1) for size, rows in packed.items()}
 
 
 def _weights(lengths: np.ndarray) -> np.ndarray:
