@@ -348,10 +348,9 @@ def _parities(sets: DataFrame) -> DataFrame:
         for batch in batches:
             flat, ends = _flat(batch.column(1))
             bits = np.zeros((batch.num_rows, PARITY_BITS // 8), np.uint8)
-            cells = (words.mixed(flat ^ PLACE) % np.uint64(PARITY_BITS)).astype(np.int64)
             for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                odd = np.bincount(cells[a:b], minlength=PARITY_BITS) & 1
-                bits[k] = np.packbits(odd.astype(np.uint8))
+                cells = (words.mixed(flat[a:b] ^ PLACE) % np.uint64(PARITY_BITS)).astype(np.int64)
+                bits[k] = np.packbits((np.bincount(cells, minlength=PARITY_BITS) & 1).astype(np.uint8))
             table = bits.view(np.int64)
             yield batch_of(node=batch.column(0), **{name: pa.array(np.ascontiguousarray(table[:, k])) for k, name in enumerate(PARITIES)})
 
