@@ -32,8 +32,20 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 ORACLE_SQL = None
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows that a Python worker gets at once, at most: a stage's texts lie in the executor's direct memory and in the worker.
+ARROW_ROWS = 1024
+
+
+def _ready(spark: SparkSession) -> None:
+    """Send the package to the executors, and rows to their workers in small batches; a smaller setting stays."""
     ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,12 +54,12 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _ready(spark)
     return without_similar(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _ready(spark)
     cut = remove_repeated_windows(docs)
     changed = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
     return changed.select(*docs.columns)
@@ -58,7 +70,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    _ready(spark)
     return bins.pack_documents(docs, public_tokenizers.path(bins.TOKENIZER), added_tokens=True)
 
 

@@ -2,6 +2,8 @@
 
 import brute
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -44,3 +46,25 @@ def test_run_and_odd_rows(spark, small, docs, odd_rows):
             table = stage(spark, table, small)
         assert (table.count() > 0) == bool(rows)
     forget(spark)
+
+
+@pytest.mark.parametrize("stage", ["near_duplicates", "substring_dedup", "packing"])
+def test_workers_get_small_batches(spark, small, docs, odd_rows, stage):
+    name, stages = "spark.sql.execution.arrow.maxRecordsPerBatch", dict(corpus_pipeline.STAGES)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    def largest():
+        stages[stage](spark, docs(odd_rows), small)
+        return max(r.n for r in spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").collect())
+
+    spark.conf.unset(name)
+    try:
+        assert largest() <= corpus_pipeline.ARROW_ROWS
+        spark.conf.set(name, "100")
+        assert largest() == 100
+    finally:
+        spark.conf.unset(name)
+        forget(spark)
