@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import brute
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from shelfwise.llm import packing, token_codec, token_counts
+from shelfwise.llm import packing, token_codec, token_counts, token_ids, words
 from shelfwise.llm.packing import Limits, pack_documents
 from shelfwise.llm.staging import new_path
 from shelfwise.llm.queries import QUERIES
@@ -218,3 +219,18 @@ def test_cutting_a_document_copies_nothing():
     assert head.ids.obj is tail.ids.obj is ids.obj and (head.length, tail.length, tail.start) == (2048, 997_952, 2048)
     pieces = [s for sequence in packing.Packer(packing.Limits()).add(span) for s in sequence]
     assert len(pieces) == 1_000_000 // 2048 and all(p.length == 2048 for p in pieces)
+
+
+def test_encoding_holds_little_besides_ids():
+    text = pa.array(["some ordinary words of a text " * 600] * 400, pa.string())  # 7 MB
+    encode = token_ids.Encoder(public_tokenizers.path("byte_bpe_50k.json"), token_ids.AddedParts, True)
+    encode.count("some ordinary words of a text")
+    words._POWERS.clear()
+    tracemalloc.start()
+    try:
+        total = sum(len(ids) for _, ids in encode.documents(text))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert total == 400 * encode.count("some ordinary words of a text " * 600)
+    assert peak < 64 << 20
