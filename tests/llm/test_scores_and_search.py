@@ -23,7 +23,7 @@ MIDDLE = "/root/testdata/sf0.01"
 def test_query_equals_sql(spark, small, name):
     got = QUERIES[name](spark, small).toPandas()
     db = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         db.execute(f"create view {table} as select * from '{small}/{table}.parquet'")
     want = db.execute(ORACLE[name]).df()
     columns = sorted(got.columns)
