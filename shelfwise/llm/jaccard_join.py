@@ -20,10 +20,12 @@ passage would otherwise make common. What a set's own size allows to differ give
 a slack of its own.
 
 A set that links with another has at least ``percent`` of its shingles in common with
-it. Only sets in which a count-min sketch takes that share for repeated get signatures;
-a sketch never misses a repeated shingle. Sets that are equal are one class first, so
-copies cost nothing. How many shingles of a set other classes repeat, by a second
-sketch, bounds the size of a partner: a copy with many changes of its own has none.
+it. So a set goes, and gets no signatures, if more than the rest are lone in the lower half
+of the hash space alone; ``dealt`` counts them without a table that grows with the
+input in any task, and never takes a repeated shingle for a lone one. Sets that are equal are
+one class first, so copies cost nothing. How many shingles of a set other classes repeat, by a
+count-min sketch of what is left, bounds the size of a partner: a copy with many changes of
+its own has none.
 
 Within a signature, members are compared with a hub (the member with the fewest
 shingles of its own, then others), and linked groups are merged. What remains is every
@@ -60,6 +62,8 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import words
 from shelfwise.llm.columns import batch_of, character_total, ids_and_texts
+from shelfwise.llm.dealt import SCHEMA as CHUNKS
+from shelfwise.llm.dealt import Cells, Chunk, mostly_shared
 from shelfwise.llm.links import components
 from shelfwise.llm.sketch import repeated
 from shelfwise.llm.staging import bucketed, discard, staged, staged_alone
@@ -68,6 +72,9 @@ WIDTH = 5
 PERCENT = 80
 #: Bytes of text for one shingle, roughly.
 BYTES_A_SHINGLE = 6
+#: What tells sets apart.
+SAME = ["n_shingles", "one", "two"]
+CELLS_A_SET = 8
 CELLS = 3
 HUB_ROUNDS = 3
 SETS_AT_ONCE = 200
@@ -153,35 +160,63 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
 
 
-def _measured(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Size and two hashes of each row's set; the set itself where enough of it may be repeated."""
-    texts = docs.select("text")
+def _measured(docs: DataFrame, width: int, cells: Cells) -> DataFrame:
+    """Size and two hashes of each row's set; beside them, without them, the rows of chunks (``dealt``) that hold the sets' cells."""
 
-    def shingles(batch):
-        for piece in words.pieces(batch.column(0), lower=True):
-            yield np.concatenate([np.empty(0, np.uint64), *(own for _, own in shingle_sets(piece, width))])
+    def rows(batches):
+        chunk = Chunk(cells)
 
-    maybe = repeated(texts, shingles, character_total(texts) // BYTES_A_SHINGLE, depth=1)
+        def beside(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in found:
+                none = pa.nulls(part.num_rows, pa.int64())
+                yield batch_of(doc_id=none, n_shingles=none, one=none, two=none, **dict(zip(part.schema.names, part.columns, strict=True)))
 
-    def rows(batches):
         for batch in batches:
             for piece in words.pieces(batch.column(1), lower=True):
-                sizes, one, two, kept = [], [], [], []
-                for _, own in shingle_sets(piece, width):
-                    sizes.append(len(own))
-                    one.append(int(words.mixed(own ^ KEY).sum(dtype=np.uint64)))
-                    two.append(int(words.mixed(own ^ PLACE).sum(dtype=np.uint64)))
-                    possible = 100 * int(maybe(own).sum()) >= percent * len(own)
-                    kept.append(own if possible else own[:0])
+                sets = [own for _, own in shingle_sets(piece, width)]
+                names = _names(sets)
                 yield batch_of(
                     doc_id=batch.column(0).slice(piece.rows.start, len(piece.rows)),
-                    n_shingles=pa.array(sizes, pa.int64()),
-                    one=pa.array(np.array(one, np.uint64).view(np.int64)),
-                    two=pa.array(np.array(two, np.uint64).view(np.int64)),
-                    elements=_lists(kept),
+                    **{c: pa.array(np.ascontiguousarray(names[:, k])) for k, c in enumerate(SAME)},
+                    chunk=pa.nulls(len(sets), pa.int64()),
+                    segment=pa.nulls(len(sets), pa.int32()),
+                    cells=pa.nulls(len(sets), pa.binary()),
+                    owners=pa.nulls(len(sets), pa.binary()),
+                )
+                yield from beside(chunk.add(sets, names))
+        yield from beside(chunk.rows())
+
+    return docs.mapInArrow(rows, f"doc_id long, n_shingles long, one long, two long, {CHUNKS}")
+
+
+def _names(sets: list[np.ndarray]) -> np.ndarray:
+    """What tells sets apart: size and two hashes."""
+    made = [(len(own), words.mixed(own ^ KEY).sum(dtype=np.uint64), words.mixed(own ^ PLACE).sum(dtype=np.uint64)) for own in sets]
+    return np.array(made, np.uint64).reshape(-1, len(SAME)).view(np.int64)
+
+
+def _candidates(docs: DataFrame, shared: DataFrame, width: int) -> DataFrame:
+    """The sets whose size and hashes ``shared`` has, and few others."""
+
+    def hashes(batch):
+        yield batch.column(0).to_numpy().view(np.uint64)
+
+    maybe = repeated(shared.select("one"), hashes, CELLS_A_SET * shared.count(), least=1)
+
+    def rows(batches):
+        for batch in batches:
+            for piece in words.pieces(batch.column(1), lower=True):
+                sets = [own for _, own in shingle_sets(piece, width)]
+                names = _names(sets)
+                keep = maybe(np.ascontiguousarray(names[:, SAME.index("one")]).view(np.uint64))
+                yield batch_of(
+                    doc_id=batch.column(0).slice(piece.rows.start, len(piece.rows)).filter(pa.array(keep)),
+                    **{c: pa.array(names[keep, k]) for k, c in enumerate(SAME)},
+                    elements=_lists([sets[k] for k in np.flatnonzero(keep)]),
                 )
 
-    return docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, elements array<long>")
+    found = docs.mapInArrow(rows, "doc_id long, n_shingles long, one long, two long, elements array<long>")
+    return found.where("doc_id is not null and size(elements) > 0")
 
 
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -397,12 +432,12 @@ def _all_pairs(members: DataFrame, parities: DataFrame, percent: int) -> DataFra
     return pairs.select(*_pair("x", "y")).distinct()
 
 
-def _without_later(candidates: DataFrame, later: DataFrame, same: list[str]) -> DataFrame:
+def _without_later(candidates: DataFrame, later: DataFrame) -> DataFrame:
     """Candidates that are no later copies; only where those are many do the candidates move."""
-    gone = later.select("doc_id", *same).distinct()
+    gone = later.select("doc_id", *SAME).distinct()
     if later.count() <= MOST_BROADCAST:
         gone = F.broadcast(gone)
-    return candidates.join(gone, ["doc_id", *same], "left_anti")
+    return candidates.join(gone, ["doc_id", *SAME], "left_anti")
 
 
 def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_column: str) -> tuple[DataFrame, ...]:
@@ -411,18 +446,22 @@ def _prepared(docs: DataFrame, width: int, percent: int, id_column: str, text_co
     What nothing reads any more is deleted as soon as what it led to is written.
     """
     pairs = ids_and_texts(docs, id_column, text_column)
-    with_sets = staged(_measured(pairs, width, percent), "measured")
-    measured = staged(with_sets.drop("elements"), "sizes")
+    cells = Cells(character_total(pairs) // BYTES_A_SHINGLE)
+    with_chunks = staged(_measured(pairs, width, cells), "measured")
+    measured = staged(with_chunks.where("chunk is null").select("doc_id", *SAME), "sizes")
+    chunks = with_chunks.where("chunk is not null").select("chunk", "segment", "cells", "owners")
+    shared = staged(mostly_shared(chunks, cells, SAME, "n_shingles", percent), "shared")
+    discard(with_chunks)
+    with_sets = staged(_candidates(pairs, shared, width), "candidates")
+    discard(shared)
 
     filled = measured.where("doc_id is not null and n_shingles > 0")
-    same = ["n_shingles", "one", "two"]
-    classes = filled.groupBy(*same).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    copied = staged(classes.where("copies > 1").select(*same, "node"), "copied")
-    later = filled.select("doc_id", *same).join(copied, same).where("doc_id > node").select("doc_id", *same, "node")
+    classes = filled.groupBy(*SAME).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
+    copied = staged(classes.where("copies > 1").select(*SAME, "node"), "copied")
+    later = filled.select("doc_id", *SAME).join(copied, SAME).where("doc_id > node").select("doc_id", *SAME, "node")
     later = staged(later, "later")
 
-    candidates = with_sets.where("doc_id is not null and size(elements) > 0")
-    sets = _without_later(candidates, later, same).select(F.col("doc_id").alias("node"), "elements")
+    sets = _without_later(with_sets, later).select(F.col("doc_id").alias("node"), "elements")
     before = with_sets
     for _ in range(WEIGHINGS):
         sets = staged(sets, "sets")

@@ -112,13 +112,13 @@ def _merged(rows: pd.DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Repeated:
-    """What a merged sketch says of hashes, in any task."""
+    """What a merged sketch says of hashes, in any task: of those met twice, or of all that were met."""
 
     def __init__(self, sent: Broadcast, bits: int):
         self.sent, self.bits = sent, bits
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        """True where a hash may occur twice or more; true for each that does."""
+        """True where a hash may occur as often as asked for; true for each that does."""
         result = np.ones(len(hashes), bool)
         for depth, row in enumerate(self.sent.value):
             at = cells(hashes, depth, self.bits)
@@ -126,8 +126,8 @@ class Repeated:
         return result
 
 
-def repeated(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], items: int, depth: int = 2) -> Repeated:
-    """Sketch the hashes of all rows of ``docs``; ``items``: about how many there are."""
+def repeated(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.ndarray]], items: int, depth: int = 2, least: int = 2) -> Repeated:
+    """Sketch the hashes of all rows of ``docs``; ``items``: about how many there are; ``least``: 2, or 1 for what occurs at all."""
     spark, bits = docs.sparkSession, bits_for(items)
     size = 1 << (min(SEGMENT_BITS, bits) - 3)
 
@@ -145,15 +145,15 @@ def repeated(docs: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterable[np.
         return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "once": [packed(once)], "twice": [packed(twice)]})
 
     def last(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "twice": [packed(_merged(rows, size)[1])]})
+        return pd.DataFrame({"segment": [rows["segment"].iloc[0]], "found": [packed(_merged(rows, size)[least - 1])]})
 
     parts = docs.mapInArrow(fill, "segment int, task int, once binary, twice binary")
     # Groups of about the square root of the number of tasks, merged twice.
     salts = max(1, math.isqrt(docs.rdd.getNumPartitions()))
     first = parts.groupBy("segment", (F.col("task") % salts).alias("salt")).applyInPandas(some, "segment int, once binary, twice binary")
-    merged = first.groupBy("segment").applyInPandas(last, "segment int, twice binary")
-    twice = np.zeros((depth, 1 << (bits - 3)), np.uint8)
-    flat = twice.reshape(-1)
+    merged = first.groupBy("segment").applyInPandas(last, "segment int, found binary")
+    found = np.zeros((depth, 1 << (bits - 3)), np.uint8)
+    flat = found.reshape(-1)
     for row in merged.collect():  # a sketch is bounded by MAX_BITS
-        flat[row.segment * size : (row.segment + 1) * size] = unpacked(row.twice, size)
-    return Repeated(spark.sparkContext.broadcast(twice), bits)
+        flat[row.segment * size : (row.segment + 1) * size] = unpacked(row.found, size)
+    return Repeated(spark.sparkContext.broadcast(found), bits)

@@ -6,7 +6,8 @@ import brute
 import numpy as np
 import pytest
 
-from shelfwise.llm import jaccard_join
+from shelfwise.llm import dealt, jaccard_join, sketch
+from shelfwise.llm.dealt import Cells, Chunk, mostly_shared
 from shelfwise.llm.decontamination import contaminated, without_contaminated
 from shelfwise.llm.jaccard_join import Bands, _different_groups, jaccard_components, jaccard_links, link_counts, signatures, without_similar
 from shelfwise.llm.links import components
@@ -108,6 +109,39 @@ def test_jaccard_links(docs, family, prose, spark, monkeypatch):
     forget(spark)
 
 
+def test_jaccard_leaves_lone_sets_out_when_a_sketch_is_full(docs, prose, spark, monkeypatch):
+    """More shingles than a sketch may have cells: texts without a partner still get no signatures."""
+    monkeypatch.setattr(sketch, "MAX_BITS", 12)
+    rng = random.Random(4)
+    rows = [(i, prose(60)) for i in range(300)]
+    rows += [(1000 + i, changed(rows[i][1], 1, rng)) for i in range(3)]
+    _, _, sets, members, _ = jaccard_join._prepared(docs(rows), 5, 80, "doc_id", "text")
+    assert sets.count() < 30 and {r.node for r in members.select("node").collect()} >= {0, 1, 2, 1000, 1001, 1002}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs(rows)).collect()}
+    assert got == brute.jaccard_components(rows) and got[1000][1] == 0
+    forget(spark)
+
+
+def test_lone_hashes_of_sets_in_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(dealt, "SETS", 7)
+    cells, rng = Cells(1 << 26), np.random.default_rng(8)
+    assert cells.runs > 1
+    pool = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(pool, size), rng.integers(0, 2**64, new, dtype=np.uint64)])) for size in (0, 1, 40, 200) for new in (0, 1, 30, 120)] * 2
+    sets += [np.unique(rng.integers(0, 2**64, 50, dtype=np.uint64)) for _ in range(40)] + [pool[:1]] * 20
+    names, chunk = np.array([(len(own), k) for k, own in enumerate(sets)], np.int64), Chunk(cells)
+    rows = [r for part in [*chunk.add(sets[:30], names[:30]), *chunk.add(sets[30:], names[30:]), *chunk.rows()] for r in part.to_pylist()]
+    assert len({r["chunk"] for r in rows}) > 5
+    table = spark.createDataFrame([(r["chunk"], r["segment"], r["cells"], r["owners"]) for r in rows], dealt.SCHEMA)
+    got = sorted(r.k for r in mostly_shared(table, cells, ["size", "k"], "size", 80).collect())
+    lower = [own[own < np.uint64(1 << 63)] for own in sets]
+    places, times = np.unique(np.concatenate([own >> np.uint64(63 - cells.bits) for own in lower]), return_counts=True)
+    single = set(places[times == 1].tolist())
+    lone = [sum(c in single for c in (own >> np.uint64(63 - cells.bits)).tolist()) for own in lower]
+    assert got == [k for k, own in enumerate(sets) if len(own) and 100 * (len(own) - lone[k]) >= 80 * len(own)]
+    assert 0 < len(got) < len(sets) - 30
+
+
 def test_empty_tables(docs, spark):
     none = docs([])
     assert jaccard_components(none).count() == 0
