@@ -79,7 +79,7 @@ class Chunk:
         segments, first = np.unique(cell >> np.uint64(self.cells.in_segment), return_index=True)
         low, run = cell.astype(np.uint16), (cell >> np.uint64(RUN_BITS)) & np.uint64(self.cells.runs - 1)
         segment, cells, owners = [NAMES], [np.array(self.names).tobytes()], [b""]
-        for s, a, b in zip(segments.tolist(), first.tolist(), [*first[1:].tolist(), len(cell)], strict=True):
+        for s, a, b in zip(segments.tolist(), first.tolist(), np.append(first, len(cell))[1:].tolist(), strict=True):
             runs = np.bincount(run[a:b].astype(np.int64), minlength=self.cells.runs).astype(np.uint32)
             segment.append(s)
             cells.append(runs.tobytes() + low[a:b].tobytes())

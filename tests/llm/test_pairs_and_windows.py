@@ -142,6 +142,17 @@ def test_lone_hashes_of_sets_in_many_chunks(spark, monkeypatch):
     assert 0 < len(got) < len(sets) - 30
 
 
+def test_chunks_without_hashes_in_the_lower_half(spark):
+    cells = Cells(10)
+    rows = []
+    for sets in ([np.empty(0, np.uint64)], [np.array([1 << 63], np.uint64)]):
+        chunk = Chunk(cells)
+        rows += [r for part in [*chunk.add(sets, np.array([(len(sets[0]), 5)])), *chunk.rows(), *chunk.rows()] for r in part.to_pylist()]
+    assert [r["segment"] for r in rows] == [dealt.NAMES] * 2
+    table = spark.createDataFrame([(r["chunk"], r["segment"], r["cells"], r["owners"]) for r in rows], dealt.SCHEMA)
+    assert [tuple(r) for r in mostly_shared(table, cells, ["size", "k"], "size", 80).collect()] == [(1, 5)]
+
+
 def test_empty_tables(docs, spark):
     none = docs([])
     assert jaccard_components(none).count() == 0
